@@ -215,6 +215,13 @@ def _split(df, cfg):
     )
 
 
+def add_row_patterns(df, cfg=DetectorConfig()):
+    """The two patterns that follow from the row's own features, for use on streams."""
+    columns = _pattern_columns(cfg)
+    return df.withColumns(
+        {name: _holds(columns[name]) for name in ("velocity_attack", "impossible_travel")})
+
+
 def add_patterns(df, cfg=DetectorConfig(), routing=FeatureConfig()):
     """Add the eight pattern columns to rows that carry the features.
 

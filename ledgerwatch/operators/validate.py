@@ -53,53 +53,70 @@ class Field:
     present: Column  # the key exists
     text: Column     # value as text, NULL when null
     kind: Column     # TEXT, INTEGER, NUMBER or OTHER
+    number: Column   # value as a decimal, NULL when it is none
 
     @property
     def filled(self):
         return self.present & self.text.isNotNull()
 
-    @property
-    def number(self):
-        return self.text.try_cast("decimal(38,10)")
-
-
-def fields_of_json(raw, names):
-    """Fields of a JSON text column."""
-    parsed = F.try_parse_json(raw)
-
-    def one(name):
-        value = F.try_variant_get(parsed, f"$.{name}", "variant")
-        kind = F.schema_of_variant(value)
-        return Field(
-            name,
-            present=value.isNotNull(),
-            text=F.try_variant_get(parsed, f"$.{name}", "string"),
-            kind=F.when(kind == "STRING", "TEXT").when(kind == "BIGINT", "INTEGER")
-            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "NUMBER")
-            .otherwise("OTHER"),
-        )
 
-    return {name: one(name) for name in names}
+VIEW = "_view_"
+
+
+def _views(df, columns, names):
+    """Add text, kind and presence of each field as columns, and the fields over them.
 
+    The rules mention a field many times; as columns of an inner projection its
+    value is computed once per row.
+    """
+    added = df.withColumns({f"{VIEW}{k}": c for k, c in columns.items()})
+    added = added.withColumns({
+        f"{VIEW}{n}_number": F.col(f"{VIEW}{n}_text").try_cast("decimal(38,10)") for n in names
+    })
+    part = lambda n, what: F.col(f"{VIEW}{n}_{what}")
+    return added, {
+        n: Field(n, part(n, "present"), part(n, "text"), part(n, "kind"), part(n, "number"))
+        for n in names
+    }
+
+
+def view_json(df, raw, names):
+    """Field views of a JSON text column."""
+    doc = df.withColumn(f"{VIEW}doc", F.try_parse_json(F.col(raw)))
+    doc = doc.withColumns({
+        f"{VIEW}{n}_type": F.schema_of_variant(
+            F.try_variant_get(F.col(f"{VIEW}doc"), f"$.{n}", "variant"))
+        for n in names
+    })
+    columns = {}
+    for n in names:
+        t = F.col(f"{VIEW}{n}_type")
+        columns[f"{n}_present"] = t.isNotNull()
+        columns[f"{n}_text"] = F.try_variant_get(F.col(f"{VIEW}doc"), f"$.{n}", "string")
+        columns[f"{n}_kind"] = (
+            F.when(t == "STRING", "TEXT").when(t == "BIGINT", "INTEGER")
+            .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "NUMBER")
+            .otherwise("OTHER")
+        )
+    return _views(doc, columns, names)
 
-def fields_of_columns(df, names):
-    """Fields of a typed DataFrame; an absent column is a missing field."""
-    types = dict(zip(df.columns, (f.dataType for f in df.schema.fields)))
 
-    def one(name):
-        if name not in types:
-            nothing = F.lit(None).cast("string")
-            return Field(name, F.lit(False), nothing, F.lit("OTHER"))
-        t = types[name]
+def view_columns(df, names):
+    """Field views of typed columns; an absent column is a missing field."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    columns = {}
+    for n in names:
+        t = types.get(n)
         if isinstance(t, (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType)):
             kind = "TEXT"
         elif isinstance(t, (T.IntegralType, T.BooleanType)):
             kind = "INTEGER"
         else:
             kind = "NUMBER" if isinstance(t, (T.FractionalType, T.DecimalType)) else "OTHER"
-        return Field(name, F.lit(True), F.col(name).cast("string"), F.lit(kind))
-
-    return {name: one(name) for name in names}
+        columns[f"{n}_present"] = F.lit(n in types)
+        columns[f"{n}_text"] = (F.col(n) if n in types else F.lit(None)).cast("string")
+        columns[f"{n}_kind"] = F.lit(kind)
+    return _views(df, columns, names)
 
 
 def _error(condition, code, field, severity, message):
@@ -205,30 +222,39 @@ def alert_rules(fields):
     yield from allowed_rules(fields, {"severity": schema.SEVERITIES})
 
 
-def with_errors(df, rules):
-    """Add ``errors``, ``is_valid`` and ``has_critical`` from a sequence of rules."""
-    checked = df.withColumn("errors", F.array_compact(F.array(*rules)).cast(ERRORS))
+def with_errors(viewed, rules):
+    """Add ``errors``, ``is_valid`` and ``has_critical``; drop the field views."""
+    checked = viewed.withColumn("errors", F.array_compact(F.array(*rules)).cast(ERRORS))
     return checked.withColumns({
         "is_valid": F.size("errors") == 0,
         "has_critical": F.exists("errors", lambda e: e["severity"] == "CRITICAL"),
-    })
+    }).drop(*[c for c in checked.columns if c.startswith(VIEW)])
 
 
 def validate_messages(df, raw="value", cfg=QualityConfig(), as_of=None):
     """All transaction rules over a JSON text column."""
-    fields = fields_of_json(F.col(raw), TRANSACTION_REQUIRED)
-    return with_errors(df, transaction_rules(fields, cfg, as_of))
+    viewed, fields = view_json(df, raw, TRANSACTION_REQUIRED)
+    return with_errors(viewed, transaction_rules(fields, cfg, as_of))
 
 
 def validate_transactions(df, cfg=QualityConfig(), as_of=None):
     """All transaction rules over typed columns."""
-    fields = fields_of_columns(df, TRANSACTION_REQUIRED)
-    return with_errors(df, transaction_rules(fields, cfg, as_of))
+    viewed, fields = view_columns(df, TRANSACTION_REQUIRED)
+    return with_errors(viewed, transaction_rules(fields, cfg, as_of))
 
 
 def validate_alerts(df):
-    names = [*ALERT_REQUIRED, "confidence_score"]
-    return with_errors(df, alert_rules(fields_of_columns(df, names)))
+    viewed, fields = view_columns(df, [*ALERT_REQUIRED, "confidence_score"])
+    return with_errors(viewed, alert_rules(fields))
+
+
+def each_error(validated, *keep):
+    """One row per error, with the kept columns."""
+    # explode_outer: plain explode makes the optimizer repeat the whole rule array in a filter
+    return (
+        validated.select(*keep, F.explode_outer("errors").alias("_e"))
+        .filter(F.col("_e").isNotNull()).select(*keep, "_e.*")
+    )
 
 
 def integrity_holds(df):

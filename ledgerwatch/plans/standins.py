@@ -9,6 +9,7 @@ same rows can be written in SQL.
 from pyspark.sql import functions as F
 
 from ledgerwatch import schema
+from ledgerwatch.session import fresh_dir
 
 AS_OF = "2024-01-30 22:00:00"
 
@@ -145,3 +146,91 @@ def txn_orders(spark, sf_dir):
             F.lit(None).cast("map<string,string>").alias("metadata"),
         )
     )
+
+
+_LOGS = {}
+
+
+def message_log(spark, sf_dir):
+    """``event_messages`` as a stored log, written once per session and read back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOGS:
+        path = fresh_dir(spark, "message-log")
+        event_messages(spark, sf_dir).write.parquet(path)
+        _LOGS[key] = path
+    return spark.read.schema(
+        "value string, kafka_topic string, kafka_partition int, kafka_offset long, "
+        "kafka_timestamp timestamp"
+    ).parquet(_LOGS[key])
+
+
+def event_messages(spark, sf_dir):
+    """The event transactions as wire messages, with the faults a topic really carries.
+
+    Times alternate between epoch milliseconds and ISO text, coordinates between
+    both spellings; some messages lack keys, hold nulls, numbers where text is
+    due, too many decimals, or are no JSON at all.
+    """
+    e = F.col("kafka_offset")
+    every = lambda n: e % n == 0
+    t = txn_events(spark, sf_dir)
+    when_text = lambda c: F.when(
+        e % 2 == 0, F.unix_millis(c).cast("string")
+    ).otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    place = F.col("location")
+    long_keys, short_keys = every(3), ~every(3)
+    body = F.struct(
+        "transaction_id",
+        F.when(~every(163), when_text(F.col("timestamp"))).alias("timestamp"),
+        "customer_id", "card_number_last4", "card_type", "currency", "merchant_id",
+        "merchant_name", "merchant_category_code", "merchant_category",
+        F.struct(
+            place["country"].alias("country"), place["state"].alias("state"),
+            place["city"].alias("city"), place["zip_code"].alias("zip_code"),
+            F.when(long_keys, place["latitude"]).alias("latitude"),
+            F.when(long_keys, place["longitude"]).alias("longitude"),
+            F.when(short_keys, place["latitude"]).alias("lat"),
+            F.when(short_keys, place["longitude"]).alias("lon"),
+        ).alias("location"),
+        "channel", "status", "risk_score", "authorization_code", "processor_response_code",
+        "is_international", "customer_present", "entry_method", "metadata",
+        when_text(F.col("created_at")).alias("created_at"), "version",
+    )
+    amount = (
+        F.when(every(131), F.lit("12"))
+        .when(every(137), F.lit('"abc"'))
+        .when(every(107) & F.col("amount").isNotNull(),
+              F.concat(F.lit('"'), F.col("amount").cast("string"), F.lit('5"')))
+        .when(F.col("amount").isNull(), F.lit("null"))
+        .otherwise(F.concat(F.lit('"'), F.col("amount").cast("string"), F.lit('"')))
+    )
+    text = F.when(
+        every(5), F.to_json(body, {"ignoreNullFields": "false"})
+    ).otherwise(F.to_json(body))
+    message = F.concat(F.lit('{"amount":'), amount, F.lit(","), F.substring(text, F.lit(2),
+                                                                            F.length(text)))
+    return t.select(
+        F.when(every(151), F.concat(F.lit("broken "), e.cast("string")))
+        .otherwise(message).alias("value"),
+        "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp",
+    )
+
+
+def event_alerts(spark, sf_dir):
+    """Alert-shaped rows from the events, some out of contract."""
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        e,
+        F.when(e % 41 != 0, F.concat(F.lit("al-"), e.cast("string"))).alias("alert_id"),
+        F.concat(F.lit("txn-"), e.cast("string")).alias("transaction_id"),
+        F.when(e % 43 == 0, F.lit("  ")).otherwise(F.col("user_id").cast("string"))
+        .alias("customer_id_hash"),
+        F.col("event_type").alias("alert_type"),
+        F.when(F.col("event_type") == "view", F.lit("LOW"))
+        .when(F.col("event_type") == "click", F.lit("MEDIUM"))
+        .when(F.col("event_type") == "error", F.lit("HIGH"))
+        .when(F.col("event_type") == "signup", F.lit("CRITICAL"))
+        .otherwise(F.lit("SEVERE")).alias("severity"),
+        (F.col("value") / 100).alias("risk_score"),
+        (F.col("value") / 200).alias("confidence_score"),
+    )

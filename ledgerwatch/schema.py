@@ -1,5 +1,7 @@
 """Schemas and enumerations of the transaction and alert contracts."""
 
+from functools import lru_cache
+
 from pyspark.sql import types as T
 
 # Enumerations of the event contract.
@@ -25,13 +27,13 @@ ALERT_STATUSES = ["OPEN", "IN_REVIEW", "RESOLVED", "FALSE_POSITIVE", "CONFIRMED_
 
 UNKNOWN_CUSTOMER = "UNKNOWN"
 
-LOCATION = T.StructType.fromDDL(
+LOCATION_DDL = (
     "country string, state string, city string, zip_code string, latitude double, longitude double"
 )
 
 # What a message carries.  Times stay text because producers send either epoch
 # milliseconds or ISO text; coordinates come under either spelling.
-WIRE = T.StructType.fromDDL(
+WIRE_DDL = (
     """
     transaction_id string, timestamp string, customer_id string, card_number string,
     card_number_last4 string, card_type string, amount decimal(10,2), currency string,
@@ -46,7 +48,7 @@ WIRE = T.StructType.fromDDL(
 )
 
 # A parsed transaction.
-TRANSACTION = T.StructType.fromDDL(
+TRANSACTION_DDL = (
     """
     transaction_id string, timestamp timestamp, customer_id string,
     card_number_last4 string, card_type string, amount decimal(10,2), currency string,
@@ -61,12 +63,12 @@ TRANSACTION = T.StructType.fromDDL(
 )
 
 # Where a message came from.
-MESSAGE_ORIGIN = T.StructType.fromDDL(
+MESSAGE_ORIGIN_DDL = (
     "kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, "
     "ingested_at timestamp"
 )
 
-BRONZE = T.StructType.fromDDL(
+BRONZE_DDL = (
     """
     transaction_id string, timestamp timestamp, customer_id string, card_number_last4 string,
     card_type string, amount decimal(10,2), currency string, merchant_id string,
@@ -79,7 +81,7 @@ BRONZE = T.StructType.fromDDL(
     """
 )
 
-SILVER = T.StructType.fromDDL(
+SILVER_DDL = (
     """
     transaction_id string, transaction_date date, transaction_timestamp timestamp,
     customer_id_hash string, customer_id_original string, card_number_last4 string,
@@ -96,7 +98,7 @@ SILVER = T.StructType.fromDDL(
     """
 )
 
-ALERT = T.StructType.fromDDL(
+ALERT_DDL = (
     """
     alert_id string, transaction_id string, customer_id_hash string, alert_timestamp timestamp,
     alert_type string, severity string, risk_score double, confidence_score double,
@@ -111,3 +113,16 @@ ALERT = T.StructType.fromDDL(
     status string, metadata map<string,string>, created_at timestamp, version string
     """
 )
+
+
+@lru_cache
+def _struct(ddl):
+    return T.StructType.fromDDL(ddl)
+
+
+def __getattr__(name):
+    """``schema.SILVER`` and friends: the struct of ``SILVER_DDL``, parsed once a session exists."""
+    ddl = globals().get(f"{name}_DDL")
+    if ddl is None:
+        raise AttributeError(name)
+    return _struct(ddl)

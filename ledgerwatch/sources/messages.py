@@ -115,7 +115,7 @@ def split_malformed(parsed):
     return good, bad
 
 
-def flatten(parsed):
+def flatten(parsed, **extra):
     """Typed transaction columns with origin and ingest time.
 
     Times accept epoch milliseconds or ISO text; coordinates accept either
@@ -140,6 +140,7 @@ def flatten(parsed):
         *[special.get(name, t(name)).alias(name) for name in schema.TRANSACTION.names],
         *[c for c in ORIGIN if c in parsed.columns],
         F.current_timestamp().alias("ingested_at"),
+        *[c.alias(name) for name, c in extra.items()],
     )
 
 
