@@ -77,8 +77,11 @@ def bronze_projection(df):
     )
 
 
-def silver_projection(df, as_of=None):
-    """Clean layer: 41 columns, location flattened, one date column to partition by."""
+def silver_projection(df, as_of=None, extra=()):
+    """Clean layer: 41 columns, location flattened, one date column to partition by.
+
+    ``extra`` columns are carried along.
+    """
     original = (
         F.col("customer_id_original") if "customer_id_original" in df.columns
         else F.lit(None).cast("string")
@@ -98,5 +101,5 @@ def silver_projection(df, as_of=None):
         "distance_from_last_km", "time_since_last_minutes", "merchant_risk_score",
         "is_weekend", "hour_of_day", "day_of_week",
         "is_late_arrival", F.lit(False).alias("is_duplicate"), "data_quality_score",
-        moment(as_of).alias("processed_at"), "created_at",
+        moment(as_of).alias("processed_at"), "created_at", *extra,
     )

@@ -821,18 +821,28 @@ EVENTS_ALERTED = [
     o.BASE_EVENTS, o.FLAGS, o.FEATURES, o.patterns_sql(), o.alerts_sql()]
 
 
+def _order_features(spark, d):
+    return standins.stored(
+        spark, d, "order-features", lambda s, p: _with_features(ORDERS(s, p)))
+
+
+def _event_features(spark, d):
+    return standins.stored(
+        spark, d, "event-features", lambda s, p: _with_features(events_e(s, p)))
+
+
 def _patterned(spark, d, routing=FeatureConfig()):
-    return detect.add_patterns(
-        _with_features(ORDERS(spark, d), routing), STANDIN_DETECTORS, routing)
+    return detect.add_patterns(_order_features(spark, d), STANDIN_DETECTORS, routing)
 
 
 def _order_alerts(spark, d):
-    return alerts.build_alerts(_patterned(spark, d), STANDIN_DETECTORS, AS_OF)
+    return standins.stored(
+        spark, d, "order-alerts",
+        lambda s, p: alerts.build_alerts(_patterned(s, p), STANDIN_DETECTORS, AS_OF))
 
 
 def _event_alerts(spark, d):
-    rows = detect.add_patterns(_with_features(events_e(spark, d)))
-    return alerts.build_alerts(rows, as_of=AS_OF)
+    return alerts.build_alerts(detect.add_patterns(_event_features(spark, d)), as_of=AS_OF)
 
 
 def _pattern_query(pattern):
@@ -855,19 +865,24 @@ def detect_all_split_path(spark, d):
     return _patterned(spark, d, SPLIT).select("transaction_id", *detect.PATTERNS)
 
 
-def _alert_query(alert_type):
+def _alert_query(alert_type, build, ctes):
     def run(spark, d):
-        return _order_alerts(spark, d).filter(F.col("alert_type") == alert_type).select(
+        return build(spark, d).filter(F.col("alert_type") == alert_type).select(
             "alert_id", "transaction_id", "severity", "risk_score")
 
-    query(o.with_ctes(*ALERTED, select=f"""
+    query(o.with_ctes(*ctes, select=f"""
 SELECT sha256(transaction_id || '|' || alert_type) AS alert_id, transaction_id, severity,
   alert_risk AS risk_score FROM alert WHERE alert_type = '{alert_type}'"""),
           f"alert_{alert_type.lower()}")(run)
 
 
+# The order lines carry neither night hours nor merchant scores; the events do.
+ON_EVENTS = ["MERCHANT_RISK", "TIME_PATTERN_ANOMALY"]
 for _type in o.schema.ALERT_TYPES:
-    _alert_query(_type)
+    if _type in ON_EVENTS:
+        _alert_query(_type, _event_alerts, EVENTS_ALERTED)
+    else:
+        _alert_query(_type, _order_alerts, ALERTED)
 
 
 @query(o.with_ctes(*ALERTED, select="""
@@ -915,8 +930,7 @@ GOLD = [*ALERTED, GOLD_CTE]
 
 
 def _order_silver(spark, d):
-    rows = _with_features(ORDERS(spark, d))
-    return rows.select(
+    return _order_features(spark, d).select(
         "*", F.to_date("timestamp").alias("transaction_date"),
         "location.country", "location.state", "location.city")
 

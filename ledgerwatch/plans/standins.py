@@ -148,20 +148,28 @@ def txn_orders(spark, sf_dir):
     )
 
 
-_LOGS = {}
+_STORED = {}
+
+
+def stored(spark, sf_dir, name, build):
+    """A derived table, written to the shared folder once per session and read back.
+
+    The stages of the pipeline hand over tables, not plans: features are read
+    several times by the detectors, and a written table also cuts the lineage.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        df = build(spark, sf_dir)
+        path = fresh_dir(spark, name)
+        df.write.parquet(path)
+        _STORED[key] = (path, df.schema)
+    path, struct = _STORED[key]
+    return spark.read.schema(struct).parquet(path)
 
 
 def message_log(spark, sf_dir):
-    """``event_messages`` as a stored log, written once per session and read back."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOGS:
-        path = fresh_dir(spark, "message-log")
-        event_messages(spark, sf_dir).write.parquet(path)
-        _LOGS[key] = path
-    return spark.read.schema(
-        "value string, kafka_topic string, kafka_partition int, kafka_offset long, "
-        "kafka_timestamp timestamp"
-    ).parquet(_LOGS[key])
+    """``event_messages`` as a stored log."""
+    return stored(spark, sf_dir, "message-log", event_messages)
 
 
 def event_messages(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name="ledgerwatch", master=None, shuffle_partitions=None, **conf):
-    """A session with UTC time, AQE and the RocksDB state store.
+    """A session with UTC time and AQE.
 
     On a cluster, master, memory and ``spark.checkpoint.dir`` come from
     ``spark-submit``; the arguments are for local runs.
@@ -20,8 +20,6 @@ def build_session(app_name="ledgerwatch", master=None, shuffle_partitions=None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,
     }
     if shuffle_partitions:

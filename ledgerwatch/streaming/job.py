@@ -18,6 +18,10 @@ from ledgerwatch.sources import messages
 from ledgerwatch.streaming.state import add_features_stream
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @dataclass(frozen=True)
 class Job:
     """Where and how the streaming job writes."""
@@ -87,8 +91,7 @@ def write_batch(job):
             passing = quality.passing_quality(rows, job.cfg.quality)
             first = dedup.keep_first(
                 passing, ["transaction_id"], ["timestamp", "kafka_partition", "kafka_offset"])
-            silver = quality.silver_projection(first, job.as_of).withColumn(
-                "features_complete", _complete(first))
+            silver = quality.silver_projection(first, job.as_of, ["features_complete"])
             if batch_id > 0 and _exists(spark, job.path("silver")):
                 dates = silver.select("transaction_date").distinct()
                 silver = silver.join(
@@ -113,10 +116,6 @@ def write_batch(job):
     return write
 
 
-def _complete(df):
-    return F.col("features_complete") if "features_complete" in df.columns else F.lit(True)
-
-
 def _exists(spark, path):
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -125,6 +124,7 @@ def _exists(spark, path):
 
 def start(transactions, job, available_now=False, name="transactions"):
     """Start the job on a transaction stream; returns the running query."""
+    transactions.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     writer = (
         enriched_stream(transactions, job).writeStream.queryName(name)
         .outputMode("append").option("checkpointLocation", job.checkpoint)
