@@ -952,7 +952,7 @@ SELECT transaction_date, count(*) AS total_transactions,
   CAST(coalesce(sum(amount) FILTER (WHERE is_international), 0) AS DECIMAL(18,2))
     AS international_amount,
   CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_transaction_amount,
-  round(CAST(median(amount) AS DOUBLE), 3) AS median_transaction_amount,
+  round(median(CAST(amount AS DOUBLE)), 3) AS median_transaction_amount,
   max(amount) AS max_transaction_amount
 FROM money GROUP BY 1"""))
 def daily_summary(spark, d):
