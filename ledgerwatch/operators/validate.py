@@ -1,7 +1,8 @@
 """Row validation: every rule is a column expression, all errors of a row form one array.
 
 A rule yields ``struct<code, field, severity, message>`` or NULL; the array keeps
-the fired ones.  The rules read fields through ``Field`` (present? null? text?
+the fired ones.  The struct is a constant per rule (values stay in the row, out
+of the messages), which keeps the generated code small.  The rules read fields through ``Field`` (present? null? text?
 kind of value?), so the same rules serve raw JSON messages, where a missing key
 differs from a null, and typed tables.
 """
@@ -53,7 +54,8 @@ class Field:
     present: Column  # the key exists
     text: Column     # value as text, NULL when null
     kind: Column     # TEXT, INTEGER, NUMBER or OTHER
-    number: Column   # value as a decimal, NULL when it is none
+    number: Column   # value as a number, NULL when it is none
+    instant: Column  # value as a time, NULL when it is none
 
     @property
     def filled(self):
@@ -70,29 +72,32 @@ def _views(df, columns, names):
     value is computed once per row.
     """
     added = df.withColumns({f"{VIEW}{k}": c for k, c in columns.items()})
-    added = added.withColumns({
-        f"{VIEW}{n}_number": F.col(f"{VIEW}{n}_text").try_cast("decimal(38,10)") for n in names
-    })
     part = lambda n, what: F.col(f"{VIEW}{n}_{what}")
-    return added, {
-        n: Field(n, part(n, "present"), part(n, "text"), part(n, "kind"), part(n, "number"))
+    read = {}
+    for n in names:
+        if f"{n}_number" not in columns:
+            read[f"{VIEW}{n}_number"] = part(n, "text").try_cast("double")
+        if f"{n}_instant" not in columns:
+            read[f"{VIEW}{n}_instant"] = as_instant(part(n, "text"))
+    # unused ones are pruned
+    return added.withColumns(read), {
+        n: Field(n, *[part(n, w) for w in ("present", "text", "kind", "number", "instant")])
         for n in names
     }
 
 
 def view_json(df, raw, names):
     """Field views of a JSON text column."""
-    doc = df.withColumn(f"{VIEW}doc", F.try_parse_json(F.col(raw)))
-    doc = doc.withColumns({
-        f"{VIEW}{n}_type": F.schema_of_variant(
-            F.try_variant_get(F.col(f"{VIEW}doc"), f"$.{n}", "variant"))
-        for n in names
-    })
+    # One parse of the named keys only.  An absent key gives NULL, a null value a variant null.
+    wanted = ", ".join(f"`{n}` variant" for n in names)
+    doc = df.withColumn(f"{VIEW}doc", F.from_json(F.col(raw).cast("string"), wanted))
+    value = {n: F.col(f"{VIEW}doc.{n}") for n in names}
+    doc = doc.withColumns({f"{VIEW}{n}_type": F.schema_of_variant(value[n]) for n in names})
     columns = {}
     for n in names:
         t = F.col(f"{VIEW}{n}_type")
         columns[f"{n}_present"] = t.isNotNull()
-        columns[f"{n}_text"] = F.try_variant_get(F.col(f"{VIEW}doc"), f"$.{n}", "string")
+        columns[f"{n}_text"] = F.try_variant_get(value[n], "$", "string")
         columns[f"{n}_kind"] = (
             F.when(t == "STRING", "TEXT").when(t == "BIGINT", "INTEGER")
             .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "NUMBER")
@@ -116,6 +121,10 @@ def view_columns(df, names):
         columns[f"{n}_present"] = F.lit(n in types)
         columns[f"{n}_text"] = (F.col(n) if n in types else F.lit(None)).cast("string")
         columns[f"{n}_kind"] = F.lit(kind)
+        if isinstance(t, T.NumericType):
+            columns[f"{n}_number"] = F.col(n).cast("double")
+        if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            columns[f"{n}_instant"] = F.col(n).cast("timestamp")
     return _views(df, columns, names)
 
 
@@ -124,7 +133,7 @@ def _error(condition, code, field, severity, message):
         condition,
         F.struct(
             F.lit(code).alias("code"), F.lit(field).alias("field"),
-            F.lit(severity).alias("severity"), message.alias("message"),
+            F.lit(severity).alias("severity"), F.lit(message).alias("message"),
         ),
     )
 
@@ -133,37 +142,36 @@ def required_rules(fields, names):
     for name in names:
         f = fields[name]
         yield _error(~f.present, "REQUIRED_MISSING", name, "CRITICAL",
-                     F.lit(f"Missing required field: {name}"))
+                     f"Missing required field: {name}")
         yield _error(f.present & f.text.isNull(), "REQUIRED_NULL", name, "CRITICAL",
-                     F.lit(f"Required field is null: {name}"))
+                     f"Required field is null: {name}")
         yield _error(f.filled & (f.kind == "TEXT") & (F.trim(f.text) == ""),
                      "REQUIRED_EMPTY", name, "CRITICAL",
-                     F.lit(f"Required field is empty: {name}"))
+                     f"Required field is empty: {name}")
 
 
 def type_rules(fields, kinds):
     for name, allowed in kinds.items():
         f = fields[name]
         yield _error(f.filled & ~f.kind.isin(sorted(allowed)), "WRONG_TYPE", name, "ERROR",
-                     F.concat(F.lit(f"Wrong type for {name}: "), f.kind))
+                     f"Wrong type: {name} must be {' or '.join(sorted(allowed))}")
 
 
 def range_rules(fields, ranges, severity="ERROR"):
     for name, (low, high) in ranges.items():
         f = fields[name]
-        outside = (f.number < F.lit(low).cast("decimal(38,10)")) | (
-            f.number > F.lit(high).cast("decimal(38,10)"))
+        outside = (f.number < low) | (f.number > high)
         yield _error(f.filled & f.number.isNull(), "NOT_NUMERIC", name, severity,
-                     F.lit(f"Not a number: {name}"))
+                     f"Not a number: {name}")
         yield _error(f.filled & outside, "OUT_OF_RANGE", name, severity,
-                     F.concat(F.lit(f"Outside [{low}, {high}]: {name} = "), f.text))
+                     f"Outside [{low}, {high}]: {name}")
 
 
 def allowed_rules(fields, lists):
     for name, values in lists.items():
         f = fields[name]
         yield _error(f.filled & ~f.text.isin(list(values)), "NOT_ALLOWED", name, "ERROR",
-                     F.concat(F.lit(f"Value not allowed: {name} = "), f.text))
+                     f"Value not allowed: {name}")
 
 
 def pattern_rules(fields, patterns):
@@ -171,29 +179,26 @@ def pattern_rules(fields, patterns):
         f = fields[name]
         # (?d): only \n ends a line, so one trailing newline is accepted and nothing else
         yield _error(f.filled & ~f.text.rlike(f"(?d){pattern}"), "PATTERN_MISMATCH", name,
-                     "ERROR", F.concat(F.lit(f"Pattern mismatch: {name} = "), f.text))
+                     "ERROR", f"Pattern mismatch: {name}")
 
 
 def amount_rules(fields, cfg):
     f = fields["amount"]
     yield _error(f.present & f.number.isNull(), "AMOUNT_FORMAT", "amount", "CRITICAL",
-                 F.lit("Unreadable amount"))
-    yield _error(f.number > F.lit(cfg.business_max_amount).cast("decimal(38,10)"),
-                 "AMOUNT_ABOVE_MAX", "amount", "ERROR",
-                 F.concat(F.lit("Amount above maximum: "), f.text))
-    yield _error(f.number < F.lit(cfg.business_min_amount).cast("decimal(38,10)"),
-                 "AMOUNT_BELOW_MIN", "amount", "ERROR",
-                 F.concat(F.lit("Amount below minimum: "), f.text))
+                 "Unreadable amount")
+    yield _error(f.number > cfg.business_max_amount, "AMOUNT_ABOVE_MAX", "amount", "ERROR",
+                 f"Amount above {cfg.business_max_amount}")
+    yield _error(f.number < cfg.business_min_amount, "AMOUNT_BELOW_MIN", "amount", "ERROR",
+                 f"Amount below {cfg.business_min_amount}")
 
 
 def timestamp_rules(fields, cfg, as_of):
     f = fields["timestamp"]
-    instant = as_instant(f.text)
-    yield _error(f.present & instant.isNull(), "TIMESTAMP_FORMAT", "timestamp", "ERROR",
-                 F.lit("Unreadable timestamp"))
-    yield _error(instant > moment(as_of) + hours(cfg.future_tolerance_hours),
+    yield _error(f.present & f.instant.isNull(), "TIMESTAMP_FORMAT", "timestamp", "ERROR",
+                 "Unreadable timestamp")
+    yield _error(f.instant > moment(as_of) + hours(cfg.future_tolerance_hours),
                  "TIMESTAMP_FUTURE", "timestamp", "CRITICAL",
-                 F.concat(F.lit("Timestamp in the future: "), f.text))
+                 "Timestamp too far in the future")
 
 
 def currency_rules(fields):
@@ -201,7 +206,7 @@ def currency_rules(fields):
     fraction = (currency.isin(WHOLE_CURRENCIES) & (amount != F.round(amount, 0))) | (
         currency.isin(TWO_DECIMAL_CURRENCIES) & (amount != F.round(amount, 2)))
     yield _error(fraction, "CURRENCY_DECIMALS", "amount", "ERROR",
-                 F.concat(F.lit("Too many decimals for "), currency))
+                 "Too many decimals for the currency")
 
 
 def transaction_rules(fields, cfg, as_of):

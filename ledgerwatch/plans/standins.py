@@ -168,8 +168,10 @@ def stored(spark, sf_dir, name, build):
 
 
 def message_log(spark, sf_dir):
-    """``event_messages`` as a stored log."""
-    return stored(spark, sf_dir, "message-log", event_messages)
+    """``event_messages`` as a stored log, spread like the partitions of a topic."""
+    return stored(
+        spark, sf_dir, "message-log",
+        lambda s, p: event_messages(s, p).repartition("kafka_partition"))
 
 
 def event_messages(spark, sf_dir):
