@@ -12,6 +12,7 @@ LAYERS = ("bronze", "silver", "gold")
 WRITE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
 MONEY = "DECIMAL(18,2)"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # Columns of the gold tables.
 GOLD_DAILY = f"""
@@ -135,10 +136,13 @@ def upsert(spark, table, source, keys, update_columns=None, partition=None):
     aside = fresh_dir(spark, "upsert")
     merged.write.parquet(aside)
     result = spark.read.schema(merged.schema).parquet(aside)
-    writer = result.write.mode("overwrite")
-    if partition:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table)
+    # insertInto takes the overwrite mode from the session only, not from a writer option
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic" if partition else "static")
+    try:
+        result.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def export(df, path_or_table, user, audit_table, as_table=False, mode="append"):
