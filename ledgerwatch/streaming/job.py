@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ledgerwatch import schema
 from ledgerwatch.config import PipelineConfig
 from ledgerwatch.operators import alerts, dedup, detect, monitor, quality, validate
 from ledgerwatch.plans import medallion
@@ -135,9 +136,26 @@ def start(transactions, job, available_now=False, name="transactions"):
     return writer.trigger(processingTime=f"{job.trigger_seconds} seconds").start()
 
 
+TABLES = {
+    "bronze": (schema.BRONZE_DDL, ""),
+    "silver": (schema.SILVER_DDL, ", features_complete boolean"),
+    "alerts": (schema.ALERT_DDL, ""),
+    "quarantine": (
+        "raw string, kafka_topic string, kafka_partition int, kafka_offset long, "
+        "kafka_timestamp timestamp", ""),
+    "quality": (
+        "metric_time timestamp, quality_score double, validation_rate double, batch_size long, "
+        "processing_seconds double, error_count long", ""),
+}
+
+
 def read_table(spark, job, table):
-    """A table the job has written, all batches."""
-    return spark.read.option("basePath", job.path(table)).parquet(job.path(table))
+    """A table the job has written, all batches; its schema is declared, so it may be empty."""
+    columns, extra = TABLES[table]
+    return (
+        spark.read.schema(f"{columns.strip()}{extra}, batch_id long")
+        .option("basePath", job.path(table)).parquet(job.path(table))
+    )
 
 
 def stop(queries):

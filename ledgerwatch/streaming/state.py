@@ -47,7 +47,7 @@ class CustomerHistory(StatefulProcessor):
         if key[0] == schema.UNKNOWN_CUSTOMER:
             yield self._empty(new)
             return
-        new = new.assign(_new=True)
+        new = new.assign(_new=True, micros=new["micros"].astype("int64"))
         stored = self.tail.get() if self.tail.exists() else ([], [], [], [], [], False)
         old = pd.DataFrame({
             "micros": pd.Series(list(stored[0]), dtype="int64"), "transaction_id": stored[1],
@@ -134,7 +134,8 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
     their window features are NULL until a batch run fills them.  Rows of
     unknown customers are spread over salts and touch no state.
     """
-    customer = F.coalesce(F.col(features.CUSTOMER), F.lit(schema.UNKNOWN_CUSTOMER))
+    usable = F.col(features.CUSTOMER).isNotNull() & F.col("timestamp").isNotNull()
+    customer = F.when(usable, F.col(features.CUSTOMER)).otherwise(schema.UNKNOWN_CUSTOMER)
     salt = F.when(
         customer == schema.UNKNOWN_CUSTOMER,
         F.pmod(F.xxhash64("transaction_id", "timestamp", "amount"), F.lit(UNKNOWN_SALTS)),
@@ -142,7 +143,8 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
     narrow = df.select(
         customer.alias("_customer"), salt.cast("int").alias("_salt"),
         F.coalesce("transaction_id", F.lit("")).alias("transaction_id"),
-        F.unix_micros("timestamp").alias("micros"),
+        # never NULL: one NULL would turn the whole pandas column into floats
+        F.coalesce(F.unix_micros("timestamp"), F.lit(0)).alias("micros"),
         F.col("amount").cast("double").alias("amount"),
         F.col("location.latitude").alias("lat"), F.col("location.longitude").alias("lon"),
         F.to_json(F.struct(*df.columns), {"timestampFormat": STAMP}).alias("payload"),
@@ -156,7 +158,10 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
     rows = features.add_row_features(
         rows.withColumn("_prev_ts", F.timestamp_micros("_prev_us")).drop("_prev_us"))
     finished = features._finish(rows, cfg)
-    known = F.col("features_complete") & (F.col(features.CUSTOMER) != schema.UNKNOWN_CUSTOMER)
+    known = (
+        F.col("features_complete") & F.col("timestamp").isNotNull()
+        & (F.col(features.CUSTOMER) != schema.UNKNOWN_CUSTOMER)
+    )
     windowed = [*features.velocity_names(cfg), "amount_zscore", "distance_from_last_km",
                 "time_since_last_minutes"]
     return finished.withColumns({c: F.when(known, F.col(c)) for c in windowed}).drop(
