@@ -4,7 +4,7 @@ Each stage takes the whole output of the one before, is written as Parquet below
 shared folder and read back, so a stage never recomputes its predecessors.
 """
 
-from ledgerwatch.llm import probminhash, quality
+from ledgerwatch.llm import decontam, mixing, probminhash, quality, splitters
 from ledgerwatch.llm.staging import stage, table
 
 
@@ -18,7 +18,28 @@ def near_dedup(spark, docs, sf_dir):
     return probminhash.keep_one(docs)
 
 
-STAGES = [("quality", quality_filter), ("near_dedup", near_dedup)]
+def decontaminate(spark, docs, sf_dir):
+    """Documents that hold a test item go."""
+    return decontam.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Documents are repeated, kept or left out as the target weights of their sources ask."""
+    return mixing.mix(docs)
+
+
+def shard(spark, docs, sf_dir):
+    """Every remaining row gets its shard and its place in it."""
+    return splitters.assign(docs)
+
+
+STAGES = [
+    ("quality", quality_filter),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("sharding", shard),
+]
 
 # Trained weights and signatures have no SQL form; tests compare with a brute-force version.
 ORACLE_SQL = None

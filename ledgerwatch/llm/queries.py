@@ -1,6 +1,8 @@
 """One query per operator, over whole tables, and the SQL twins where SQL can say the same."""
 
-from ledgerwatch.llm import probminhash, quality
+from pyspark.sql import functions as F
+
+from ledgerwatch.llm import decontam, mixing, probminhash, quality, splitters
 from ledgerwatch.llm.staging import table
 
 QUERIES = {}
@@ -22,6 +24,23 @@ def op2_probminhash(spark, d):
     return probminhash.classes(table(spark, d, "documents"))
 
 
+@query(mixing.SQL)
+def op4_mixing(spark, d):
+    return mixing.allocate(table(spark, d, "documents")).drop("copies")
+
+
+@query()
+def op6_decontamination(spark, d):
+    return decontam.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query()
+def op8_splitters(spark, d):
+    return splitters.assign(table(spark, d, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query()
 def op9_quality(spark, d):
     return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
