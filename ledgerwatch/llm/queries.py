@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import decontam, mixing, probminhash, quality, splitters
+from ledgerwatch.llm import blocknames, decontam, mixing, probminhash, quality, splitters, tokencount
 from ledgerwatch.llm.staging import table
+from ledgerwatch.session import fresh_dir
+
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES = {}
 SQL = {}
@@ -24,11 +27,26 @@ def op2_probminhash(spark, d):
     return probminhash.classes(table(spark, d, "documents"))
 
 
+@query()
+def op3_token_counts(spark, d):
+    """Starts from an empty cache, so that every distinct content is encoded."""
+    import public_tokenizers
+
+    return tokencount.count_tokens(
+        table(spark, d, "documents"), public_tokenizers.path(TOKENIZER),
+        fresh_dir(spark, "llm-token-cache"))
+
+
 @query(mixing.SQL)
 def op4_mixing(spark, d):
     return mixing.allocate(table(spark, d, "documents")).drop("copies")
 
 
+@query(blocknames.SQL)
+def op5_block_names(spark, d):
+    return blocknames.deduplicate(table(spark, d, "documents"))
+
+
 @query()
 def op6_decontamination(spark, d):
     return decontam.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
