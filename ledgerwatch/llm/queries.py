@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import blocknames, decontam, mixing, probminhash, quality, splitters, tokencount
+from ledgerwatch.llm import (
+    blocknames, decontam, deobfuscate, mixing, probminhash, quality, redirects, splitters, tokencount,
+)
 from ledgerwatch.llm.staging import table
 from ledgerwatch.session import fresh_dir
 
@@ -52,6 +54,15 @@ def op6_decontamination(spark, d):
     return decontam.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+         ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query(redirects.SQL)
+def op7_redirects(spark, d):
+    return redirects.judge(table(spark, d, "pages"), RULES)
+
+
 @query()
 def op8_splitters(spark, d):
     return splitters.assign(table(spark, d, "documents")).select(
@@ -62,3 +73,17 @@ def op8_splitters(spark, d):
 @query()
 def op9_quality(spark, d):
     return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query()
+def op10_deobfuscation(spark, d):
+    found = deobfuscate.detect(table(spark, d, "documents"))
+
+    def of(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [of(kind).alias(f"n_{kind}") for kind in deobfuscate.KINDS]
+    base = F.filter("spans", lambda s: s["plain"])
+    return found.select(
+        "doc_id", *counts, F.sha2(deobfuscate.as_text(base), 256).alias("base_sha256"),
+        deobfuscate.as_text(F.col("spans")).alias("spans"))
