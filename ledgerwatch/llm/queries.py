@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (
     blocknames, decontam, deobfuscate, mixing, probminhash, quality, redirects, splitters, tokencount,
+    warc,
 )
 from ledgerwatch.llm.staging import table
 from ledgerwatch.session import fresh_dir
@@ -24,6 +25,13 @@ def query(sql=None):
     return register
 
 
+@query(warc.SQL)
+def op1_warc(spark, d):
+    path = fresh_dir(spark, "llm-archives")
+    warc.write_archives(table(spark, d, "pages"), path)
+    return warc.catalogue(warc.read_archives(spark, path))
+
+
 @query()
 def op2_probminhash(spark, d):
     return probminhash.classes(table(spark, d, "documents"))
