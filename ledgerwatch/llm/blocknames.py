@@ -31,6 +31,7 @@ from ledgerwatch.llm.staging import stage
 class NamingConfig:
     block_bytes: int = 8192
     bucket_rows: int = 50_000  # names ranked in one sorted group
+    hash_bits: int = 64  # fewer bits only mean more ties
 
 
 def normalised(text):
@@ -46,10 +47,11 @@ def blocks(docs, config, id_col, text_col):
         F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("chars"),
         normalised(F.col(text_col)).cast("binary").alias("body"))
     n = F.greatest(F.ceil(F.octet_length("body") / config.block_bytes), F.lit(1)).cast("int")
-    cut = base.select("*", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("at"))
+    cut = base.select("*", F.sha2("body", 256).alias("text_sha256"), n.alias("n"),
+                      F.explode(F.sequence(F.lit(0), n - 1)).alias("at"))
     block = F.col("body").substr(F.col("at") * config.block_bytes + 1, F.lit(config.block_bytes))
-    return cut.select("row", "id", "chars", "n", "at", "body", block.alias("block")).withColumn(
-        "hash", F.xxhash64("block"))
+    return cut.withColumn("block", block).drop("body").withColumn(
+        "hash", F.shiftright(F.xxhash64("block"), 64 - config.hash_bits))
 
 
 def _ranked(distinct, keys, buckets):
@@ -60,7 +62,7 @@ def _ranked(distinct, keys, buckets):
         "name", F.row_number().over(order).cast("long") * buckets + F.col("bucket")).drop("bucket")
 
 
-def name_blocks(docs, placed, config, buckets, id_col, text_col):
+def name_blocks(docs, config, buckets, id_col, text_col):
     """(hash, block, name): names of the distinct blocks; ``block`` only where hashes tie."""
     whole = blocks(docs, config, id_col, text_col).select("hash", "block")
     held = whole.distinct().groupBy("hash").agg(F.count("*").alias("blocks"))
@@ -87,20 +89,22 @@ def name_pairs(named, buckets):
 def identify(docs, config=NamingConfig(), id_col="doc_id", text_col="text"):
     """(row, id, chars, text_sha256, level, name) of every row of ``docs``."""
     placed = stage(blocks(docs, config, id_col, text_col).select(
-        "row", "id", "chars", "n", "at", "hash",
-        F.when(F.col("at") == 0, F.sha2("body", 256)).alias("text_sha256")), "blocks")
+        "row", "id", "chars", "n", "at", "hash", "text_sha256"), "blocks")
     total = placed.count()
     buckets = max(1, -(-total // config.bucket_rows))
-    names, tied = name_blocks(docs, placed, config, buckets, id_col, text_col)
+    names, tied = name_blocks(docs, config, buckets, id_col, text_col)
     plain = names.filter("block IS NULL").select("hash", "name") if tied else names.select(
         "hash", "name")
     named = placed.select("row", "n", "at", "hash").join(plain, "hash")
     if tied:
-        # The rows were numbered in one pass that is stored; a tied block is found by its bytes.
-        hashes = names.filter("block IS NOT NULL").select("hash").distinct()
-        again = blocks(docs, config, id_col, text_col).join(hashes, "hash", "left_semi")
-        exact = again.join(names.filter("block IS NOT NULL"), ["hash", "block"])
-        named = named.unionByName(exact.select("row", "n", "at", "hash", "name"))
+        # The bytes of a tied block are read again; its rows are known by text and place.
+        ties = names.filter("block IS NOT NULL")
+        exact = (blocks(docs, config, id_col, text_col)
+                 .join(ties.select("hash").distinct(), "hash", "left_semi")
+                 .select("text_sha256", "at", "hash", "block").distinct()
+                 .join(ties, ["hash", "block"]).select("text_sha256", "at", "hash", "name"))
+        named = named.unionByName(placed.join(exact, ["text_sha256", "at", "hash"]).select(
+            "row", "n", "at", "hash", "name"))
     named = stage(named.drop("hash"), "level-0")
     done, level = named.filter("n = 1").select("row", F.lit(0).alias("level"), "name"), 0
     rest = named.filter("n > 1")

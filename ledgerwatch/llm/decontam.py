@@ -18,9 +18,9 @@ in the passage, and both its question and its answer are covered by the passage'
 answer is the rest, or the whole text where there is only one sentence.
 
 The corpus is read once and never shuffled.  The index is built by aggregates and sent to the tasks
-in slices of at most ``slice_items`` items of at most ``item_words`` words: a proven size.  More
-items mean more slices, each a further pass; longer items are cut into pieces of that length, each
-tested like an item.
+in hashed slices of about ``slice_items`` items of at most ``item_words`` words, whatever their
+number.  More items mean more slices, each a further pass; longer items are cut into pieces of that
+length, each tested like an item.
 
 Null or empty items are dropped, null or empty texts match nothing.  Repeated items are found under
 each id, repeated rows of a document each give their matches.  Other columns are ignored.
@@ -112,8 +112,9 @@ def build(items, config=DecontamConfig(), id_col="item_id", text_col="text"):
     part = F.pmod(F.xxhash64("item", "piece"), F.lit(slices))
     for number in range(slices):
         rows = scored.filter(part == number).orderBy("item", "piece").collect()
-        yield Index([(r["item"], r["text"], [p["term"] for p in r["p"]], [p["w"] for p in r["p"]])
-                     for r in rows], config)
+        if rows:
+            yield Index([(r["item"], r["text"], [p["term"] for p in r["p"]], [p["w"] for p in r["p"]])
+                         for r in rows], config)
 
 
 class Index:

@@ -67,8 +67,9 @@ def water_fill(sources, total, max_epochs):
         full, free = sources.agg(
             F.sum(F.when(above, cap).otherwise(0)), F.sum(F.when(above, 0).otherwise(F.col("weight")))
         ).first()
-        if not free:  # every source is clamped
-            return sources.withColumn("target", cap.cast("double"))
+        if not free:  # every source that has a weight is clamped
+            return sources.withColumn("target", F.when(
+                F.col("weight") > 0, cap.cast("double")).otherwise(0.0))
         before, level = level, (total - full) / free
         if level == before:
             break

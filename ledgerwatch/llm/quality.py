@@ -132,7 +132,6 @@ def train(rows, config):
 def fit(docs, labels, config=QualityModelConfig(), id_col="doc_id", text_col="text",
         label_col="quality"):
     """Weights (2**bits + 1 floats, the bias last) learnt from a bounded sample of ``labels``."""
-    order = F.xxhash64(F.col(id_col).cast("string"), F.lit("quality"))
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
               .dropna().withColumn("at", F.xxhash64(F.col("id").cast("string")))
               .orderBy("at", "id").limit(config.max_rows))
@@ -154,7 +153,6 @@ def fit(docs, labels, config=QualityModelConfig(), id_col="doc_id", text_col="te
     model = (rows.mapInPandas(prepare, "at long, id string, y double, i binary, v binary")
              .repartition(1).sortWithinPartitions("at", "id", "y")
              .mapInPandas(learn, "w binary").collect())
-    del order
     return np.frombuffer(model[0]["w"], np.float32) if model else np.zeros(
         2 ** config.bits + 1, np.float32)
 
