@@ -5,6 +5,9 @@ from dataclasses import dataclass, field
 from ledgerwatch import schema
 
 
+DEVELOPMENT_SALT = "development-only"
+
+
 @dataclass(frozen=True)
 class QualityConfig:
     # Limits of the quality flags, the row rules and the health report.
@@ -29,24 +32,24 @@ class QualityConfig:
 
 @dataclass(frozen=True)
 class PrivacyConfig:
-    salt: str = "development-only"
+    # The salt becomes a literal of the plan and so shows in event logs: keep these private.
+    salt: str = DEVELOPMENT_SALT
     hash_length: int = 16
     algorithm: str = "hmac"  # or "sha2": sha256(salt + id), 64 hex digits
     masking_enabled: bool = True
     production: bool = False
 
+    def __post_init__(self):
+        if self.production and self.salt == DEVELOPMENT_SALT:
+            raise ValueError("production needs a salt of its own")
+
 
 @dataclass(frozen=True)
 class FeatureConfig:
     velocity_hours: tuple = (1, 6, 24)
     history_rows: int = 50
     earth_radius_km: float = 6371.0
-    # A customer above this many rows takes the split path (see operators.skew).
-    hot_customer_rows: int = 50_000
-    # At most this many customers are routed; the list is broadcast, so this
-    # bounds its size.  All others are computed by the plain path, also exactly.
-    hot_customer_limit: int = 100_000
-    # Rows per window group on the split path.
+    # Rows per window group (see operators.features).
     chunk_rows: int = 50_000
 
 

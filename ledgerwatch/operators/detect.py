@@ -1,15 +1,15 @@
 """The eight fraud patterns as boolean columns.
 
-Plain path: trailing RANGE frames per customer, ordered by second; all frames
-and the features share one exchange.  Split path, for hot customers: the same
-frames as running sums of per-second counts (``skew.sliding_sums``), joined back
-on (customer, second).
+One path for all customers: every trailing window is a running sum of
+per-second counts (``skew.sliding_sums``), joined back on (customer, second),
+so no group is a whole customer and no frame is swept row by row.  Only the
+measures of the patterns asked for are computed.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.config import DetectorConfig, FeatureConfig
+from ledgerwatch.config import DetectorConfig
 from ledgerwatch.operators import skew
 from ledgerwatch.operators.features import CUSTOMER
 from ledgerwatch.schema import UNKNOWN_CUSTOMER
@@ -47,6 +47,14 @@ def _traits(cfg):
     }
 
 
+# Which additive windows a pattern reads.
+MEASURES_OF = {
+    "account_takeover": ["_n_takeover"], "card_testing": ["_n_small", "_n_small_declined"],
+    "synthetic_identity": ["_n_large"],
+    "bust_out": ["_n_day", "_sum_day", "_n_month", "_sum_month"],
+}
+
+
 def _window_measures(cfg):
     """name -> (value, span in seconds) of every additive trailing window."""
     amount = F.coalesce(F.col("amount"), F.lit(0)).cast("decimal(28,2)")
@@ -111,29 +119,7 @@ def _rising_run(group, cfg):
     return rises, F.sum("_rises").over(ordered.rowsBetween(-(steps - 1), 0)) == steps
 
 
-def _plain(df, cfg):
-    by_second = Window.partitionBy(CUSTOMER).orderBy("_sec")
-    rows = df
-    columns = {
-        name: F.sum(value).over(by_second.rangeBetween(-span, 0))
-        for name, (value, span) in _window_measures(cfg).items()
-    }
-    collusion = by_second.rangeBetween(-cfg.collusion_minutes * 60, 0)
-    risky = F.col("_risky_category")
-    columns |= {
-        "_first_sec": F.min("_sec").over(
-            by_second.rangeBetween(Window.unboundedPreceding, 0)),
-        "_merchants": F.size(
-            F.collect_set(F.when(risky, F.col("merchant_id"))).over(collusion)),
-        "_max_amount": F.max(F.when(risky, F.col("amount"))).over(collusion),
-        "_min_amount": F.min(F.when(risky, F.col("amount"))).over(collusion),
-    }
-    rows = rows.withColumns(columns)
-    rises, run = _rising_run([CUSTOMER, "merchant_id"], cfg)
-    return rows.withColumn("_rises", rises).withColumn("_rising_run", run)
-
-
-def _hot_collusion(rows, cfg):
+def _collusion(rows, cfg):
     """Distinct merchants and amount spread of the trailing hour, one row per second.
 
     A merchant counts from one of its rows until its next row or the end of the
@@ -185,7 +171,7 @@ def _hot_collusion(rows, cfg):
     return counted.join(spread, [CUSTOMER, "_sec"])
 
 
-def _hot_rising_runs(rows, cfg):
+def _rising_runs(rows, cfg):
     """Amount probing on (customer, merchant, block) groups.
 
     A run of n rows spans at most (n - 1) gaps, so rows of the last such stretch
@@ -202,17 +188,21 @@ def _hot_rising_runs(rows, cfg):
     )
 
 
-def _split(df, cfg):
-    sums = skew.sliding_sums(df, [CUSTOMER], "_sec", _window_measures(cfg))
-    # One row per hot customer: bounded by FeatureConfig.hot_customer_limit.
-    first = F.broadcast(df.groupBy(CUSTOMER).agg(F.min("_sec").alias("_first_sec")))
-    return (
-        _hot_rising_runs(df, cfg)
-        .join(sums, [CUSTOMER, "_sec"])
-        .join(_hot_collusion(df, cfg), [CUSTOMER, "_sec"], "left")
-        .withColumn("_merchants", F.coalesce("_merchants", F.lit(0)))
-        .join(first, CUSTOMER)
-    )
+def _windowed(df, cfg, patterns):
+    """The window columns that ``patterns`` read."""
+    out = df
+    if "amount_probing" in patterns:
+        out = _rising_runs(out, cfg)
+    wanted = {m for p in patterns for m in MEASURES_OF.get(p, [])}
+    measures = {n: m for n, m in _window_measures(cfg).items() if n in wanted}
+    if measures:
+        out = out.join(skew.sliding_sums(df, [CUSTOMER], "_sec", measures), [CUSTOMER, "_sec"])
+    if "merchant_collusion" in patterns:
+        out = out.join(_collusion(df, cfg), [CUSTOMER, "_sec"], "left").withColumn(
+            "_merchants", F.coalesce("_merchants", F.lit(0)))
+    if "synthetic_identity" in patterns:
+        out = out.join(df.groupBy(CUSTOMER).agg(F.min("_sec").alias("_first_sec")), CUSTOMER)
+    return out
 
 
 def add_row_patterns(df, cfg=DetectorConfig()):
@@ -222,26 +212,20 @@ def add_row_patterns(df, cfg=DetectorConfig()):
         {name: _holds(columns[name]) for name in ("velocity_attack", "impossible_travel")})
 
 
-def add_patterns(df, cfg=DetectorConfig(), routing=FeatureConfig()):
-    """Add the eight pattern columns to rows that carry the features.
+def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS):
+    """Add pattern columns (all eight, or those named) to rows that carry the features.
 
     "First seen" (synthetic identity) means first in ``df``: pass the whole
-    history.  Patterns of rows without a known customer are false.
+    history.  Patterns of rows without a known customer are false.  The input
+    is read several times: pass a stored table.
     """
     known = F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) \
         & F.col("timestamp").isNotNull()
     rows = df.withColumns({"_sec": F.unix_seconds("timestamp"), **_traits(cfg)})
-    plain, hot = skew.split_by_heat(
-        rows.filter(known), CUSTOMER, routing.hot_customer_rows, routing.hot_customer_limit
-    )
-    wanted = [
-        *df.columns,
-        *[_holds(condition).alias(name) for name, condition in _pattern_columns(cfg).items()],
-    ]
+    columns = _pattern_columns(cfg)
+    wanted = [*df.columns, *[_holds(columns[name]).alias(name) for name in patterns]]
     unknown = df.filter(~known | known.isNull()).withColumns(
-        {name: F.lit(False) for name in PATTERNS})
+        {name: F.lit(False) for name in patterns})
     return (
-        _plain(plain, cfg).select(wanted)
-        .unionByName(_split(hot, cfg).select(wanted))
-        .unionByName(unknown)
+        _windowed(rows.filter(known), cfg, patterns).select(wanted).unionByName(unknown)
     )

@@ -1,12 +1,10 @@
 """Per-customer features: velocity, amount z-score, distance and time since the last row.
 
-Plain path: one exchange and one sort.  ROWS frames are ordered by
-(second, time, id) and come first; RANGE frames by second reuse that order.
-
-Split path, for customers above ``hot_customer_rows``: velocities become
-running sums over (customer, day) groups of per-second counts; the same sums
-give every row its rank, and ROWS frames run over (customer, rank / chunk_rows)
-groups, each preceded by the 50 rows it looks back on.
+One path for all customers, whatever their size.  Velocities are running sums
+over (customer, day) groups of per-second counts, so a frame costs the same
+whatever its width; the same sums give every row its rank, and ROWS frames run
+over (customer, rank / chunk_rows) groups, each preceded by the 50 rows it
+looks back on.  No window holds a whole customer.
 
 Rows without a usable customer id keep the row-level features; their window
 features are NULL and they take part in no shuffle.
@@ -88,19 +86,7 @@ def _finish(df, cfg):
     }).drop(*HELPERS)
 
 
-def _plain(df, cfg):
-    rows = df.withColumn("_sec", F.unix_seconds("timestamp"))
-    ordered = Window.partitionBy(CUSTOMER).orderBy("_sec", "timestamp", "transaction_id")
-    by_second = Window.partitionBy(CUSTOMER).orderBy("_sec")
-    velocities = {
-        f"velocity_{h}h": F.count(F.lit(1)).over(by_second.rangeBetween(-3600 * h, 0)) - 1
-        for h in cfg.velocity_hours
-    }
-    looked_back = rows.withColumns(_history_columns(ordered, cfg))
-    return _finish(looked_back.withColumns(velocities), cfg)
-
-
-def _split(df, cfg):
+def _windowed(df, cfg):
     rows = df.withColumn("_sec", F.unix_seconds("timestamp"))
     one = F.lit(1).cast("long")
     measures = {f"velocity_{h}h": (one, 3600 * h) for h in cfg.velocity_hours}
@@ -139,14 +125,12 @@ def _without_customer(df, cfg):
 def add_features(df, cfg=FeatureConfig(), keep_statistics=False):
     """All features for rows with timestamp, amount, location, metadata and a hashed customer.
 
-    The input is read once per branch, so give it a cheap or stored frame.
+    The input is read three times, once for two columns only: give it a table
+    or a projection of one, and store a costly join first (``session.store``).
     """
     known = F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) \
         & F.col("timestamp").isNotNull()
     rows = add_row_features(df)
-    plain, hot = skew.split_by_heat(
-        rows.filter(known), CUSTOMER, cfg.hot_customer_rows, cfg.hot_customer_limit
-    )
     columns = [
         *rows.columns, *velocity_names(cfg), "amount_zscore", "distance_from_last_km",
         "time_since_last_minutes", "customer_avg_amount", "customer_stddev_amount",
@@ -154,7 +138,6 @@ def add_features(df, cfg=FeatureConfig(), keep_statistics=False):
     if not keep_statistics:
         columns = [c for c in columns if c not in ("customer_avg_amount", "customer_stddev_amount")]
     return (
-        _plain(plain, cfg).select(columns)
-        .unionByName(_split(hot, cfg).select(columns))
+        _windowed(rows.filter(known), cfg).select(columns)
         .unionByName(_without_customer(rows.filter(~known | known.isNull()), cfg).select(columns))
     )

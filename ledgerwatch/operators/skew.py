@@ -1,12 +1,9 @@
 """Building blocks that keep every window group bounded.
 
 A plain ``Window.partitionBy(customer)`` puts a whole customer into one task,
-and a sliding RANGE frame costs (rows in frame) per row.  Both are fine for
-ordinary customers and ruinous for one that holds a third of the table.  The
-helpers here route such keys to a path whose groups are bounded whatever the
-distribution:
+and a sliding RANGE frame costs (rows in frame) per row.  The helpers here work
+in groups that are bounded whatever the distribution:
 
-* ``hot_keys`` finds them with one map-side-combined count,
 * ``running_sums`` is a cumulative sum split over (key, block) groups,
 * ``sliding_sums`` turns a sliding frame into +/- events and a running sum,
 * ``exact_median`` ranks pre-counted values with the same running sum.
@@ -16,28 +13,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
-def hot_keys(df, key, min_rows, max_keys):
-    """The keys with more than ``min_rows`` rows, largest first.
-
-    At most ``max_keys`` keys are listed, which bounds what the caller
-    broadcasts.  A key left off the list is not lost: callers compute it on
-    their plain path.  With the list sorted by size, such a key holds less than
-    1/max_keys of the rows.
-    """
-    return (
-        df.groupBy(key).count()
-        .filter((F.col("count") > min_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("count"), key).limit(max_keys)
-        .select(key)
-    )
-
-
-def split_by_heat(df, key, min_rows, max_keys):
-    """(plain rows, hot rows).  Without hot keys AQE removes the hot branch."""
-    keys = F.broadcast(hot_keys(df, key, min_rows, max_keys))
-    return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
-
-
 def running_sums(df, keys, at, columns, block_width):
     """Add ``<column>`` cumulative sums over ``at`` per key, current row included.
 

@@ -29,5 +29,5 @@ def bronze(transactions, cfg=PipelineConfig(), as_of=None):
 def silver_alerts(silver_rows, cfg=PipelineConfig(), as_of=None):
     """Alerts of a silver table: patterns over the whole history, then all rules."""
     rows = silver_rows.withColumnRenamed("transaction_timestamp", "timestamp")
-    patterned = detect.add_patterns(rows, cfg.detectors, cfg.features)
+    patterned = detect.add_patterns(rows, cfg.detectors)
     return alert_ops.build_alerts(patterned, cfg.detectors, as_of)

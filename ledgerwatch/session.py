@@ -47,3 +47,10 @@ def shared_dir(spark, *parts):
 def fresh_dir(spark, name):
     """A new, unused path below the shared folder."""
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def store(df, name):
+    """``df`` written below the shared folder and read back: short lineage, one computation."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

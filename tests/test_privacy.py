@@ -57,7 +57,7 @@ def test_sha2_option_and_quotes_in_the_salt(spark):
 
 def test_customer_protection_by_environment(spark):
     df = spark.createDataFrame([("c1",)], "customer_id string")
-    assert privacy.protect_customer(df, PrivacyConfig(production=True)).columns == [
+    assert privacy.protect_customer(df, PrivacyConfig(salt="own", production=True)).columns == [
         "customer_id_hash"]
     assert set(privacy.protect_customer(df, PrivacyConfig()).columns) == {
         "customer_id", "customer_id_hash", "customer_id_original"}

@@ -1,4 +1,3 @@
-import dataclasses
 import random
 import statistics
 
@@ -6,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import DetectorConfig, FeatureConfig
+from ledgerwatch import session
 from ledgerwatch.operators import alerts, dedup, detect, features, gold, skew, validate
 
-PLAIN = FeatureConfig()
-SPLIT = FeatureConfig(hot_customer_rows=0, chunk_rows=60)
+SMALL_CHUNKS = FeatureConfig(chunk_rows=60)
 CHECKED = ["velocity_1h", "velocity_6h", "velocity_24h", "amount_zscore",
            "distance_from_last_km", "time_since_last_minutes"]
 
@@ -66,16 +65,32 @@ def test_features_against_brute_force(transactions):
             pytest.approx((t - before[-1][1]).total_seconds() / 60) if before else 0.0)
 
 
-def test_split_path_equals_plain_path(transactions):
+def test_chunk_size_does_not_matter(transactions):
     df = transactions(skewed_rows())
-    assert frame(features.add_features(df, SPLIT), CHECKED) == frame(
-        features.add_features(df, PLAIN), CHECKED)
+    assert frame(features.add_features(df, SMALL_CHUNKS), CHECKED) == frame(
+        features.add_features(df), CHECKED)
+
 
+def test_one_customer_with_many_rows_takes_linear_time(spark):
+    import time
 
-def test_one_exchange_and_one_sort_on_the_plain_path(transactions):
-    plan = features._plain(features.add_row_features(transactions(skewed_rows(10))), PLAIN)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
+    def seconds(n):
+        rows = spark.range(n).select(
+            F.col("id").cast("string").alias("transaction_id"), F.lit("c").alias("customer_id_hash"),
+            (F.lit(1704067200) + F.col("id") * 1728000 / n).cast("timestamp").alias("timestamp"),
+            (F.col("id") % 97).cast("decimal(10,2)").alias("amount"),
+            F.concat(F.lit("m"), F.col("id") % 5).alias("merchant_id"),
+            F.lit("RETAIL").alias("merchant_category"), F.lit("DECLINED").alias("status"),
+            F.lit(True).alias("is_international"), F.lit(False).alias("customer_present"),
+            F.struct(F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude")).alias("location"),
+            F.lit(None).cast("map<string,string>").alias("metadata"))
+        start = time.time()
+        featured = session.store(features.add_features(rows), "features")
+        detect.add_patterns(featured).write.format("noop").mode("overwrite").save()
+        return time.time() - start
+
+    seconds(1000)
+    assert seconds(200_000) < 10 * seconds(25_000)
 
 
 def test_edge_rows(transactions):
@@ -94,23 +109,61 @@ def test_edge_rows(transactions):
     assert got["t00003"][6:] == (0, 2)
 
 
-def test_hot_keys_left_off_the_list_are_still_computed(transactions):
-    df = transactions(skewed_rows())
-    one = dataclasses.replace(SPLIT, hot_customer_limit=1)
-    assert frame(features.add_features(df, one), CHECKED) == frame(
-        features.add_features(df), CHECKED)
-
-
-def test_patterns_agree_on_both_paths(transactions):
+def test_patterns_against_brute_force(transactions):
     cfg = DetectorConfig(
         takeover_rows=2, testing_rows=2, attack_rows=4, probing_rows=3, collusion_merchants=2,
         collusion_spread=5000.0, bustout_earlier_rows=2, bustout_recent_rows=1,
         bustout_factor=1.5, identity_rows=2)
-    df = features.add_features(transactions(skewed_rows(900))).persist()
-    plain = frame(detect.add_patterns(df, cfg, PLAIN), detect.PATTERNS)
-    assert plain == frame(detect.add_patterns(df, cfg, SPLIT), detect.PATTERNS)
-    assert all(any(row[i] for row in plain.values()) for i in range(len(detect.PATTERNS)))
-    df.unpersist()
+    df = session.store(features.add_features(transactions(skewed_rows(900))), "features")
+    rows = [r.asDict() for r in df.collect()]
+    for r in rows:
+        r["sec"] = int(r["timestamp"].timestamp())
+    got = frame(detect.add_patterns(df, cfg), detect.PATTERNS)
+    want = {r["transaction_id"]: brute_patterns(r, rows, cfg) for r in rows}
+    assert got == want
+    assert all(any(row[i] for row in got.values()) for i in range(len(detect.PATTERNS)))
+    for i, name in enumerate(detect.PATTERNS):
+        alone = frame(detect.add_patterns(df, cfg, [name]), [name])
+        assert alone == {k: (v[i],) for k, v in want.items()}
+
+
+def brute_patterns(r, rows, cfg):
+    mine = [x for x in rows if x["customer_id_hash"] == r["customer_id_hash"]]
+    last = lambda span: [x for x in mine if 0 <= r["sec"] - x["sec"] <= span]
+
+    def takeover(x):
+        far = x["is_international"] or (x["distance_from_last_km"] or 0) > cfg.distance_km
+        return x["amount"] >= cfg.takeover_amount and not x["customer_present"] and far
+
+    small = [x for x in last(cfg.testing_minutes * 60) if x["amount"] < cfg.testing_amount]
+    declined = [x for x in small if x["status"] == "DECLINED"]
+    risky = lambda x: x["merchant_category"] in cfg.collusion_categories
+    near = [x for x in last(cfg.collusion_minutes * 60) if risky(x)]
+    large = lambda x: x["amount"] >= cfg.identity_amount
+    day, month = last(86400), last(86400 * cfg.bustout_days)
+    earlier = sum(x["amount"] for x in month) - sum(x["amount"] for x in day)
+    n_earlier = len(month) - len(day)
+    key = lambda x: (x["sec"], x["timestamp"], x["transaction_id"])
+    shop = sorted((x for x in mine if x["merchant_id"] == r["merchant_id"] and key(x) <= key(r)), key=key)
+    run = shop[-cfg.probing_rows:]
+    return (
+        takeover(r) and sum(map(takeover, last(cfg.takeover_minutes * 60))) >= cfg.takeover_rows,
+        r["amount"] < cfg.testing_amount and len(small) >= cfg.testing_rows
+        and len(declined) / len(small) >= cfg.testing_declined_share,
+        r["velocity_1h"] + 1 >= cfg.attack_rows,
+        r["distance_from_last_km"] > cfg.travel_min_km
+        and r["distance_from_last_km"] > cfg.travel_speed_kmh * r["time_since_last_minutes"] / 60,
+        len(run) == cfg.probing_rows and all(
+            b["amount"] > a["amount"] and b["sec"] - a["sec"] <= cfg.probing_gap_minutes * 60
+            for a, b in zip(run, run[1:])),
+        risky(r) and len({x["merchant_id"] for x in near}) >= cfg.collusion_merchants
+        and max(x["amount"] for x in near) - min(x["amount"] for x in near) <= cfg.collusion_spread,
+        large(r) and r["sec"] <= min(x["sec"] for x in mine) + cfg.identity_hours * 3600
+        and sum(map(large, last(cfg.identity_hours * 3600))) >= cfg.identity_rows,
+        n_earlier >= cfg.bustout_earlier_rows and len(day) >= cfg.bustout_recent_rows
+        and float(sum(x["amount"] for x in day)) * n_earlier
+        >= cfg.bustout_factor * float(earlier) * len(day),
+    )
 
 
 def fired(transactions, rows, pattern):
