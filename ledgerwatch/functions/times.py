@@ -3,9 +3,18 @@
 from pyspark.sql import functions as F
 
 
+# Epoch milliseconds of the first and last instant of the years 1 to 9999.
+FIRST_MILLIS, LAST_MILLIS = -62135596800000, 253402300799999
+
+
 def as_instant(text):
-    """Timestamp from text holding epoch milliseconds or ISO date-time; NULL if neither."""
-    return F.coalesce(F.timestamp_millis(text.try_cast("bigint")), F.try_to_timestamp(text))
+    """Timestamp from text holding epoch milliseconds or ISO date-time; NULL if neither.
+
+    A number outside the years 1 to 9999 is no time: it would overflow, and end the job.
+    """
+    millis = text.try_cast("bigint")
+    real = F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis)
+    return F.coalesce(F.timestamp_millis(real), F.try_to_timestamp(text))
 
 
 def event_time(text, created_text):

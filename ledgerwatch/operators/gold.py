@@ -153,7 +153,7 @@ def merchant_analytics(silver, alerts, analysis_date):
     )
     place = _most_frequent(
         rows, "merchant_id", ["merchant_category", "country", "state", "city"])
-    ids = alerts.select("transaction_id").distinct()
+    ids = alerts.select("transaction_id")
     fraud = (
         rows.select("transaction_id", "merchant_id").join(ids, "transaction_id", "left_semi")
         .groupBy("merchant_id").agg(F.count("*").alias("_alerted"))
@@ -172,13 +172,11 @@ def labelled_fraud(transactions):
     """Share of rows carrying a ``fraud_pattern`` label, per label and in total."""
     label = F.coalesce(F.col("metadata").getItem("fraud_pattern"), F.lit("none"))
     per_label = transactions.groupBy(label.alias("fraud_pattern")).agg(F.count("*").alias("n"))
-    # one row per label reaches this window
-    shares = per_label.withColumn("_all", F.sum("n").over(Window.partitionBy()))
     labelled = F.when(F.col("fraud_pattern") != "none", F.col("n")).otherwise(0)
-    total = shares.agg(
-        F.lit("ALL").alias("fraud_pattern"), F.sum(labelled).alias("n"), F.max("_all").alias("_all")
-    )
-    return (
-        shares.filter("fraud_pattern <> 'none'").unionByName(total)
-        .withColumn("rate", F.col("n") / F.col("_all")).drop("_all")
-    )
+    # a combined count, one row, joined to every label
+    total = per_label.agg(
+        F.sum(labelled).alias("_labelled"), F.sum("n").alias("_all")).withColumn("_one", F.lit(1))
+    shares = per_label.filter("fraud_pattern <> 'none'").withColumn("_one", F.lit(1)).join(
+        F.broadcast(total), "_one").select("fraud_pattern", "n", "_all")
+    every = total.select(F.lit("ALL").alias("fraud_pattern"), F.col("_labelled").alias("n"), "_all")
+    return shares.unionByName(every).withColumn("rate", F.col("n") / F.col("_all")).drop("_all")

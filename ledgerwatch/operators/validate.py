@@ -63,6 +63,12 @@ class Field:
 
 
 VIEW = "_view_"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def as_number(text):
+    """Exact number from decimal text; NULL for anything else, as NaN, type suffixes or overflow."""
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("decimal(38,10)"))
 
 
 def _views(df, columns, names):
@@ -76,7 +82,7 @@ def _views(df, columns, names):
     read = {}
     for n in names:
         if f"{n}_number" not in columns:
-            read[f"{VIEW}{n}_number"] = part(n, "text").try_cast("double")
+            read[f"{VIEW}{n}_number"] = as_number(part(n, "text"))
         if f"{n}_instant" not in columns:
             read[f"{VIEW}{n}_instant"] = as_instant(part(n, "text"))
     # unused ones are pruned
@@ -122,7 +128,8 @@ def view_columns(df, names):
         columns[f"{n}_text"] = (F.col(n) if n in types else F.lit(None)).cast("string")
         columns[f"{n}_kind"] = F.lit(kind)
         if isinstance(t, T.NumericType):
-            columns[f"{n}_number"] = F.col(n).cast("double")
+            exact = isinstance(t, (T.DecimalType, T.IntegralType))
+            columns[f"{n}_number"] = F.col(n).cast("decimal(38,10)" if exact else "double")
         if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             columns[f"{n}_instant"] = F.col(n).cast("timestamp")
     return _views(df, columns, names)

@@ -74,8 +74,9 @@ msg AS (
 ),
 parsed AS (
   SELECT *,
-    CASE WHEN e % 163 = 0 THEN made ELSE sent END AS event_ts,
-    CASE WHEN e % 131 = 0 THEN 12.00::DECIMAL(10,2) WHEN e % 137 = 0 THEN NULL
+    CASE WHEN e % 163 = 0 OR e % 173 = 0 THEN made ELSE sent END AS event_ts,
+    CASE WHEN e % 139 = 0 OR e % 149 = 0 OR e % 157 = 0 THEN NULL
+         WHEN e % 131 = 0 THEN 12.00::DECIMAL(10,2) WHEN e % 137 = 0 THEN NULL
          WHEN e % 107 = 0 AND amount IS NOT NULL
          THEN CAST(CAST(amount || '5' AS DECIMAL(14,3)) AS DECIMAL(10,2))
          ELSE amount END AS read_amount
@@ -110,11 +111,13 @@ def quarantine_messages(spark, d):
 
 
 @query("""SELECT CAST(user_id AS VARCHAR) AS key,
-  '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}'
-    AS value FROM events""")
+  '{"event_id":' || event_id || ',"ts":' || epoch_us(ts) || ',"user_id":' || user_id
+  || ',"event_type":"' || event_type || '","value":' || CAST(value AS DECIMAL(20,4)) || ',"props":"'
+  || replace(props, '"', chr(92) || '"') || '"}' AS value FROM events""")
 def publish_messages(spark, d):
-    return messages.as_messages(
-        standins.table(spark, d, "events"), "user_id", ["event_id", "user_id", "event_type"])
+    return messages.as_messages(standins.table(spark, d, "events").withColumns({
+        "ts": us(F.col("ts").cast("timestamp")), "value": F.col("value").cast("decimal(20,4)"),
+    }), "user_id")
 
 
 @query(o.with_ctes(o.BASE_EVENTS, select="""
@@ -131,7 +134,7 @@ UPSERT_CTE = """
 target AS (
   SELECT o_custkey AS custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2))
     AS total, count(*) AS orders
-  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY 1
+  FROM orders GROUP BY 1
 ),
 source AS (
   SELECT user_id AS custkey, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total,
@@ -140,9 +143,7 @@ source AS (
 
 
 def _upsert_sides(spark, d):
-    target = standins.table(spark, d, "orders").filter(
-        "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
-    ).groupBy(F.col("o_custkey").alias("custkey")).agg(
+    target = standins.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total"),
         F.count("*").alias("orders"))
     source = standins.table(spark, d, "events").groupBy(F.col("user_id").alias("custkey")).agg(
@@ -167,13 +168,14 @@ def upsert_chosen_columns(spark, d):
     return tables.merge_frames(*_upsert_sides(spark, d), ["custkey"], ["total"])
 
 
-@query("""SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2))
-  AS total FROM events WHERE value > 50.0 GROUP BY event_type""")
+@query("""SELECT event_type, count(*) AS n, count_if(value > 50.0) AS n_above,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM events GROUP BY event_type""")
 def sql_over_views(spark, d):
     return tables.run_sql(
         spark,
-        """SELECT event_type, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total
-           FROM txn_source WHERE value > :least GROUP BY event_type""",
+        """SELECT event_type, count(*) AS n, count_if(value > :least) AS n_above,
+             sum(CAST(value AS DECIMAL(18,2))) AS total
+           FROM txn_source GROUP BY event_type""",
         {"least": 50.0}, txn_source=standins.table(spark, d, "events"))
 
 
@@ -264,26 +266,28 @@ def validation_sql(raw):
 seen AS (
   SELECT e, transaction_id AS f_id, customer_id AS f_customer, currency AS f_currency,
     merchant_id AS f_merchant, status AS f_status,
-    CASE WHEN e % 163 = 0 THEN NULL ELSE sent END AS f_ts,
+    CASE WHEN e % 163 = 0 OR e % 173 = 0 THEN NULL ELSE sent END AS f_ts, e % 163 = 0 AS null_ts,
     e % 151 = 0 AS broken, e % 5 = 0 AND e % 151 <> 0 AS keeps_nulls,
     e % 163 = 0 AND e % 5 <> 0 AS no_ts_key,
-    CASE WHEN e % 131 = 0 THEN '12' WHEN e % 137 = 0 THEN 'abc'
+    CASE WHEN e % 139 = 0 THEN '12d' WHEN e % 149 = 0 THEN 'NaN' WHEN e % 157 = 0 THEN '1e400'
+         WHEN e % 131 = 0 THEN '12' WHEN e % 137 = 0 THEN 'abc'
          WHEN e % 107 = 0 THEN CAST(amount AS VARCHAR) || '5'
          ELSE CAST(amount AS VARCHAR) END AS f_amount,
-    e % 131 = 0 AS int_amount,
-    e % 131 <> 0 AND e % 137 <> 0 AND amount IS NULL AS null_amount
+    e % 131 = 0 AND e % 139 <> 0 AND e % 149 <> 0 AND e % 157 <> 0 AS int_amount,
+    e % 131 <> 0 AND e % 137 <> 0 AND e % 139 <> 0 AND e % 149 <> 0 AND e % 157 <> 0
+      AND amount IS NULL AS null_amount
   FROM msg
 )"""
     else:
         seen = """
 seen AS (
   SELECT e, transaction_id AS f_id, customer_id AS f_customer, currency AS f_currency,
-    merchant_id AS f_merchant, status AS f_status, ts AS f_ts, false AS broken,
+    merchant_id AS f_merchant, status AS f_status, ts AS f_ts, ts IS NULL AS null_ts, false AS broken,
     true AS keeps_nulls, false AS no_ts_key, CAST(amount AS VARCHAR) AS f_amount,
     false AS int_amount, amount IS NULL AS null_amount
   FROM txn
 )"""
-    number = "TRY_CAST(f_amount AS DECIMAL(38,10))"
+    number = "TRY_CAST(f_amount AS DECIMAL(38,10))"  # NULL for 12d, NaN and 1e400
     live = "NOT broken"
     filled = "NOT broken AND f_amount IS NOT NULL"
     rules = [
@@ -296,7 +300,7 @@ seen AS (
         (f"{live} AND f_customer IS NOT NULL AND trim(f_customer) = ''", "REQUIRED_EMPTY",
          "customer_id", "CRITICAL"),
         (f"{live} AND no_ts_key", "REQUIRED_MISSING", "timestamp", "CRITICAL"),
-        (f"{live} AND f_ts IS NULL AND NOT no_ts_key", "REQUIRED_NULL", "timestamp", "CRITICAL"),
+        (f"{live} AND null_ts AND NOT no_ts_key", "REQUIRED_NULL", "timestamp", "CRITICAL"),
         (f"{live} AND f_ts IS NULL AND NOT no_ts_key", "TIMESTAMP_FORMAT", "timestamp", "ERROR"),
         (f"{live} AND null_amount", "REQUIRED_NULL", "amount", "CRITICAL"),
         (f"{live} AND int_amount", "WRONG_TYPE", "amount", "ERROR"),
@@ -692,16 +696,16 @@ def hash_hmac(spark, d):
         "e", privacy.hmac_identifier(F.col("customer_id"), o.SALT).alias("customer_id_hash"))
 
 
-# First e-mail and digit group of a document; whole texts are searched.
+# Every e-mail and digit group of a document, in order; one empty find where there is none.
 EMAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*"
 DIGIT_GROUP = r"[0-9][0-9 -]{2,}[0-9]"
 
 
-def _document_finds(spark, d):
+def _document_finds(spark, d, pattern, name):
+    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     return standins.table(spark, d, "documents").select(
-        "doc_id", "text",
-        F.regexp_extract("text", EMAIL, 0).alias("email"),
-        F.regexp_extract("text", DIGIT_GROUP, 0).alias("digits"))
+        "doc_id", F.posexplode(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))).alias(
+            "place", name))
 
 
 def digits_sql(least, prefix, fallback, c="digits"):
@@ -710,29 +714,35 @@ def digits_sql(least, prefix, fallback, c="digits"):
             f"ELSE '{fallback}' END")
 
 
-FINDS_SQL = f"""WITH finds AS (
-  SELECT doc_id, text, regexp_extract(text, '{EMAIL}', 0) AS email,
-    regexp_extract(text, '{DIGIT_GROUP}', 0) AS digits FROM documents
+def finds_sql(pattern, name):
+    return f"""WITH found AS (
+  SELECT doc_id, regexp_extract_all(text, '{pattern}') AS a FROM documents
+), finds AS (
+  SELECT doc_id, unnest(CASE WHEN len(a) > 0 THEN a ELSE [''] END) AS {name},
+    CAST(unnest(range(greatest(len(a), 1))) AS INTEGER) AS place FROM found
 )
 """
 
 
-@query(FINDS_SQL + f"SELECT doc_id, {digits_sql(4, '', '****')} AS card FROM finds")
+DIGITS_SQL, EMAILS_SQL = finds_sql(DIGIT_GROUP, "digits"), finds_sql(EMAIL, "email")
+
+
+@query(DIGITS_SQL + f"SELECT doc_id, place, {digits_sql(4, '', '****')} AS card FROM finds")
 def mask_card_number(spark, d):
-    return _document_finds(spark, d).select(
-        "doc_id", privacy.mask_card_number(F.col("digits")).alias("card"))
+    return _document_finds(spark, d, DIGIT_GROUP, "digits").select(
+        "doc_id", "place", privacy.mask_card_number(F.col("digits")).alias("card"))
 
 
-@query(FINDS_SQL + f"SELECT doc_id, {digits_sql(10, 'XXX-XXX-', 'XXX-XXX-XXXX')} AS phone FROM finds")
+@query(DIGITS_SQL + f"SELECT doc_id, place, {digits_sql(10, 'XXX-XXX-', 'XXX-XXX-XXXX')} AS phone FROM finds")
 def mask_phone(spark, d):
-    return _document_finds(spark, d).select(
-        "doc_id", privacy.mask_phone(F.col("digits")).alias("phone"))
+    return _document_finds(spark, d, DIGIT_GROUP, "digits").select(
+        "doc_id", "place", privacy.mask_phone(F.col("digits")).alias("phone"))
 
 
-@query(FINDS_SQL + f"SELECT doc_id, {digits_sql(9, 'XXX-XX-', 'XXX-XX-XXXX')} AS ssn FROM finds")
+@query(DIGITS_SQL + f"SELECT doc_id, place, {digits_sql(9, 'XXX-XX-', 'XXX-XX-XXXX')} AS ssn FROM finds")
 def mask_ssn(spark, d):
-    return _document_finds(spark, d).select(
-        "doc_id", privacy.mask_ssn(F.col("digits")).alias("ssn"))
+    return _document_finds(spark, d, DIGIT_GROUP, "digits").select(
+        "doc_id", "place", privacy.mask_ssn(F.col("digits")).alias("ssn"))
 
 
 def email_sql(c):
@@ -745,10 +755,10 @@ def email_sql(c):
         || '.' || split_part({domain}, '.', -1) ELSE '***.com' END) END"""
 
 
-@query(FINDS_SQL + f"SELECT doc_id, {email_sql('email')} AS email FROM finds")
+@query(EMAILS_SQL + f"SELECT doc_id, place, {email_sql('email')} AS email FROM finds")
 def mask_email(spark, d):
-    return _document_finds(spark, d).select(
-        "doc_id", privacy.mask_email(F.col("email")).alias("email"))
+    return _document_finds(spark, d, EMAIL, "email").select(
+        "doc_id", "place", privacy.mask_email(F.col("email")).alias("email"))
 
 
 @query("""SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN 'MASKED ADDRESS' ELSE

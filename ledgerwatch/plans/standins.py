@@ -179,7 +179,7 @@ def event_messages(spark, sf_dir):
 
     Times alternate between epoch milliseconds and ISO text, coordinates between
     both spellings; some messages lack keys, hold nulls, numbers where text is
-    due, too many decimals, or are no JSON at all.
+    due, too many decimals, numbers and times that overflow, or are no JSON at all.
     """
     e = F.col("kafka_offset")
     every = lambda n: e % n == 0
@@ -191,7 +191,8 @@ def event_messages(spark, sf_dir):
     long_keys, short_keys = every(3), ~every(3)
     body = F.struct(
         "transaction_id",
-        F.when(~every(163), when_text(F.col("timestamp"))).alias("timestamp"),
+        F.when(every(163), F.lit(None)).when(every(173), F.lit("9223372036854775807"))
+        .otherwise(when_text(F.col("timestamp"))).alias("timestamp"),
         "customer_id", "card_number_last4", "card_type", "currency", "merchant_id",
         "merchant_name", "merchant_category_code", "merchant_category",
         F.struct(
@@ -207,7 +208,9 @@ def event_messages(spark, sf_dir):
         when_text(F.col("created_at")).alias("created_at"), "version",
     )
     amount = (
-        F.when(every(131), F.lit("12"))
+        F.when(every(139), F.lit('"12d"')).when(every(149), F.lit('"NaN"'))
+        .when(every(157), F.lit('"1e400"'))
+        .when(every(131), F.lit("12"))
         .when(every(137), F.lit('"abc"'))
         .when(every(107) & F.col("amount").isNotNull(),
               F.concat(F.lit('"'), F.col("amount").cast("string"), F.lit('5"')))
