@@ -5,6 +5,7 @@ microseconds and lists as joined text, so that results compare exactly across
 engines.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import (
@@ -179,6 +180,69 @@ def sql_over_views(spark, d):
         {"least": 50.0}, txn_source=standins.table(spark, d, "events"))
 
 
+@query("""SELECT CAST(user_id AS VARCHAR) AS kafka_key, event_type AS kafka_topic,
+  CAST(event_id % 6 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
+  epoch_us(ts) AS kafka_us, props AS body FROM events""")
+def topic_projection(spark, d):
+    """Rows in the shape a topic has, under the library's names."""
+    topic = standins.table(spark, d, "events").select(
+        F.col("props").cast("binary").alias("value"),
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("event_type").alias("topic"), (F.col("event_id") % 6).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return messages.project_topic(topic).withColumns({
+        "kafka_us": us("kafka_timestamp"), "body": F.col("value").cast("string"),
+    }).drop("kafka_timestamp", "value")
+
+
+def _fresh_medallion(spark):
+    """The six tables under a name of their own, below the shared folder."""
+    root = fresh_dir(spark, "medallion")
+    prefix = f"m{root.rpartition('-')[2][:12]}_"
+    tables.create_medallion(spark, prefix, root)
+    return prefix, root
+
+
+@query("""SELECT event_type, count(*) AS appended, count(*) AS replaced FROM events GROUP BY 1""")
+def bulk_loaded_tables(spark, d):
+    """Rows appended in two halves, and rows that replaced others."""
+    prefix, _ = _fresh_medallion(spark)
+    events = standins.table(spark, d, "events")
+    for part in (0, 1):
+        tables.bulk_load(events.filter(F.col("event_id") % 2 == part), f"{prefix}bronze.appended")
+    tables.bulk_load(events.limit(10), f"{prefix}bronze.replaced")
+    tables.bulk_load(events, f"{prefix}bronze.replaced", "replace", rows_per_file=5000)
+    counted = [spark.table(f"{prefix}bronze.{n}").groupBy("event_type").agg(F.count("*").alias(n))
+               for n in ("appended", "replaced")]
+    return counted[0].join(counted[1], "event_type")
+
+
+@query("""SELECT 'auditor' AS user_id, 'DATA_EXPORT' AS event_type, count(*) AS row_count,
+  count(*) AS exported FROM events""")
+def audited_export(spark, d):
+    prefix, root = _fresh_medallion(spark)
+    audit = f"{prefix}gold.audit"
+    tables.export(standins.table(spark, d, "events"), f"{root}/export", "auditor", audit)
+    exported = spark.read.parquet(f"{root}/export").agg(F.count("*").alias("exported"))
+    return spark.table(audit).select("user_id", "event_type", "row_count", F.lit(1).alias("k")).join(
+        exported.withColumn("k", F.lit(1)), "k").drop("k")
+
+
+@query("""SELECT CAST(ts AS DATE) AS day, count(*) AS n, true AS in_order FROM events GROUP BY 1""")
+def clustered_layout(spark, d):
+    """Rows by date as written with the clustering: every file of a day is in order."""
+    root = fresh_dir(spark, "clustered")
+    events = standins.table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    tables.clustered(events, "day", "user_id").write.partitionBy("day").parquet(root)
+    rows = spark.read.parquet(root).select(
+        "day", "user_id", F.col("_metadata.file_name").alias("file"),
+        F.monotonically_increasing_id().alias("at"))
+    place = Window.partitionBy("day", "file").orderBy("at")
+    step = F.coalesce(F.col("user_id") >= F.lag("user_id").over(place), F.lit(True))
+    return rows.withColumn("ok", step).groupBy("day").agg(
+        F.count("*").alias("n"), F.min("ok").alias("in_order"))
+
+
 # ---------------------------------------------------------------- quality flags and layers
 
 @query(o.with_ctes(o.BASE_EVENTS, o.FLAGS, select="""
@@ -248,6 +312,13 @@ def silver_table(spark, d):
     return _comparable_silver(medallion.silver(EVENTS(spark, d), as_of=AS_OF))
 
 
+@query(SILVER_SQL)
+def silver_with_duplicates(spark, d):
+    """Every event arrives twice; the silver rows are those of one arrival."""
+    twice = EVENTS(spark, d).unionAll(EVENTS(spark, d))
+    return _comparable_silver(medallion.silver(twice, as_of=AS_OF))
+
+
 @query(o.with_ctes(o.BASE_EVENTS, o.FLAGS, select=f"""
 SELECT e, {o.hmac_sql('customer_id', 'one-of-our-own')} AS customer_id_hash, amount FROM scored"""))
 def production_projection(spark, d):
@@ -563,6 +634,39 @@ def quality_alerts(spark, d):
     return found.select("alert_type", "severity", us("alert_time", "alert_us"), "quality_score")
 
 
+# The days of the month as minutes before AS_OF, the last ten at nine tenths of their score.
+FALLING_CTE = f"""
+falling AS (
+  SELECT {o.NOW} - INTERVAL 1 MINUTE * date_diff('day', CAST(batch AS DATE), DATE '2024-01-30')
+      AS metric_time,
+    quality_score * CASE WHEN batch > DATE '2024-01-20' THEN 0.9::DOUBLE ELSE 1.0::DOUBLE END
+      AS quality_score
+  FROM history WHERE batch <= DATE '2024-01-30'
+),
+placed AS (SELECT *, row_number() OVER (ORDER BY metric_time DESC) AS place FROM falling),
+means AS (
+  SELECT avg(quality_score) FILTER (WHERE place <= 10) AS recent,
+    avg(quality_score) FILTER (WHERE place > 10) AS older,
+    max(quality_score) FILTER (WHERE place = 1) AS latest FROM placed
+)"""
+
+
+@query(o.with_ctes(*MONITORED, FALLING_CTE, select="""
+SELECT 'QUALITY_THRESHOLD_BREACH' AS alert_type,
+  CASE WHEN latest < 0.8 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, round(latest, 9) AS score
+FROM means WHERE latest < 0.95
+UNION ALL
+SELECT 'QUALITY_DEGRADATION', 'MEDIUM', round(latest, 9) FROM means WHERE recent - older < -0.02"""))
+def quality_degradation(spark, d):
+    day = F.col("metric_time").cast("date")
+    falling = _history(spark, d).filter(day <= F.lit("2024-01-30")).withColumns({
+        "metric_time": F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(
+            mins=F.date_diff(F.lit("2024-01-30"), day)),
+        "quality_score": F.col("quality_score") * F.when(day > F.lit("2024-01-20"), 0.9).otherwise(1.0)})
+    return monitor.quality_alerts(falling, as_of=AS_OF).select(
+        "alert_type", "severity", F.round("quality_score", 9).alias("score"))
+
+
 # ---------------------------------------------------------------- features
 
 FEATURE_COLUMNS = """velocity_1h, velocity_6h, velocity_24h, round(amount_zscore, 6) AS amount_zscore,
@@ -934,6 +1038,24 @@ def transactions_with_alert_flag(spark, d):
     return alerts.with_alert_flag(rows, _event_alerts(spark, d)).select("e", "has_alert")
 
 
+SILVER_ALERTED = [
+    o.BASE_EVENTS, o.FLAGS, o.FEATURES,
+    "kept AS (SELECT * FROM feat WHERE data_quality_score > 0.8)",
+    o.patterns_sql().replace("FROM feat", "FROM kept"), o.alerts_sql()]
+
+
+@query(o.with_ctes(*SILVER_ALERTED, select=f"""
+SELECT sha256(transaction_id || '|' || alert_type) AS alert_id, transaction_id,
+  {o.hmac_sql('customer_id')} AS customer_id_hash, alert_type, severity,
+  alert_risk AS risk_score, rules_triggered FROM alert"""))
+def silver_alerts(spark, d):
+    """The scheduled pass over silver: all eight patterns, over the stored rows."""
+    rows = store(medallion.silver(EVENTS(spark, d), as_of=AS_OF), "silver")
+    return medallion.silver_alerts(rows, as_of=AS_OF).select(
+        "alert_id", "transaction_id", "customer_id_hash", "alert_type", "severity", "risk_score",
+        joined("rules_triggered", "rules_triggered"))
+
+
 # ---------------------------------------------------------------- gold
 
 GOLD_CTE = """
@@ -1051,9 +1173,9 @@ def _event_stream(spark, d):
     return standins.events_as_transactions(stream)
 
 
-def _run_stream(spark, d):
+def _run_stream(spark, d, cfg=PipelineConfig()):
     root = fresh_dir(spark, "stream")
-    run = job.Job(f"{root}/tables", f"{root}/checkpoint", as_of=AS_OF)
+    run = job.Job(f"{root}/tables", f"{root}/checkpoint", cfg, as_of=AS_OF)
     job.start(_event_stream(spark, d), run, available_now=True).awaitTermination()
     return run
 
@@ -1101,6 +1223,23 @@ def stream_quality(spark, d):
         "batch_size", "error_count", "validation_rate")
 
 
+@query(SQL["stream_quality"])
+def stream_quality_in_production(spark, d):
+    """The clear id is gone before the rules run; the figures are the same."""
+    cfg = PipelineConfig(privacy=PrivacyConfig(salt="one-of-our-own", production=True))
+    return job.read_table(spark, _run_stream(spark, d, cfg), "quality").filter(
+        "processing_seconds > 0").select("batch_size", "error_count", "validation_rate")
+
+
+@query("SELECT 'transactions' AS name, 'TERMINATED' AS state, count(*) AS input_rows FROM events")
+def stream_status(spark, d):
+    root = fresh_dir(spark, "stream")
+    run = job.Job(f"{root}/tables", f"{root}/checkpoint", as_of=AS_OF)
+    query_run = job.start(_event_stream(spark, d), run, available_now=True)
+    query_run.awaitTermination()
+    return job.status(spark, [query_run]).select("name", "state", "input_rows")
+
+
 @query("""SELECT user_id, event_type, count(*) AS n FROM (
   SELECT DISTINCT event_id, user_id, event_type FROM events) GROUP BY 1, 2""")
 def stream_dedup_within_watermark(spark, d):

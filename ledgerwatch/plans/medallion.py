@@ -1,9 +1,11 @@
 """The batch composition: typed transactions to bronze, silver, alerts and gold."""
 
+from pyspark.sql import functions as F
+
 from ledgerwatch.config import PipelineConfig
 from ledgerwatch.functions.privacy import protect_customer
 from ledgerwatch.operators import alerts as alert_ops
-from ledgerwatch.operators import detect, features, quality
+from ledgerwatch.operators import dedup, detect, features, quality
 
 
 def secured(transactions, cfg=PipelineConfig(), as_of=None):
@@ -17,11 +19,38 @@ def enriched(transactions, cfg=PipelineConfig(), as_of=None):
     return features.add_features(secured(transactions, cfg, as_of), cfg.features)
 
 
+def first_of_each(transactions):
+    """One row per transaction id, the first by time and origin; rows without an id stay."""
+    order = [c for c in ("timestamp", "kafka_partition", "kafka_offset") if c in transactions.columns]
+    named = transactions.filter(F.col("transaction_id").isNotNull())
+    return dedup.keep_first(named, ["transaction_id"], order).unionByName(
+        transactions.filter(F.col("transaction_id").isNull()))
+
+
 def silver(transactions, cfg=PipelineConfig(), as_of=None):
-    passing = quality.passing_quality(enriched(transactions, cfg, as_of), cfg.quality)
+    """The silver rows; a transaction that arrives twice is one row and counts once."""
+    once = first_of_each(transactions)
+    passing = quality.passing_quality(enriched(once, cfg, as_of), cfg.quality)
     return quality.silver_projection(passing, as_of)
 
 
+def refill(silver_rows, transactions, cfg=PipelineConfig(), as_of=None):
+    """Silver rows with the features that a stream could not give late rows.
+
+    Rows with ``features_complete = false`` take their window features from a
+    batch run over ``transactions``, the full typed rows; the others stay.
+    """
+    windowed = ["amount_zscore", "distance_from_last_km", "time_since_last_minutes",
+                *features.velocity_names(cfg.features)]
+    fresh = enriched(first_of_each(transactions), cfg, as_of).select(
+        "transaction_id", *[F.col(c).alias(f"_{c}") for c in windowed])
+    late = silver_rows.filter("NOT features_complete").join(fresh, "transaction_id", "left")
+    filled = late.withColumns({
+        **{c: F.coalesce(f"_{c}", c) for c in windowed}, "features_complete": F.lit(True),
+    }).select(*silver_rows.columns)
+    return silver_rows.filter("features_complete").unionByName(filled)
+
+
 def bronze(transactions, cfg=PipelineConfig(), as_of=None):
     return quality.bronze_projection(secured(transactions, cfg, as_of))
 

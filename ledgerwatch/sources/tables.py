@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Observation
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch import schema
@@ -95,12 +95,15 @@ def merge_frames(target, source, keys, update_columns=None, now=None):
     """The target after an upsert: matched rows updated, new rows added.
 
     ``update_columns`` defaults to every non-key column.  ``updated_at`` is set
-    on updated rows if the target has it.  One full outer join on the keys, so
-    each side is shuffled once; keys are unique per side.
+    on updated rows if the target has it.  One full outer join on the keys.  A
+    key that the source holds twice ends the job: which row wins is undefined.
     """
     rest = [c for c in target.columns if c not in keys]
     updated = rest if update_columns is None else list(update_columns)
-    t, s = target.withColumn("_t", F.lit(True)), source.withColumn("_s", F.lit(True))
+    copies = F.count("*").over(Window.partitionBy(*keys))
+    once = F.when(copies > 1, F.raise_error(F.lit(
+        f"the source of an upsert holds a key more than once: {', '.join(keys)}"))).otherwise(True)
+    t, s = target.withColumn("_t", F.lit(True)), source.withColumn("_s", once.cast("boolean"))
     on = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
     in_target, in_source = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
     stamp = F.current_timestamp() if now is None else now
@@ -135,14 +138,13 @@ def upsert(spark, table, source, keys, update_columns=None, partition=None):
     merged = merge_frames(target, source, keys, update_columns)
     aside = fresh_dir(spark, "upsert")
     merged.write.parquet(aside)
-    result = spark.read.schema(merged.schema).parquet(aside)
-    # insertInto takes the overwrite mode from the session only, not from a writer option
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic" if partition else "static")
-    try:
-        result.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    # insertInto takes the overwrite mode from the session only, not from a writer option; a
+    # session of its own shares the tables and leaves concurrent writes alone
+    own = spark.newSession()
+    own.conf.set(OVERWRITE_MODE, "dynamic" if partition else "static")
+    (own.read.schema(merged.schema).parquet(aside)
+     .write.mode("overwrite").insertInto(table))
+    spark.catalog.refreshTable(table)
 
 
 def export(df, path_or_table, user, audit_table, as_table=False, mode="append"):

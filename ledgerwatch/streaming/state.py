@@ -3,7 +3,8 @@
 Window functions over rows are not available on streams, so the features come
 from keyed state in the RocksDB store.  A customer's state is bounded whatever
 the customer's volume: one counter per second of the longest velocity window
-plus the allowed lateness, and a fixed number of last rows.
+plus the allowed lateness, and the rows of the allowed lateness with as many
+before them as a feature looks back on.
 """
 
 import numpy as np
@@ -26,7 +27,8 @@ STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 def output_schema(cfg):
     velocities = ", ".join(f"{v} bigint" for v in features.velocity_names(cfg))
     return (f"payload string, {velocities}, _mean double, _sd double, "
-            "_prev_lat double, _prev_lon double, _prev_us bigint, features_complete boolean")
+            "_prev_lat double, _prev_lon double, _prev_us bigint, velocity_complete boolean, "
+            "history_complete boolean")
 
 
 class CustomerHistory(StatefulProcessor):
@@ -36,7 +38,6 @@ class CustomerHistory(StatefulProcessor):
         self.cfg = cfg
         self.spans = [3600 * h for h in cfg.velocity_hours]
         self.late = 3600 * late_hours
-        self.keep = 2 * cfg.history_rows
 
     def init(self, handle):
         self.counts = handle.getValueState("counts", COUNTS)
@@ -70,7 +71,7 @@ class CustomerHistory(StatefulProcessor):
         out, reach = out[out["_new"]], reach[every["_new"].to_numpy(dtype=bool)]
         out = self._velocities(out)
         # Without a cut the state holds everything; with one, 50 rows must lie before the row.
-        out["features_complete"] = out["features_complete"] & (reach | (not cut))
+        out["history_complete"] = reach | (not cut)
         self._store_tail(every, cut)
         yield out[self._columns()]
 
@@ -86,28 +87,31 @@ class CustomerHistory(StatefulProcessor):
         last = upto[np.searchsorted(at, sec, side="right")]
         for name, span in zip(features.velocity_names(self.cfg), self.spans):
             out[name] = last - upto[np.searchsorted(at, sec - span, side="left")] - 1
-        out["features_complete"] = True if horizon is None else sec >= horizon
+        out["velocity_complete"] = True if horizon is None else sec >= horizon
         kept = total[at >= at.max() - max(self.spans) - self.late]
         self.counts.update((kept.index.tolist(), kept.tolist()))
         return out
 
     def _store_tail(self, every, cut):
-        tail = every.tail(self.keep)
+        # Everything that a row may still precede, and the look-back of the earliest such row.
+        mark = every["micros"].iloc[-1] - self.late * 1_000_000
+        first = int(every["micros"].searchsorted(mark, side="left")) - self.cfg.history_rows
+        tail = every.iloc[max(first, 0):]
         self.tail.update((
             tail["micros"].astype("int64").tolist(), tail["transaction_id"].tolist(),
             _floats(tail["amount"]), _floats(tail["lat"]), _floats(tail["lon"]),
-            bool(cut or len(every) > self.keep),
+            bool(cut or first > 0),
         ))
 
     def _empty(self, new):
-        for name in self._columns()[1:]:
+        for name in self._columns()[1:-2]:
             new[name] = None
-        new["features_complete"] = True
+        new["velocity_complete"] = new["history_complete"] = True
         return new[self._columns()]
 
     def _columns(self):
         return ["payload", *features.velocity_names(self.cfg), "_mean", "_sd", "_prev_lat",
-                "_prev_lon", "_prev_us", "features_complete"]
+                "_prev_lon", "_prev_us", "velocity_complete", "history_complete"]
 
 
 def _look_back(amounts, n):
@@ -131,7 +135,7 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
     """The features of ``features.add_features`` on a stream.
 
     Adds ``features_complete``: false for rows too late for the stored history;
-    their window features are NULL until a batch run fills them.  Rows of
+    the features that need what is gone are NULL until ``medallion.refill``.  Rows of
     unknown customers are spread over salts and touch no state.
     """
     usable = F.col(features.CUSTOMER).isNotNull() & F.col("timestamp").isNotNull()
@@ -158,11 +162,12 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
     rows = features.add_row_features(
         rows.withColumn("_prev_ts", F.timestamp_micros("_prev_us")).drop("_prev_us"))
     finished = features._finish(rows, cfg)
-    known = (
-        F.col("features_complete") & F.col("timestamp").isNotNull()
-        & (F.col(features.CUSTOMER) != schema.UNKNOWN_CUSTOMER)
-    )
-    windowed = [*features.velocity_names(cfg), "amount_zscore", "distance_from_last_km",
-                "time_since_last_minutes"]
-    return finished.withColumns({c: F.when(known, F.col(c)) for c in windowed}).drop(
-        "customer_avg_amount", "customer_stddev_amount")
+    known = F.col("timestamp").isNotNull() & (
+        F.col(features.CUSTOMER) != schema.UNKNOWN_CUSTOMER)
+    by_count = {c: "velocity_complete" for c in features.velocity_names(cfg)}
+    by_rows = dict.fromkeys(
+        ["amount_zscore", "distance_from_last_km", "time_since_last_minutes"], "history_complete")
+    return finished.withColumns({
+        **{c: F.when(known & F.col(flag), F.col(c)) for c, flag in {**by_count, **by_rows}.items()},
+        "features_complete": F.col("velocity_complete") & F.col("history_complete"),
+    }).drop("customer_avg_amount", "customer_stddev_amount", "velocity_complete", "history_complete")

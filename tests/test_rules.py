@@ -126,7 +126,7 @@ def test_quality_alerts(spark):
     found = monitor.quality_alerts(history, as_of="2024-01-01 20:30:00").collect()
     assert [(r["alert_type"], r["severity"]) for r in found] == [
         ("QUALITY_THRESHOLD_BREACH", "HIGH")]
-    assert "0.700 is below threshold 0.95" in found[0]["message"]
+    assert "0.700, wanted 0.95" in found[0]["message"]
 
 
 def test_score_report_and_empty_batch(spark):
