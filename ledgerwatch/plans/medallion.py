@@ -35,20 +35,21 @@ def silver(transactions, cfg=PipelineConfig(), as_of=None):
 
 
 def refill(silver_rows, transactions, cfg=PipelineConfig(), as_of=None):
-    """Silver rows with the features that a stream could not give late rows.
+    """Stream-written silver rows with the window features of a batch run.
 
-    Rows with ``features_complete = false`` take their window features from a
-    batch run over ``transactions``, the full typed rows; the others stay.
+    A late row gets the features the stream could not give it, and rows that
+    were written before it arrived now count it.  ``transactions`` are the full
+    typed rows of the days in question and of the look-back before them.
     """
     windowed = ["amount_zscore", "distance_from_last_km", "time_since_last_minutes",
                 *features.velocity_names(cfg.features)]
     fresh = enriched(first_of_each(transactions), cfg, as_of).select(
         "transaction_id", *[F.col(c).alias(f"_{c}") for c in windowed])
-    late = silver_rows.filter("NOT features_complete").join(fresh, "transaction_id", "left")
-    filled = late.withColumns({
-        **{c: F.coalesce(f"_{c}", c) for c in windowed}, "features_complete": F.lit(True),
+    found = silver_rows.join(fresh.withColumn("_found", F.lit(True)), "transaction_id", "left")
+    return found.withColumns({
+        **{c: F.when(F.col("_found"), F.col(f"_{c}")).otherwise(F.col(c)) for c in windowed},
+        "features_complete": F.coalesce("_found", "features_complete"),
     }).select(*silver_rows.columns)
-    return silver_rows.filter("features_complete").unionByName(filled)
 
 
 def bronze(transactions, cfg=PipelineConfig(), as_of=None):

@@ -120,6 +120,30 @@ def test_more_rows_than_the_stored_tail(spark):
     assert by_id(job.read_table(spark, j, "silver"), WINDOWED) == by_id(expected, WINDOWED)
 
 
+def test_late_row_of_a_busy_customer_keeps_its_velocities(spark):
+    """300 rows in ten minutes, then one eleven minutes late: the counters know it exactly."""
+    j, path = new_job(spark)
+    base = dict(customer_id="c", amount="10", merchant_id="m", currency="USD", status="APPROVED")
+
+    def feed(rows):
+        lines = [json.dumps({**base, "transaction_id": i, "timestamp": 1704067200000 + 1000 * s})
+                 for i, s in rows]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode(
+            "append").text(path)
+        stream = job.from_messages(messages.read_message_files(spark, path, stream=True))
+        job.start(stream, j, available_now=True).awaitTermination()
+
+    feed([(f"a{i:03d}", 8000 + 2 * i) for i in range(300)])
+    feed([("late", 8000 - 60), ("next", 8700)])
+    got = {r["transaction_id"]: r for r in job.read_table(spark, j, "silver").collect()}
+    assert got["late"]["velocity_1h"] == 0 and got["late"]["features_complete"]
+    assert got["next"]["velocity_1h"] == 301
+    rows = messages.parse_transactions(messages.read_message_files(spark, path))
+    fixed = {r["transaction_id"]: r for r in medallion.refill(
+        job.read_table(spark, j, "silver"), rows, as_of=j.as_of).collect()}
+    assert fixed["a000"]["velocity_1h"] == 1 and fixed["a299"]["velocity_1h"] == 300
+
+
 def test_progress_log(spark):
     j, path = new_job(spark)
     add(spark.read.parquet(f"{SF}/events.parquet"), path, 0, 50)
