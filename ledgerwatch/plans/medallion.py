@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ledgerwatch.config import PipelineConfig
 from ledgerwatch.functions.privacy import protect_customer
 from ledgerwatch.operators import alerts as alert_ops
-from ledgerwatch.operators import dedup, detect, features, quality
+from ledgerwatch.operators import dedup, detect, features, gold, quality
+from ledgerwatch.sources import tables
 
 
 def secured(transactions, cfg=PipelineConfig(), as_of=None):
@@ -56,6 +57,17 @@ def bronze(transactions, cfg=PipelineConfig(), as_of=None):
     return quality.bronze_projection(secured(transactions, cfg, as_of))
 
 
+def refresh_daily(spark, table, silver_rows, alerts, touched):
+    """Bring the daily summary up to date for the dates of ``touched`` rows only.
+
+    The days are recomputed from silver and upserted by date, so a late row or
+    a rerun replaces its day and never counts twice.
+    """
+    days = touched.select("transaction_date").distinct()
+    rows = silver_rows.join(days, "transaction_date", "left_semi")
+    tables.upsert(spark, table, gold.daily_summary(rows, alerts), ["transaction_date"])
+
+
 def silver_alerts(silver_rows, cfg=PipelineConfig(), as_of=None):
     """Alerts of a silver table: patterns over the whole history, then all rules."""
     rows = silver_rows.withColumnRenamed("transaction_timestamp", "timestamp")
