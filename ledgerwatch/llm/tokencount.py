@@ -135,7 +135,8 @@ def count_tokens(docs, tokenizer_path, cache_path, limit=512, id_col="doc_id", t
         F.col(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"),
         _digest(text).alias("digest")), "digests")
     fill_cache(docs, narrow, cache_path, tokenizer_text, version, text_col, broadcast_rows)
-    stored = read_cache(docs.sparkSession, cache_path, version)
+    # Stored, so that both sides of the join are plain exchanges and a hot digest can be split.
+    stored = stage(read_cache(docs.sparkSession, cache_path, version), "counts")
     return narrow.join(stored, "digest").select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens",
         (F.col("n_tokens") > limit).alias("over_limit"))
