@@ -48,7 +48,7 @@ class DecontamConfig:
     shingle_words: int = 5
     overlap: float = 0.8
     part: float = 0.5
-    slice_items: int = 20_000
+    slice_items: int = 5_000
     item_words: int = 512
 
 
@@ -93,28 +93,31 @@ def pieces(items, config, id_col, text_col):
 
 def build(items, config=DecontamConfig(), id_col="item_id", text_col="text"):
     """Index slices: lists of (item, text, distinct terms, weights), weights summing to 1."""
-    table = stage(pieces(items, config, id_col, text_col).distinct(), "items")
+    key = ["item", "piece", "version"]  # an id may come with several texts
+    table = stage(pieces(items, config, id_col, text_col).distinct().withColumn(
+        "version", F.xxhash64("text")), "items")
     count, mean = table.agg(F.count("*"), F.avg(F.size("terms"))).first()
     if not count:
         return []
-    one = table.select("item", "piece", F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    tf = one.groupBy("item", "piece", "n", "term").agg(F.count("*").alias("tf"))
+    one = table.select(*key, F.size("terms").alias("n"), F.explode("terms").alias("term"))
+    tf = one.groupBy(*key, "n", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log1p((count - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = config.k1 * (1 - config.b + config.b * F.col("n") / mean)
     scored = stage(tf.join(df, "term").select(
-        "item", "piece", F.struct(
+        *key, F.struct(
             (-F.col("df")).alias("rarity"), "term",
             (idf * F.col("tf") * (config.k1 + 1) / (F.col("tf") + norm)).alias("w")).alias("p"))
-        .groupBy("item", "piece").agg(F.sort_array(F.collect_list("p")).alias("p"))
-        .join(table.select("item", "piece", "text"), ["item", "piece"]), "index")
+        .groupBy(*key).agg(F.sort_array(F.collect_list("p")).alias("p"))
+        .join(table.select(*key, "text"), key), "index")
     slices = ceil(count / config.slice_items)
-    part = F.pmod(F.xxhash64("item", "piece"), F.lit(slices))
+    part = F.pmod(F.xxhash64(*key), F.lit(slices))
     for number in range(slices):
-        rows = scored.filter(part == number).orderBy("item", "piece").collect()
+        rows = scored.filter(part == number).orderBy(*key).select(
+            "item", "text", F.transform("p", lambda p: p["term"]),
+            F.transform("p", lambda p: p["w"])).collect()
         if rows:
-            yield Index([(r["item"], r["text"], [p["term"] for p in r["p"]], [p["w"] for p in r["p"]])
-                         for r in rows], config)
+            yield Index(rows, config)
 
 
 class Index:

@@ -89,6 +89,13 @@ def test_leaks_with_edits_and_near_misses(docs, spark):
     assert left.columns == docs(rows, extra=True).columns
 
 
+def test_one_id_with_two_texts(docs, spark):
+    other = "A quite different second text that stands under the same id for once. It has an answer."
+    items = make(spark, [(1, QUESTION), (1, other)])
+    got = {r.doc_id for r in d.matches(docs([(1, QUESTION), (2, other), (3, "x y")]), items).collect()}
+    assert got == {1, 2}
+
+
 def test_slices_and_pieces(docs, spark):
     long = " ".join(f"q{i}" for i in range(1500))
     items = make(spark, [(1, QUESTION), (2, long), (3, "a completely different item of text here")])
