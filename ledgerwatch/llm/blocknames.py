@@ -119,10 +119,11 @@ def identify(docs, config=NamingConfig(), id_col="doc_id", text_col="text"):
 def deduplicate(docs, config=NamingConfig(), id_col="doc_id", text_col="text"):
     """(id, keep_id, group_size, kept, text_sha256) of every row, dropped ones too."""
     known = stage(identify(docs, config, id_col, text_col), "identities")
-    groups = known.groupBy("level", "name").agg(
+    # Stored, so that both sides of the join are plain exchanges and a hot name can be split.
+    groups = stage(known.groupBy("level", "name").agg(
         F.count("*").alias("group_size"),
         F.min(F.struct((-F.col("chars")).alias("less"), F.col("id").isNull().alias("none"), "id",
-                       "row")).alias("best"))
+                       "row")).alias("best")), "groups")
     return known.join(groups, ["level", "name"]).select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
