@@ -210,7 +210,7 @@ def bulk_loaded_tables(spark, d):
     events = standins.table(spark, d, "events")
     for part in (0, 1):
         tables.bulk_load(events.filter(F.col("event_id") % 2 == part), f"{prefix}bronze.appended")
-    tables.bulk_load(events.limit(10), f"{prefix}bronze.replaced")
+    tables.bulk_load(events.unionAll(events), f"{prefix}bronze.replaced")
     tables.bulk_load(events, f"{prefix}bronze.replaced", "replace", rows_per_file=5000)
     counted = [spark.table(f"{prefix}bronze.{n}").groupBy("event_type").agg(F.count("*").alias(n))
                for n in ("appended", "replaced")]

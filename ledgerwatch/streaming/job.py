@@ -34,6 +34,8 @@ class Job:
     as_of: object = None
     trigger_seconds: int = 30
     late_hours: int = 2
+    alert_servers: str = ""
+    alert_topic: str = ""  # alerts also go to this topic, keyed by transaction
 
     def path(self, table):
         return f"{self.root}/{table}"
@@ -117,6 +119,11 @@ def write_batch(job):
                 job.cfg.detectors)
             put(alerts.build_alerts(patterned, job.cfg.detectors, job.as_of), "alerts", batch_id)
 
+            if job.alert_topic:
+                sent = spark.read.schema(schema.ALERT_DDL).parquet(
+                    f"{job.path('alerts')}/batch_id={batch_id}")
+                messages.publish(sent, job.alert_servers, job.alert_topic, "transaction_id")
+
             checked = validate.validate_transactions(
                 _with_customer(rows), job.cfg.quality, job.as_of)
             metrics = monitor.history_rows(

@@ -144,6 +144,27 @@ def test_late_row_of_a_busy_customer_keeps_its_velocities(spark):
     assert fixed["a000"]["velocity_1h"] == 1 and fixed["a299"]["velocity_1h"] == 300
 
 
+def test_alerts_go_to_a_topic_too(spark, monkeypatch):
+    import dataclasses
+
+    sent = []
+    monkeypatch.setattr(messages, "publish", lambda df, servers, topic, key: sent.append(
+        (messages.as_messages(df, key).collect(), servers, topic)))
+    j, _ = new_job(spark)
+    j = dataclasses.replace(j, alert_servers="broker:9092", alert_topic="fraud-alerts")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    enriched = medallion.enriched(
+        standins.events_as_transactions(events), j.cfg, j.as_of
+    ).withColumn("features_complete", F.lit(True))
+    job.write_batch(j)(enriched, 0)
+    (rows, servers, topic), = sent
+    stored = job.read_table(spark, j, "alerts")
+    assert (servers, topic, len(rows)) == ("broker:9092", "fraud-alerts", stored.count()) and rows
+    assert {json.loads(r["value"])["alert_id"] for r in rows} == {
+        r["alert_id"] for r in stored.select("alert_id").collect()}
+    assert {r["key"] for r in rows} <= {r["transaction_id"] for r in stored.collect()}
+
+
 def test_progress_log(spark):
     j, path = new_job(spark)
     add(spark.read.parquet(f"{SF}/events.parquet"), path, 0, 50)
