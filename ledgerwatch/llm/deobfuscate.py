@@ -79,7 +79,9 @@ _REWRITE = re.compile(
     rf"|\b(?P<digit>{_WORD})\b"
     rf"|(?P<gone>[{INVISIBLE}]+)", re.IGNORECASE)
 _BRACKET = re.compile(rf"[\[({{<]{_GAP}(?:at|@|dot|\.){_GAP}[\])}}>]", re.IGNORECASE)
-_SPOKEN = re.compile(rf"\b(?:{_WORD})\b")
+_SPOKEN = re.compile(rf"\b(?:plus\s|(?:{_WORD})\b)")
+# Letters that the patterns take for s and i when they ignore case.
+_FOLD = {ord("\u017f"): "s", ord("\u0131"): "i", ord("\u0130"): "i"}
 
 
 def luhn(digits):
@@ -151,7 +153,7 @@ def rewrite(text):
         kind = m.lastgroup
         new = {"at": "@", "dot": ".", "plus": "+", "gone": ""}.get(kind)
         if new is None:
-            new = str(DIGIT_WORDS.index(m.group().lower()))
+            new = str(DIGIT_WORDS.index(m.group().translate(_FOLD).lower()))
         add(new, m.start(), m.end(), True)
         last = m.end()
     copy(last, len(text))
@@ -169,9 +171,11 @@ def _source(pieces, places, start, end):
 
 
 def disguised(text):
-    """Whether the text holds anything the transducer could rewrite into an identifier."""
-    if not text.isascii() and _FOREIGN.search(text):
-        return True
+    """Whether the text holds anything the transducer could rewrite: no alternative is left out."""
+    if not text.isascii():
+        if _FOREIGN.search(text):
+            return True
+        text = text.replace("\u017f", "s").replace("\u0131", "i").replace("\u0130", "i")
     small = text.lower()
     return "dot" in small or bool(_BRACKET.search(small)) or bool(_SPOKEN.search(small))
 
