@@ -23,7 +23,7 @@ number.  More items mean more slices, each a further pass; longer items are cut
 length, each tested like an item.
 
 Null or empty items are dropped, null or empty texts match nothing.  Repeated items are found under
-each id, repeated rows of a document each give their matches.  Other columns are ignored.
+each id, items of fewer than five words as one shingle of all their words, repeated rows of a document each give their matches.  Other columns are ignored.
 """
 
 import re
@@ -139,10 +139,9 @@ class Index:
             self.weights.append(w[order])
             whole = _hashes(text)
             question, answer = (_hashes(p) for p in _parts(text))
-            self.parts.append((np.unique(_grams(whole, config.shingle_words)),
-                               question if len(question) else whole,
-                               answer if len(answer) else whole, min(config.shingle_words,
-                                                                     len(whole))))
+            n = min(config.shingle_words, len(whole))  # a short item is one shingle of its words
+            self.parts.append((np.unique(_grams(whole, n)), question if len(question) else whole,
+                               answer if len(answer) else whole, n))
         self.longest = max((len(p[1]) + len(p[2]) for p in self.parts), default=1)
         term = np.array([p[0] for p in pivot], np.int64).view(np.uint64)
         item = np.array([p[1] for p in pivot], np.int64)
@@ -209,8 +208,7 @@ class Index:
 
     def overlaps(self, passage, item):
         shingles, question, answer, n = self.parts[item]
-        own = np.isin(shingles, _grams(passage, n) if n < self.config.shingle_words
-                      else _grams(passage, self.config.shingle_words)).mean()
+        own = np.isin(shingles, _grams(passage, n)).mean()
 
         def covered(part):
             n = min(3, len(part))

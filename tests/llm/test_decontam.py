@@ -89,6 +89,15 @@ def test_leaks_with_edits_and_near_misses(docs, spark):
     assert left.columns == docs(rows, extra=True).columns
 
 
+def test_items_of_one_to_four_words(docs, spark):
+    items = [(n, " ".join(f"short{n}x{k}" for k in range(n))) for n in range(1, 5)]
+    rows = [(n, f"some words before {t}, and after") for n, t in items] + [
+        (5, items[2][1]), (6, "short3x0 and short3x1 but not short3x2"), (7, "nothing of it at all")]
+    got = sorted((r.doc_id, r.item_id) for r in d.matches(docs(rows), make(spark, items)).collect())
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 3)]
+    assert sorted(r.doc_id for r in d.remove(docs(rows), make(spark, items)).collect()) == [6, 7]
+
+
 def test_one_id_with_two_texts(docs, spark):
     other = "A quite different second text that stands under the same id for once. It has an answer."
     items = make(spark, [(1, QUESTION), (1, other)])
