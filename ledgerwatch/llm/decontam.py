@@ -1,7 +1,7 @@
 """Benchmark decontamination: BM25 over test items with block-max bounds, then verified overlap.
 
 The test items are the indexed documents, every passage of every training text is a query.  A
-passage is a window of twice the longest item's words, advancing by half, so each possible copy of
+passage is a window of twice the longest item's (or piece's) words, advancing by half, so each possible copy of
 an item lies in one passage whole.  Scores are divided by the item's score against itself; a
 passage retrieves all items of at least ``score``.
 
@@ -19,8 +19,10 @@ answer is the rest, or the whole text where there is only one sentence.
 
 The corpus is read once and never shuffled.  The index is built by aggregates and sent to the tasks
 in hashed slices of about ``slice_items`` items of at most ``item_words`` words, whatever their
-number.  More items mean more slices, each a further pass; longer items are cut into pieces of that
-length, each tested like an item.
+number.  More items mean more slices, each a further pass.  Longer items are cut into even pieces of
+at most that length, all in one slice.  A piece only retrieves: shingles, question and answer are
+those of the whole item, looked for from one item's length before the first retrieved passage to one
+after the last, and the score is the mean of the pieces' scores.
 
 Null or empty items are dropped, null or empty texts match nothing.  Repeated items are found under
 each id, items of fewer than five words as one shingle of all their words, repeated rows of a document each give their matches.  Other columns are ignored.
@@ -71,31 +73,31 @@ def _grams(hashes, n):
 
 
 def pieces(items, config, id_col, text_col):
-    """(item, piece, text, terms): items cut to at most ``item_words`` words, with their hashes."""
+    """(item, version, piece, text, terms): word hashes in even pieces of at most ``item_words``.
+
+    ``version`` tells the texts of one id apart; only the first piece carries the text.
+    """
     kind = items.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             out = []
-            for item, text in zip(b["item"], b["text"]):
-                found = [m.span() for m in re.finditer(r"\S+", text or "")]
-                for k in range(0, len(found), config.item_words):
-                    part = found[k:k + config.item_words]
-                    piece = text[part[0][0]:part[-1][1]]
-                    terms = _hashes(piece).view(np.int64)
-                    if len(terms):
-                        out.append((item, k // config.item_words, piece, terms))
-            yield pd.DataFrame(out, columns=["item", "piece", "text", "terms"])
+            for item, version, text in zip(b["item"], b["version"], b["text"]):
+                terms = _hashes(text).view(np.int64)
+                if len(terms):
+                    out += [(item, version, k, None if k else text, part) for k, part in enumerate(
+                        np.array_split(terms, ceil(len(terms) / config.item_words)))]
+            yield pd.DataFrame(out, columns=["item", "version", "piece", "text", "terms"])
 
     plain = items.select(F.col(id_col).alias("item"), F.col(text_col).alias("text")).dropna()
-    return plain.mapInPandas(run, f"item {kind}, piece int, text string, terms array<long>")
+    return plain.withColumn("version", F.xxhash64("text")).mapInPandas(
+        run, f"item {kind}, version long, piece int, text string, terms array<long>")
 
 
 def build(items, config=DecontamConfig(), id_col="item_id", text_col="text"):
     """Index slices: lists of (item, text, distinct terms, weights), weights summing to 1."""
-    key = ["item", "piece", "version"]  # an id may come with several texts
-    table = stage(pieces(items, config, id_col, text_col).distinct().withColumn(
-        "version", F.xxhash64("text")), "items")
+    key = ["item", "version", "piece"]  # an id may come with several texts
+    table = stage(pieces(items, config, id_col, text_col).distinct(), "items")
     count, mean = table.agg(F.count("*"), F.avg(F.size("terms"))).first()
     if not count:
         return []
@@ -111,7 +113,7 @@ def build(items, config=DecontamConfig(), id_col="item_id", text_col="text"):
         .groupBy(*key).agg(F.sort_array(F.collect_list("p")).alias("p"))
         .join(table.select(*key, "text"), key), "index")
     slices = ceil(count / config.slice_items)
-    part = F.pmod(F.xxhash64(*key), F.lit(slices))
+    part = F.pmod(F.xxhash64("item", "version"), F.lit(slices))  # all pieces in one slice
     for number in range(slices):
         rows = scored.filter(part == number).orderBy(*key).select(
             "item", "text", F.transform("p", lambda p: p["term"]),
@@ -127,6 +129,11 @@ class Index:
         self.config, self.items = config, [r[0] for r in rows]
         self.terms, self.weights, self.parts = [], [], []
         pivot, self.others = [], np.zeros(len(rows))
+        # A row with a text begins an item; the rows up to the next one are its pieces.
+        begins = [i for i, r in enumerate(rows) if r[1] is not None]
+        upto = [*begins[1:], len(rows)]
+        self.pieces = [p for p in map(range, begins, upto) for _ in p]
+        self.longest = 1
         for i, (_, text, terms, w) in enumerate(rows):
             w = np.array(w) / np.sum(w)
             # Most frequent terms first (they come sorted); the first ones stay out of the pivots.
@@ -137,12 +144,18 @@ class Index:
             order = np.argsort(terms.view(np.uint64))
             self.terms.append(terms.view(np.uint64)[order])
             self.weights.append(w[order])
+            self.parts.append(None)
+            if text is None:
+                continue
             whole = _hashes(text)
             question, answer = (_hashes(p) for p in _parts(text))
             n = min(config.shingle_words, len(whole))  # a short item is one shingle of its words
-            self.parts.append((np.unique(_grams(whole, n)), question if len(question) else whole,
-                               answer if len(answer) else whole, n))
-        self.longest = max((len(p[1]) + len(p[2]) for p in self.parts), default=1)
+            self.parts[i] = (np.unique(_grams(whole, n)), question if len(question) else whole,
+                             answer if len(answer) else whole, n, len(whole))
+            longest = len(self.parts[i][1]) + len(self.parts[i][2])
+            if len(self.pieces[i]) > 1:
+                longest = config.item_words
+            self.longest = max(self.longest, longest)
         term = np.array([p[0] for p in pivot], np.int64).view(np.uint64)
         item = np.array([p[1] for p in pivot], np.int64)
         weight = np.array([p[2] for p in pivot])
@@ -207,7 +220,7 @@ class Index:
         return float(self.weights[item][np.isin(self.terms[item], passage)].sum())
 
     def overlaps(self, passage, item):
-        shingles, question, answer, n = self.parts[item]
+        shingles, question, answer, n, _ = self.parts[item]
         own = np.isin(shingles, _grams(passage, n)).mean()
 
         def covered(part):
@@ -228,15 +241,29 @@ class Index:
             hashes, word_at = words.word_hashes(raws)
             if not len(hashes) or not len(self.vocabulary):
                 continue
+            long = {}  # (text, first piece): first word and one past the last of its passages
             for t, first, last, item in self.candidates(hashes, word_at):
                 passage = hashes[first:last]
                 score = self.score(passage, item)
                 if score < c.score:
                     continue
+                if len(self.pieces[item]) > 1:
+                    key = (t, self.pieces[item][0])
+                    low, high = long.get(key, (first, last))
+                    long[key] = min(low, first), max(high, last)
+                    continue
                 own, question, answer = self.overlaps(passage, item)
                 if own >= c.overlap and question >= c.part and answer >= c.part:
                     key = (start + t, item)
                     found[key] = max(found.get(key, (0.0,)), (score, own, question, answer))
+            # The whole of a long item is looked for around the passages that hold pieces of it.
+            for (t, item), (first, last) in long.items():
+                size = self.parts[item][4]
+                passage = hashes[max(first - size, word_at[t]):min(last + size, word_at[t + 1])]
+                own, question, answer = self.overlaps(passage, item)
+                if own >= c.overlap and question >= c.part and answer >= c.part:
+                    score = float(np.mean([self.score(passage, p) for p in self.pieces[item]]))
+                    found[start + t, item] = score, own, question, answer
         return found
 
 
@@ -263,7 +290,7 @@ def matches(docs, items, config=DecontamConfig(), id_col="doc_id", text_col="tex
         out = search(index) if out is None else out.unionAll(search(index))
     if out is None:
         return docs.sparkSession.createDataFrame([], schema)
-    # Pieces of a long item are one item.
+    # An id with several texts is one item.
     return out.groupBy(id_col, item_col).agg(*[F.max(n).alias(n) for n in names[2:]])
 
 

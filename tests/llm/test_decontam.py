@@ -115,6 +115,20 @@ def test_slices_and_pieces(docs, spark):
     assert [r.doc_id for r in d.remove(docs(rows), items, c).collect()] == [3]
 
 
+def test_a_long_item_counts_as_a_whole(docs, spark):
+    w = [f"q{i}" for i in range(517)]
+    read = [f"r{i}" for i in range(1200)]
+    asked = " ".join(read) + "? " + " ".join(f"a{i}" for i in range(60)) + "."
+    items = make(spark, [(1, " ".join(w)), (2, asked)])
+    rows = [(1, "x y " + " ".join(w[-5:]) + " z"), (2, "x " + " ".join(w) + " y"), (3, " ".join(w[:300])),
+            (4, "x " + " ".join(w[40:]) + " y"), (5, " ".join(read)), (6, f"x y {asked} z"),
+            (7, " ".join(read[:600])), (8, " ".join(w[259:]))]
+    got = {(r.doc_id, r.item_id): r for r in d.matches(docs(rows), items).collect()}
+    assert set(got) == {(2, 1), (4, 1), (6, 2)}
+    assert got[2, 1].overlap == 1 and got[4, 1].overlap == pytest.approx(473 / 513)
+    assert sorted(r.doc_id for r in d.remove(docs(rows), items).collect()) == [1, 3, 5, 7, 8]
+
+
 def test_empty_tables(docs, spark):
     none = make(spark, [])
     assert d.matches(docs([(1, "a")]), none).count() == 0 and d.remove(docs([(1, "a")]), none).count() == 1
