@@ -5,8 +5,10 @@ Then a transducer rewrites the text: look-alike letters and foreign digits becom
 characters go, spelled digits become digits, and "at" and "dot" disguises become ``@`` and ``.``.
 Every rewritten piece remembers the source span it came from.  The same finders run over the result;
 a hit that contains a rewritten piece, maps to source characters free of plain hits of its kind, is
-added.  Bare "at" counts only before a disguised dot, bare "dot" only between word characters, so
-ordinary prose stays clean.
+added.  Bare "at" counts before a disguised dot, or between a mailbox and a host that ends in a common
+last label; bare "dot" before a common last label or a digit, or before any last label after a disguised
+"at".  Words of prose are no mailboxes and no last labels there, so ordinary prose stays clean.  Blanks
+between spelled digits go inside four dotted numbers.
 
 One pass over whole texts, no shuffle.  All finders take time in proportion to the text.
 
@@ -83,6 +85,31 @@ _SPOKEN = re.compile(rf"\b(?:plus\s|(?:{_WORD})\b)")
 # Letters that the patterns take for s and i when they ignore case.
 _FOLD = {ord("\u017f"): "s", ord("\u0131"): "i", ord("\u0130"): "i"}
 
+_AT_HOST = re.compile(r"\bat\s{1,3}[a-z0-9-]{1,63}\.[a-z]")
+
+# Words of prose that are no last label, and that stand before "at" without being a mailbox.
+_NO_LABEL = ("a an and but or nor so yet if then than that this these those the he she they we you i it its his her "
+             "their our my your is am are was were be been to of on by for from with as at not no do does did have has "
+             "had can could will would should may might must there here when where what who why how all each every "
+             "some everyone everything nobody nothing").split()
+_NO_LOCAL = frozenset((
+    "look looks looked looking meet meets met meeting arrive arrives arrived arriving visit visits us me him her them "
+    "it you available found find live lives lived living stay stays stayed see seen read here there hosted online "
+    "site website page blog shop store work works worked working sold buy bought start starts started starting end "
+    "ends ended open opens opened be is are was were am been and or not only also still now right people one out up "
+    "back down over home time more details information posted published listed located based aimed point pointed "
+    "stop stopped sit sat stand stood laugh laughed shout shouted good bad better best free learn order download "
+    "register join check checked eat ate sleep shopping prices view watch watched play played").split())
+_MAIL = re.compile(
+    rf"(?<![a-z0-9._%+-])(?P<local>[a-z0-9._%+-]{{1,64}})"
+    rf"(?:(?P<bare>{_SOME}at{_SOME})|(?P<other>{_OPEN}(?:at|@){_SHUT}|{_SOME}@{_GAP}))"
+    rf"(?P<host>{_LABEL}(?:(?:{_DOT}|\.){_LABEL}){{0,5}}(?:{_DOT}|\.)(?!(?:{'|'.join(_NO_LABEL)})\b)"
+    rf"(?P<last>[a-z]{{2,63}}))(?![a-z0-9-])", re.IGNORECASE)
+_ONE_DOT = re.compile(_DOT, re.IGNORECASE)
+_NUMBER = rf"(?:(?:{_WORD})(?:{_SOME}(?:{_WORD})){{0,2}}|[0-9]{{1,3}})"
+_SPOKEN_IP = re.compile(rf"\b{_NUMBER}(?:(?:{_DOT}|\.){_NUMBER}){{3}}\b", re.IGNORECASE)
+_BETWEEN = re.compile(rf"\b(?:{_WORD})({_SOME})(?=(?:{_WORD})\b)", re.IGNORECASE)
+
 
 def luhn(digits):
     total = 0
@@ -127,6 +154,22 @@ def plain(text):
     return out
 
 
+def _whole_forms(text):
+    """(start, end, new) inside addresses and spoken IPs that are known only as a whole."""
+    for m in _MAIL.finditer(text):
+        dots = [d.span() for d in _ONE_DOT.finditer(text, *m.span("host"))]
+        bare = m["bare"] is not None
+        if bare and m["local"].lower() in _NO_LOCAL:
+            continue
+        if not dots and not (bare and m["last"].translate(_FOLD).lower() in LAST_LABELS
+                             and text[m.end():m.end() + 1] not in ("/", ":")):
+            continue
+        yield *m.span("bare" if bare else "other"), "@"
+        yield from ((*d, ".") for d in dots)
+    for m in _SPOKEN_IP.finditer(text):
+        yield from ((*b.span(1), "") for b in _BETWEEN.finditer(text, *m.span()))
+
+
 def rewrite(text):
     """(normalised text, pieces): pieces are (place, source start, source end, changed)."""
     out, pieces, size, last = [], [], 0, 0
@@ -148,14 +191,18 @@ def rewrite(text):
         if at < end:
             add(text[at:end], at, end, False)
 
-    for m in _REWRITE.finditer(text.translate(_ASCII)):
-        copy(last, m.start())
-        kind = m.lastgroup
-        new = {"at": "@", "dot": ".", "plus": "+", "gone": ""}.get(kind)
+    clean = text.translate(_ASCII)
+    changes = list(_whole_forms(clean))
+    for m in _REWRITE.finditer(clean):
+        new = {"at": "@", "dot": ".", "plus": "+", "gone": ""}.get(m.lastgroup)
         if new is None:
             new = str(DIGIT_WORDS.index(m.group().translate(_FOLD).lower()))
-        add(new, m.start(), m.end(), True)
-        last = m.end()
+        changes.append((*m.span(), new))
+    for start, end, new in sorted(changes, key=lambda c: c[:2]):
+        if start >= last:
+            copy(last, start)
+            add(new, start, end, True)
+            last = end
     copy(last, len(text))
     return "".join(out), pieces
 
@@ -177,7 +224,8 @@ def disguised(text):
             return True
         text = text.replace("\u017f", "s").replace("\u0131", "i").replace("\u0130", "i")
     small = text.lower()
-    return "dot" in small or bool(_BRACKET.search(small)) or bool(_SPOKEN.search(small))
+    return ("dot" in small or bool(_BRACKET.search(small)) or bool(_SPOKEN.search(small))
+            or bool(_AT_HOST.search(small)))
 
 
 def spans(text):

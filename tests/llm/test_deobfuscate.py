@@ -74,6 +74,26 @@ def test_prose_stays_clean(text):
     assert d.spans(text) == []
 
 
+@pytest.mark.parametrize("text, kind, hidden", [
+    ("mail john at example.com today", "email", "john at example.com"),
+    ("mail john at mail.example dot com", "email", "john at mail.example dot com"),
+    *[(f"to jane at firm dot {last}, please", "email", f"jane at firm dot {last}")
+      for last in ("shop", "xyz", "nz", "kr", "pt", "gr")],
+    ("bob (at) firm (dot) shop", "email", "bob (at) firm (dot) shop"),
+    ("ip one nine two dot one six eight dot one dot one up", "ip",
+     "one nine two dot one six eight dot one dot one")])
+def test_wider_disguises_map_back(text, kind, hidden):
+    assert [(k, text[a:b], plain) for k, a, b, plain in d.spans(text)] == [(kind, hidden, False)]
+
+
+@pytest.mark.parametrize("text", [
+    "look at example.com for more", "available at example.org.", "paper at example.com/path", "run at node.js",
+    "meet at noon dot everyone came", "we met at ten dot then he left", "anna at home dot and so on",
+    "one two dot three four dot five", "look at this dot that is all"])
+def test_prose_stays_clean_of_wider_disguises(text):
+    assert d.spans(text) == []
+
+
 def test_plus_before_ordinary_digits():
     text = "call plus 49 170 1234567 today"
     assert [(k, text[a:b], plain) for k, a, b, plain in d.spans(text)] == [
