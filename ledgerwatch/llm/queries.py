@@ -1,15 +1,18 @@
 """One query per operator, over whole tables, and the SQL twins where SQL can say the same."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (
-    blocknames, decontam, deobfuscate, mixing, probminhash, quality, redirects, splitters, tokencount,
-    warc,
+    blocknames, bytebpe, decontam, deobfuscate, mixing, periodic, probminhash, quality, redirects,
+    resample, splitters, tokencount, warc,
 )
 from ledgerwatch.llm.staging import table
 from ledgerwatch.session import fresh_dir
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 QUERIES = {}
 SQL = {}
@@ -95,3 +98,46 @@ def op10_deobfuscation(spark, d):
     return found.select(
         "doc_id", *counts, F.sha2(deobfuscate.as_text(base), 256).alias("base_sha256"),
         deobfuscate.as_text(F.col("spans")).alias("spans"))
+
+
+def periodic_tail(doc_id, found):
+    """One text in ten, by its id, gets a periodic tail; a null id has none."""
+    if doc_id is None or not found:
+        return found
+    h, n = zlib.crc32(str(doc_id).encode()), len(found)
+    g = h // 10
+    if h % 10:
+        return found
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return found[:a] + [found[a + i % p] for i in range(n - a)]
+
+
+@query()
+def op11_recompression(spark, d):
+    found = periodic.detect(table(spark, d, "documents"), rewrite=periodic_tail)
+    best = periodic.longest(F.col("runs"))
+    length = -best["n"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        length.alias("length"), best["period"].alias("period"),
+        F.floor(length * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query()
+def op12_byte_bpe(spark, d):
+    """Every text to ids and back."""
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    ids = bytebpe.encode(table(spark, d, "documents"), *vocabulary)
+    return bytebpe.decode(ids, *vocabulary).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query(resample.SQL)
+def op13_resampling(spark, d):
+    return resample.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
