@@ -7,7 +7,8 @@ separator of Spark's text writer: archives are written by DataFrame expressions
 alone, compressed by file, with at most ``file_records`` records of bounded size each, so that a
 file always fits in a task.
 
-Reading parses one file at a time into records.  Records without segments go on as they are; the
+Reading parses one file at a time into records, in one pass over pieces of bounded size: beside the
+file's own bytes a task holds a record and a batch of output, and members may be as many as records.  Records without segments go on as they are; the
 segments of the others are grouped by origin, put in order, checked for gaps and for the total
 length, joined and decoded.  A group is one record, never more.
 
@@ -119,20 +120,63 @@ def write_archives(pages, path, config=WarcConfig(), key_col="page_id", url_col=
      .option("maxRecordsPerFile", config.file_records).text(path))
 
 
+class _Input:
+    """Bytes that come in pieces: ``at`` is where reading stands in what is held."""
+
+    def __init__(self, pieces):
+        self.pieces, self.held, self.at = iter(pieces), bytearray(), 0
+
+    def more(self):
+        """Take one more piece and forget what has been read; False at the end."""
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        del self.held[:self.at]
+        self.at = 0
+        self.held += piece
+        return True
+
+    def has(self, size):
+        while len(self.held) - self.at < size:
+            if not self.more():
+                return False
+        return True
+
+    def take(self, size):
+        out = bytes(self.held[self.at:self.at + size])
+        self.at += size
+        return out
+
+    def upto(self, mark):
+        """The bytes before ``mark``, which is passed over; None if it does not come."""
+        seen = 0
+        while True:
+            found = self.held.find(mark, self.at + max(0, seen - len(mark) + 1))
+            if found >= 0:
+                out = self.take(found - self.at)
+                self.at += len(mark)
+                return out
+            seen = len(self.held) - self.at
+            if not self.more():
+                return None
+
+
 def parse_archive(data):
-    """Yield the records of one archive as tuples of ``RECORDS``; damage ends it with one row."""
-    at = 0
-    while at < len(data):
-        head = data.find(b"\r\n\r\n", at)
-        lines = data[at:head].split(b"\r\n") if head >= 0 else []
+    """Yield the records of one archive as tuples of ``RECORDS``; damage ends it with one row.
+
+    ``data`` is all of it or an iterable of pieces; no more than a record and a piece are held.
+    """
+    source = _Input([data] if isinstance(data, (bytes, bytearray, memoryview)) else data)
+    while source.has(1):
+        head = source.upto(b"\r\n\r\n")
+        lines = head.split(b"\r\n") if head is not None else []
         fields = {}
         for line in lines[1:]:
             name, colon, value = line.partition(b":")
             fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
         size = fields.get(b"content-length", "")
-        start = head + 4
         if not lines or not lines[0].startswith(b"WARC/") or not size.isdigit() \
-                or start + int(size) > len(data):
+                or not source.has(int(size)):
             yield (*[None] * 10, "damaged")
             return
 
@@ -140,29 +184,42 @@ def parse_archive(data):
             text = fields.get(name, "")
             return int(text) if text.isdigit() else None
 
-        stop = start + int(size)
         digest = fields.get(b"warc-payload-digest")
         yield (fields.get(b"warc-record-id"), fields.get(b"warc-type"), fields.get(b"record-key"),
                fields.get(b"refers-to-key"), fields.get(b"warc-target-uri"),
                digest.partition(":")[2] if digest else None, number(b"warc-segment-number"),
                fields.get(b"warc-segment-origin-id"), number(b"warc-segment-total-length"),
-               data[start:stop], "ok")
-        at = stop
-        while data[at:at + 2] == b"\r\n":
-            at += 2
+               source.take(int(size)), "ok")
+        while source.has(2) and source.held[source.at:source.at + 2] == b"\r\n":
+            source.at += 2
+
 
+def inflated(data, window=32_768, most=1_000_000):
+    """The content of a file in pieces: all its gzip members, or the data itself.
 
-def _inflate(data):
-    """All gzip members of a file, or the data itself; a cut file gives what there is."""
-    out = []
-    while data[:2] == b"\x1f\x8b":
+    A member is fed a small window at a time, so what lies behind its end is not copied along; a
+    piece has at most ``most`` bytes.  A cut file gives what there is.
+    """
+    view, at = memoryview(data), 0
+    if view[:2] != b"\x1f\x8b":
+        yield from (view[i:i + most] for i in range(0, len(view), most))
+        return
+    while view[at:at + 2] == b"\x1f\x8b":
         member = zlib.decompressobj(wbits=31)
-        try:
-            out.append(member.decompress(data))
-        except zlib.error:
-            break
-        data = member.unused_data
-    return b"".join(out) if out else data
+        while not member.eof and at < len(view):
+            fed = view[at:at + window]
+            try:
+                piece = member.decompress(fed, most)
+            except zlib.error:
+                return
+            at += len(fed) - len(member.unused_data if member.eof else member.unconsumed_tail)
+            if piece:
+                yield piece
+        while not member.eof:  # all is fed: what is still inside
+            piece = member.decompress(member.unconsumed_tail, most)
+            if not piece:
+                return
+            yield piece
 
 
 def read_archives(spark, path, batch_bytes=16_000_000):
@@ -173,7 +230,7 @@ def read_archives(spark, path, batch_bytes=16_000_000):
         for b in batches:
             for content in b["content"]:
                 rows, size = [], 0
-                for record in parse_archive(_inflate(content)):
+                for record in parse_archive(inflated(content)):
                     rows.append(record)
                     size += len(record[9] or b"")
                     if size > batch_bytes:

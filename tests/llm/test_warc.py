@@ -1,5 +1,8 @@
 import gzip
 import hashlib
+import time
+import tracemalloc
+import zlib
 
 import pytest
 
@@ -101,3 +104,46 @@ def test_cut_file_and_foreign_bytes(spark, pages, tmp_path):
 def test_empty_table(pages, spark, tmp_path):
     w.write_archives(pages([]), str(tmp_path / "e"))
     assert w.catalogue(w.read_archives(spark, str(tmp_path / "e"))).count() == 0
+
+
+def member(i, size=4000):
+    body = f"{i}|".encode() * (size // 6)
+    return (f"WARC/1.1\r\nWARC-Type: response\r\nRecord-Key: {i}\r\nContent-Length: {len(body)}"
+            "\r\n\r\n").encode() + body + b"\r\n\r\n"
+
+
+def test_a_member_for_each_record_is_linear(spark, tmp_path):
+    n = 32_000
+    data = b"".join(gzip.compress(member(i), 1) for i in range(n))
+    start = time.perf_counter()
+    keys = [int(r[2]) for r in w.parse_archive(w.inflated(data))]
+    assert keys == list(range(n)) and time.perf_counter() - start < 5
+    (tmp_path / "a.warc.gz").write_bytes(data[:len(data) // 8])
+    got = w.read_archives(spark, str(tmp_path)).filter("state = 'ok'").count()
+    assert got == n // 8 or abs(got - n // 8) <= n // 100
+
+
+def test_memory_does_not_follow_the_archive():
+    def most(n):
+        data = gzip.compress(b"".join(member(i, 60_000) for i in range(n)), 1)
+        tracemalloc.start()
+        assert sum(1 for _ in w.parse_archive(w.inflated(data))) == n
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak
+
+    assert most(1600) < 1.5 * most(200) < 8_000_000
+
+
+@pytest.mark.parametrize("window, most", [(1, 1), (7, 3), (100, 50), (32_768, 1_000_000)])
+def test_pieces_of_any_size_read_the_same(window, most):
+    plain = b"".join(member(i, 50 + 90 * (i % 7)) for i in range(40))
+    several = b"".join(gzip.compress(member(i, 50 + 90 * (i % 7))) for i in range(40))
+    for data in (plain, several, gzip.compress(plain)):
+        assert b"".join(w.inflated(data, window, most)) == plain
+        assert list(w.parse_archive(w.inflated(data, window, most))) == list(w.parse_archive(plain))
+        cut = list(w.parse_archive(w.inflated(data[:-30], window, most)))
+        assert 20 < len(cut) <= 40 and cut[:-1] == list(w.parse_archive(plain))[:len(cut) - 1]
+    bomb = zlib.compressobj(wbits=31)
+    packed = bomb.compress(b"x" * 5_000_000) + bomb.flush()
+    assert max(map(len, w.inflated(packed, 32_768, 10_000))) <= 10_000
