@@ -66,13 +66,14 @@ class ByteBPE:
         self.tokens = dict(sorted((rank, token) for token, rank in ranks.items()))
         self.find_pieces = regex.compile(pattern).findall
         self.memo_pieces, self.memo_pairs = memo_pieces, memo_pairs
-        self.pieces, self.pairs = {}, {}
+        self.pieces, self.chunks, self.pairs = {}, {}, {}
         self.automaton = ahocorasick.Automaton()
         for rank, token in self.tokens.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         # Of each token: the two it is merged from (itself twice if from none), its next shorter
         # prefix that is a token; and what two tokens merge to.
+        self.sizes = {rank: len(token) for rank, token in self.tokens.items()}
         self.parts, self.shorter, self.merged = {}, {}, {}
         for rank, token in self.tokens.items():
             self.parts[rank] = (rank, rank)
@@ -124,31 +125,44 @@ class ByteBPE:
         longest = [None] * len(piece)
         for end, (size, rank) in self.automaton.iter(piece.decode("latin-1")):
             longest[end - size + 1] = rank  # ends only grow, so the longest comes last
-        tokens, shorter, compatible = self.tokens, self.shorter, self.compatible
-        dead = bytearray(len(piece) + 1)  # places through which no encoding goes
-        out, at, token = [], 0, longest[0] if piece else None
-        while at < len(piece):
-            end = at + len(tokens[token])
-            if not dead[end] and (not out or compatible(out[-1], token)):
-                out.append(token)
-                at = end
-                token = longest[at] if at < len(piece) else None
-                continue
+        sizes, shorter, known, upto = self.sizes, self.shorter, self.pairs.get, len(piece)
+        dead = set()  # places through which no encoding goes
+        out, at, last, token = [], 0, None, longest[0] if piece else None
+        while at < upto:
+            end = at + sizes[token]
+            if end not in dead:
+                fits = last is None or known((last, token))
+                if fits is None:
+                    fits = self.compatible(last, token)
+                if fits:
+                    out.append(token)
+                    at, last = end, token
+                    token = longest[at] if at < upto else None
+                    continue
             token = shorter[token]
             while token is None:  # nothing fits here: take the last token back, try a shorter one
-                dead[at] = 1
-                last = out.pop()
-                at -= len(tokens[last])
-                token = shorter[last]
+                dead.add(at)
+                at -= sizes[out[-1]]
+                token = shorter[out.pop()]
+                last = out[-1] if out else None
         return out
 
     def _packed(self, chunk):
-        ids = [i for piece in self.find_pieces(chunk) for i in self.encode_piece(piece.encode())]
+        ids, memo = [], self.pieces
+        for piece in self.find_pieces(chunk):
+            found = memo.get(piece)
+            if found is None:
+                found = self.encode_piece(piece.encode())
+                if len(piece) <= 64:
+                    if len(memo) >= self.memo_pieces:
+                        memo.clear()
+                    memo[piece] = found
+            ids += found
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text):
         """Packed ids of a whole text."""
-        memo, out = self.pieces, []
+        memo, out = self.chunks, []
         head, *rest = _SPACE.split(text)
         if head:
             out.append(self._packed(head))
