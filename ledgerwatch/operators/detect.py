@@ -29,14 +29,10 @@ def _one_if(condition):
     return F.when(condition, 1).otherwise(0).cast("long")
 
 
-def _traits(cfg):
-    """Row conditions the windows count."""
+def row_traits(cfg):
+    """Row conditions the windows count that need no other row."""
     amount = F.col("amount")
-    unusual_place = F.col("is_international") | (
-        F.col("distance_from_last_km") > cfg.distance_km)
     return {
-        "_takeover": _holds(
-            (amount >= cfg.takeover_amount) & ~F.col("customer_present") & unusual_place),
         "_small": _holds(amount < cfg.testing_amount),
         "_small_declined": _holds(
             (amount < cfg.testing_amount) & (F.col("status") == "DECLINED")),
@@ -47,6 +43,17 @@ def _traits(cfg):
     }
 
 
+def _traits(cfg):
+    """Row conditions the windows count."""
+    unusual_place = F.col("is_international") | (
+        F.col("distance_from_last_km") > cfg.distance_km)
+    return {
+        "_takeover": _holds(
+            (F.col("amount") >= cfg.takeover_amount) & ~F.col("customer_present") & unusual_place),
+        **row_traits(cfg),
+    }
+
+
 # Which additive windows a pattern reads.
 MEASURES_OF = {
     "account_takeover": ["_n_takeover"], "card_testing": ["_n_small", "_n_small_declined"],

@@ -13,12 +13,13 @@ from ledgerwatch.config import (
 )
 from ledgerwatch.functions import privacy
 from ledgerwatch.operators import (
-    alerts, dedup, detect, features, gold, monitor, quality, stats, validate,
+    alerts, dedup, detect, features, gold, increments, monitor, quality, stats, validate,
 )
 from ledgerwatch.plans import medallion, standins
 from ledgerwatch.plans import oracle as o
 from ledgerwatch.session import fresh_dir, store
 from ledgerwatch.sources import messages, tables
+from ledgerwatch.sources.snapshots import SnapshotTable
 from ledgerwatch.streaming import job
 
 AS_OF = standins.AS_OF
@@ -169,6 +170,17 @@ def upsert_chosen_columns(spark, d):
     return tables.merge_frames(*_upsert_sides(spark, d), ["custkey"], ["total"])
 
 
+@query(SQL["upsert_all_columns"])
+def upsert_snapshot(spark, d):
+    """The same upsert on a table of versions."""
+    target, source = _upsert_sides(spark, d)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema.fields)
+    table = SnapshotTable(spark, fresh_dir(spark, "snapshot"), kinds, ["custkey"], buckets=16)
+    table.replace(target)
+    table.upsert(source)
+    return table.read()
+
+
 @query("""SELECT event_type, count(*) AS n, count_if(value > 50.0) AS n_above,
   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM events GROUP BY event_type""")
 def sql_over_views(spark, d):
@@ -1165,6 +1177,32 @@ def merchant_analytics(spark, d):
         _order_silver(spark, d), _order_alerts(spark, d), "2024-01-31")
 
 
+def _refreshed(spark, d, kind, distinct="exact"):
+    """Gold from three batches of scattered rows, with a compaction before the last; the first comes twice."""
+    r = increments.Refresh(fresh_dir(spark, f"refresh-{kind}"), kind, distinct, most_folders=1)
+    rows, found = _order_silver(spark, d), _order_alerts(spark, d)
+    for number, part in enumerate([0, 1, 2, 0]):
+        new = rows.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == part)
+        fired = found.join(new.select("transaction_id"), "transaction_id", "left_semi")
+        alerted = new.select("transaction_id", "merchant_id").join(
+            found.select("transaction_id"), "transaction_id", "left_semi")
+        increments.refresh(spark, r, "orders", part, new, fired, alerted, "2024-01-31")
+        if number == 1:
+            increments.compact(spark, r)
+    return increments.read(spark, r)
+
+
+@query(SQL["customer_patterns"])
+def gold_refresh_customers(spark, d):
+    lists = ["preferred_merchant_categories", "preferred_channels", "typical_transaction_hours"]
+    return _refreshed(spark, d, "customer").withColumns({c: F.array_join(c, ",") for c in lists})
+
+
+@query(SQL["merchant_analytics"])
+def gold_refresh_merchants(spark, d):
+    return _refreshed(spark, d, "merchant")
+
+
 @query(o.with_ctes(o.BASE_EVENTS, select="""
 SELECT coalesce(m_fraud, 'ALL') AS fraud_pattern, CAST(count(m_fraud) AS BIGINT) AS n,
   CAST(count(m_fraud) AS DOUBLE) / (SELECT count(*) FROM txn) AS rate
@@ -1186,9 +1224,9 @@ def _event_stream(spark, d):
     return standins.events_as_transactions(stream)
 
 
-def _run_stream(spark, d, cfg=PipelineConfig()):
+def _run_stream(spark, d, cfg=PipelineConfig(), **options):
     root = fresh_dir(spark, "stream")
-    run = job.Job(f"{root}/tables", f"{root}/checkpoint", cfg, as_of=AS_OF)
+    run = job.Job(f"{root}/tables", f"{root}/checkpoint", cfg, as_of=AS_OF, **options)
     job.start(_event_stream(spark, d), run, available_now=True).awaitTermination()
     return run
 
@@ -1196,7 +1234,7 @@ def _run_stream(spark, d, cfg=PipelineConfig()):
 @query(SILVER_SQL)
 def stream_silver(spark, d):
     rows = job.read_table(spark, _run_stream(spark, d), "silver")
-    return _comparable_silver(rows.drop("features_complete", "batch_id"))
+    return _comparable_silver(rows.drop("features_complete", "stream_patterns", "batch_id"))
 
 
 @query(SQL["bronze_table"])
@@ -1223,11 +1261,46 @@ SELECT sha256(transaction_id || '|' || alert_type) AS alert_id, transaction_id,
   severity, alert_risk AS risk_score, confidence AS confidence_score, rules_triggered
 FROM alert"""))
 def stream_alerts(spark, d):
-    return job.read_table(spark, _run_stream(spark, d), "alerts").select(
+    run = _run_stream(spark, d, history_patterns=False)
+    return job.read_table(spark, run, "alerts").select(
+        "alert_id", "transaction_id", "alert_type", "severity", "risk_score",
+        "confidence_score", joined("rules_triggered", "rules_triggered"))
+
+
+# Thresholds under which the event table shows every pattern.
+EVENT_DETECTORS = DetectorConfig(
+    takeover_minutes=14400, takeover_rows=2, takeover_amount=40.0, testing_minutes=14400, testing_rows=3,
+    testing_amount=60.0, testing_declined_share=0.3, attack_rows=2, probing_rows=2, probing_gap_minutes=30000,
+    collusion_minutes=7200, collusion_merchants=2, collusion_spread=40.0, identity_hours=400, identity_rows=2,
+    identity_amount=60.0, bustout_days=20, bustout_earlier_rows=2, bustout_recent_rows=1, bustout_factor=2.0)
+STREAMED = [
+    o.BASE_EVENTS, o.FLAGS, o.FEATURES, "kept AS (SELECT * FROM feat WHERE data_quality_score > 0.8)"]
+STREAM_ALERT_SQL = """
+SELECT sha256(transaction_id || '|' || alert_type) AS alert_id, transaction_id, alert_type,
+  severity, alert_risk AS risk_score, confidence AS confidence_score, rules_triggered
+FROM alert"""
+
+
+def _stream_alert_rows(spark, d, cfg):
+    return job.read_table(spark, _run_stream(spark, d, cfg), "alerts").select(
         "alert_id", "transaction_id", "alert_type", "severity", "risk_score",
         "confidence_score", joined("rules_triggered", "rules_triggered"))
 
 
+@query(o.with_ctes(*STREAMED, o.patterns_sql().replace("FROM feat", "FROM kept"), o.alerts_sql(),
+                   select=STREAM_ALERT_SQL))
+def stream_patterns(spark, d):
+    """All eight patterns from the stream's state, with the usual thresholds."""
+    return _stream_alert_rows(spark, d, PipelineConfig())
+
+
+@query(o.with_ctes(*STREAMED, o.patterns_sql(EVENT_DETECTORS).replace("FROM feat", "FROM kept"),
+                   o.alerts_sql(EVENT_DETECTORS), select=STREAM_ALERT_SQL))
+def stream_patterns_with_low_thresholds(spark, d):
+    """The same with thresholds that every pattern passes."""
+    return _stream_alert_rows(spark, d, PipelineConfig(detectors=EVENT_DETECTORS))
+
+
 @query(o.with_ctes(*TYPED_CHECKS, select="""
 SELECT count(*) AS batch_size, count_if(NOT is_valid) AS error_count,
   CAST(count_if(is_valid) AS DOUBLE) / count(*) AS validation_rate FROM checked"""))
@@ -1249,7 +1322,8 @@ def stream_late_rows(spark, d):
     run = job.Job(f"{root}/tables", f"{root}/checkpoint", as_of=AS_OF)
     job.start(standins.events_as_transactions(stream), run, available_now=True).awaitTermination()
     rows = medallion.refill(job.read_table(spark, run, "silver"), EVENTS(spark, d), as_of=AS_OF)
-    return _comparable_silver(rows.filter("features_complete").drop("features_complete", "batch_id"))
+    return _comparable_silver(rows.filter("features_complete").drop(
+        "features_complete", "stream_patterns", "batch_id"))
 
 
 @query(SQL["stream_quality"])

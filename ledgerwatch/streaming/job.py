@@ -2,8 +2,10 @@
 
 source -> parse -> flags -> hash -> per-customer state -> foreachBatch, which
 writes bronze, quarantine, silver, alerts and quality metrics from one stored
-micro-batch.  Every table is partitioned by ``batch_id`` and a batch overwrites
-its own partition, so a replay after a failure leaves the same rows.
+micro-batch.  A batch's folders are named by run (the checkpoint) and batch and
+show in all tables at once, by one commit (``commits``): a replay after a
+failure leaves the same rows, and a new checkpoint adds to old tables.  Silver
+has an id once, whatever its date and whichever run wrote it (``ids``).
 """
 
 import time
@@ -17,7 +19,9 @@ from ledgerwatch.config import PipelineConfig
 from ledgerwatch.operators import alerts, dedup, detect, monitor, quality, validate
 from ledgerwatch.plans import medallion
 from ledgerwatch.sources import messages
-from ledgerwatch.streaming.state import add_features_stream
+from ledgerwatch.sources.commits import Commits, run_of
+from ledgerwatch.streaming import ids
+from ledgerwatch.streaming.state import HISTORY_PATTERNS, add_features_stream
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -36,6 +40,9 @@ class Job:
     late_hours: int = 2
     alert_servers: str = ""
     alert_topic: str = ""  # alerts also go to this topic, keyed by transaction
+    history_patterns: bool = True  # alert on the six patterns that need a history, too
+    compact_every: int = 20  # batches
+    most_folders: int = 8  # of a table, after a compaction
 
     def path(self, table):
         return f"{self.root}/{table}"
@@ -51,7 +58,8 @@ def from_messages(message_stream):
 def enriched_stream(transactions, job):
     """Flags, hashed customer and features of a transaction stream."""
     secured = medallion.secured(transactions, job.cfg, job.as_of)
-    return add_features_stream(secured, job.cfg.features, job.late_hours)
+    return add_features_stream(
+        secured, job.cfg.features, job.late_hours, job.cfg.detectors, job.cfg.quality)
 
 
 def drop_duplicates_within_watermark(transactions, delay="2 hours"):
@@ -60,20 +68,6 @@ def drop_duplicates_within_watermark(transactions, delay="2 hours"):
         ["transaction_id"])
 
 
-def _stored_ids(job, spark, batch_id, dates):
-    """Ids already in silver on the dates of this batch, from earlier batches only.
-
-    Reads one column of the touched date partitions.
-    """
-    stored = spark.read.schema(
-        "transaction_id string, batch_id long, transaction_date date"
-    ).option("basePath", job.path("silver")).parquet(job.path("silver"))
-    return (
-        stored.filter(F.col("batch_id") < batch_id)
-        .join(dates, "transaction_date", "left_semi").select("transaction_id")
-    )
-
-
 def _with_customer(rows):
     """Rows as the rules want them; in production the hash stands for the dropped clear id."""
     if "customer_id" in rows.columns:
@@ -82,46 +76,55 @@ def _with_customer(rows):
     return rows.withColumn("customer_id", F.when(known, F.col("customer_id_hash")))
 
 
+def patterned(silver, cfg):
+    """Written silver rows with all pattern columns, as the alert rules want them."""
+    rows = silver.withColumnRenamed("transaction_timestamp", "timestamp").withColumns({
+        p: F.array_contains(F.coalesce("stream_patterns", F.array().cast("array<string>")), p)
+        for p in HISTORY_PATTERNS})
+    return detect.add_row_patterns(rows, cfg)
+
+
 def write_batch(job):
     """The foreachBatch function of the job."""
 
-    def put(df, table, batch_id, *partition):
-        df.write.mode("overwrite").partitionBy(*partition).parquet(
-            f"{job.path(table)}/batch_id={batch_id}")
-
     def write(batch, batch_id):
         began = time.monotonic()
         spark = batch.sparkSession
+        commits = Commits(spark, job.root)
+        run, state = run_of(spark, job.checkpoint), commits.state()
+        if state.batches.get(run, -1) >= batch_id:
+            return  # a replay of a batch that is in the tables
+        folder, added = f"run={run}/batch_id={batch_id}", {}
+
+        def put(df, table, *partition):
+            df.write.mode("overwrite").partitionBy(*partition).parquet(f"{job.path(table)}/{folder}")
+            added[table] = [folder]
+
         batch.persist()
         try:
             rows = batch
             if "raw" in batch.columns:
                 rows = batch.filter(F.col("raw").isNull()).drop("raw")
-                put(batch.filter(F.col("raw").isNotNull()).select("raw", *messages.ORIGIN),
-                    "quarantine", batch_id)
-            put(quality.bronze_projection(rows), "bronze", batch_id)
+                put(batch.filter(F.col("raw").isNotNull()).select("raw", *messages.ORIGIN), "quarantine")
+            put(quality.bronze_projection(rows), "bronze")
 
             passing = quality.passing_quality(rows, job.cfg.quality)
             first = dedup.keep_first(
                 passing, ["transaction_id"], ["timestamp", "kafka_partition", "kafka_offset"])
-            silver = quality.silver_projection(first, job.as_of, ["features_complete"])
-            if batch_id > 0 and _exists(spark, job.path("silver")):
-                dates = silver.select("transaction_date").distinct()
-                silver = silver.join(
-                    _stored_ids(job, spark, batch_id, dates), "transaction_id", "left_anti"
-                ).select(silver.columns)
-            put(silver, "silver", batch_id, "transaction_date")
-
-            written = spark.read.schema(silver.schema).parquet(
-                f"{job.path('silver')}/batch_id={batch_id}")
-            patterned = detect.add_row_patterns(
-                written.withColumnRenamed("transaction_timestamp", "timestamp"),
-                job.cfg.detectors)
-            put(alerts.build_alerts(patterned, job.cfg.detectors, job.as_of), "alerts", batch_id)
+            silver = quality.silver_projection(first, job.as_of, ["features_complete", "stream_patterns"])
+            known = ids.repeated(commits, state, silver)
+            put(silver.join(known, "transaction_id", "left_anti").select(silver.columns), "silver",
+                "transaction_date")
+
+            written = spark.read.schema(silver.schema).parquet(f"{job.path('silver')}/{folder}")
+            ids.write(put, written.select("transaction_id"))
+            fired = patterned(written, job.cfg.detectors)
+            if not job.history_patterns:
+                fired = fired.drop(*HISTORY_PATTERNS)
+            put(alerts.build_alerts(fired, job.cfg.detectors, job.as_of), "alerts")
 
             if job.alert_topic:
-                sent = spark.read.schema(schema.ALERT_DDL).parquet(
-                    f"{job.path('alerts')}/batch_id={batch_id}")
+                sent = spark.read.schema(schema.ALERT_DDL).parquet(f"{job.path('alerts')}/{folder}")
                 messages.publish(sent, job.alert_servers, job.alert_topic, "transaction_id")
 
             checked = validate.validate_transactions(
@@ -129,17 +132,24 @@ def write_batch(job):
             metrics = monitor.history_rows(
                 monitor.batch_summary(checked, seconds=time.monotonic() - began),
                 F.current_timestamp())
-            put(metrics, "quality", batch_id)
+            put(metrics, "quality")
+            commits.commit({"run": run, "batch": batch_id, "add": added})
         finally:
             batch.unpersist()
+        if job.compact_every and batch_id % job.compact_every == job.compact_every - 1:
+            maintain(spark, job)
 
     return write
 
 
-def _exists(spark, path):
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def maintain(spark, job, keep_versions=10):
+    """Bring the number of folders down and delete what no reader can still want."""
+    commits = Commits(spark, job.root)
+    for table in TABLES:
+        commits.compact(table, table_schema(table),
+                        ["transaction_date"] if table == "silver" else [], job.most_folders)
+    ids.compact(commits, job.most_folders)
+    commits.vacuum(keep_versions)
 
 
 def start(transactions, job, available_now=False, name="transactions"):
@@ -157,7 +167,7 @@ def start(transactions, job, available_now=False, name="transactions"):
 
 TABLES = {
     "bronze": (schema.BRONZE_DDL, ""),
-    "silver": (schema.SILVER_DDL, ", features_complete boolean"),
+    "silver": (schema.SILVER_DDL, ", features_complete boolean, stream_patterns array<string>"),
     "alerts": (schema.ALERT_DDL, ""),
     "quarantine": (
         "raw string, kafka_topic string, kafka_partition int, kafka_offset long, "
@@ -168,13 +178,14 @@ TABLES = {
 }
 
 
-def read_table(spark, job, table):
-    """A table the job has written, all batches; its schema is declared, so it may be empty."""
+def table_schema(table):
     columns, extra = TABLES[table]
-    return (
-        spark.read.schema(f"{columns.strip()}{extra}, batch_id long")
-        .option("basePath", job.path(table)).parquet(job.path(table))
-    )
+    return f"{columns.strip()}{extra}, batch_id long"
+
+
+def read_table(spark, job, table):
+    """The committed rows of a table the job has written; its schema is declared, so it may be empty."""
+    return Commits(spark, job.root).read(table, table_schema(table))
 
 
 def stop(queries):

@@ -1,12 +1,24 @@
-"""Per-customer history over a stream.
+"""Per-customer history over a stream: features and patterns.
 
-Window functions over rows are not available on streams, so the features come
-from keyed state in the RocksDB store.  A customer's state is bounded whatever
-the customer's volume: one counter per second of the longest velocity window
-plus the allowed lateness, and the rows of the allowed lateness with as many
-before them as a feature looks back on.
+Window functions over rows are not available on streams, so what they would see comes from keyed
+state in the RocksDB store.  A customer has
+
+* a head: the rows that a late row may still precede with as many before them as a feature looks
+  back on, the newest entries of its timeline and of its recent rows, and the days of the timeline,
+* nodes of the timeline (see ``timeline``): additive measures per second of the longest window plus
+  the allowed lateness, for velocities and patterns,
+* blocks of recent rows, for the patterns that compare rows.
+
+A batch writes the head, which is bounded by parameters, and the nodes and blocks its rows moved into.
+Nodes and blocks that have left every window are removed when the customer comes again.  (Timers and
+times to live need the processing-time mode, in which a query of all available data never ends.)  Rows pass through Python as an array of their values' text and arrays of
+their maps' keys and values.
+
+A row that repeats one of the head (same time and id) is not counted again.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -14,104 +26,186 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from ledgerwatch import schema
-from ledgerwatch.config import FeatureConfig
-from ledgerwatch.operators import features
+from ledgerwatch.config import DetectorConfig, FeatureConfig, QualityConfig
+from ledgerwatch.operators import detect, features
+from ledgerwatch.streaming import patterns
+from ledgerwatch.streaming.timeline import Recent, Timeline
 
-COUNTS = "secs array<bigint>, rows array<bigint>"
-TAIL = ("micros array<bigint>, ids array<string>, amounts array<double>, lats array<double>, "
-        "lons array<double>, cut boolean")
+HEAD = ("micros array<bigint>, ids array<string>, amounts array<double>, lats array<double>, "
+        "lons array<double>, cut boolean, latest bigint, first_sec bigint, secs array<bigint>, "
+        "sums array<bigint>, days array<bigint>, day_sums array<bigint>, blocks array<bigint>, "
+        "r_micros array<bigint>, r_ids array<string>, r_merchants array<string>, "
+        "r_cents array<bigint>, r_risky array<boolean>")
+EMPTY = ([], [], [], [], [], False, None, None, [], [], [], [], [], [], [], [], [], [])
+NODE_KEY, NODE = "level int, at bigint", "keys array<bigint>, sums array<bigint>"
+BLOCK_KEY = "block bigint"
+BLOCK = ("micros array<bigint>, ids array<string>, merchants array<string>, cents array<bigint>, "
+         "risky array<boolean>")
 UNKNOWN_SALTS = 256
-STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+MEASURES = 7
+#: Patterns that need the history; the other two follow from a row's own features.
+HISTORY_PATTERNS = [p for p in detect.PATTERNS if p not in ("velocity_attack", "impossible_travel")]
+#: Bits of a row's conditions.
+OK, SMALL, SMALL_DECLINED, LARGE, RISKY, TAKEOVER, ABROAD = (1 << i for i in range(7))
 
 
-def output_schema(cfg):
+def output_schema(cfg, carried):
     velocities = ", ".join(f"{v} bigint" for v in features.velocity_names(cfg))
-    return (f"payload string, {velocities}, _mean double, _sd double, "
-            "_prev_lat double, _prev_lon double, _prev_us bigint, velocity_complete boolean, "
-            "history_complete boolean")
+    packed = ", ".join(f"{c} array<string>" for c in carried)
+    return (f"{packed}, {velocities}, _mean double, _sd double, _prev_lat double, _prev_lon double, "
+            "_prev_us bigint, velocity_complete boolean, history_complete boolean, "
+            "stream_patterns array<string>")
+
+
+class _Store:
+    """A map state as ``timeline`` wants it."""
+
+    def __init__(self, state):
+        self.state = state
+
+    def get(self, key):
+        return tuple(self.state.getValue(key)) if self.state.containsKey(key) else None
+
+    def put(self, key, value):
+        self.state.updateValue(key, value)
+
+    def remove(self, key):
+        self.state.removeKey(key)
 
 
 class CustomerHistory(StatefulProcessor):
-    """Look-back columns of a customer's new rows, from state plus the micro-batch."""
+    """Look-back columns and patterns of a customer's new rows, from state plus the micro-batch."""
 
-    def __init__(self, cfg, late_hours):
-        self.cfg = cfg
+    def __init__(self, cfg, late_hours, detectors, carried):
+        self.cfg, self.detectors, self.carried = cfg, detectors, carried
         self.spans = [3600 * h for h in cfg.velocity_hours]
         self.late = 3600 * late_hours
+        d = detectors
+        self.reach = max(*self.spans, 86400 * d.bustout_days, 60 * d.takeover_minutes,
+                         60 * d.testing_minutes, 3600 * d.identity_hours) + self.late
+        self.recent_reach = max(60 * d.collusion_minutes,
+                                60 * d.probing_gap_minutes * (d.probing_rows - 1)) + self.late
+        self.names = [*carried, *features.velocity_names(cfg), "_mean", "_sd", "_prev_lat", "_prev_lon",
+                      "_prev_us", "velocity_complete", "history_complete", "stream_patterns"]
 
     def init(self, handle):
-        self.counts = handle.getValueState("counts", COUNTS)
-        self.tail = handle.getValueState("tail", TAIL)
+        self.head = handle.getValueState("head", HEAD)
+        self.nodes = handle.getMapState("nodes", NODE_KEY, NODE)
+        self.blocks = handle.getMapState("blocks", BLOCK_KEY, BLOCK)
 
     def handleInputRows(self, key, rows, timerValues):
         new = pd.concat(list(rows), ignore_index=True)
         if key[0] == schema.UNKNOWN_CUSTOMER:
             yield self._empty(new)
             return
-        new = new.assign(_new=True, micros=new["micros"].astype("int64"))
-        stored = self.tail.get() if self.tail.exists() else ([], [], [], [], [], False)
-        old = pd.DataFrame({
-            "micros": pd.Series(list(stored[0]), dtype="int64"), "transaction_id": stored[1],
-            "amount": pd.Series(list(stored[2]), dtype="float64"),
-            "lat": pd.Series(list(stored[3]), dtype="float64"),
-            "lon": pd.Series(list(stored[4]), dtype="float64"), "_new": False,
-        })
-        cut = bool(stored[5])
-        every = pd.concat([old, new], ignore_index=True) if len(old) else new
-        every = every.sort_values(["micros", "transaction_id"], kind="stable", ignore_index=True)
+        h = tuple(self.head.get()) if self.head.exists() else EMPTY
+        line = Timeline(MEASURES, _Store(self.nodes), *h[8:12])
+        recent = Recent(_Store(self.blocks), zip(*h[13:18]), h[12])
+        micros = new["micros"].to_numpy("int64")
+        ids, secs = new["transaction_id"].tolist(), micros // 1_000_000
+        amount, lat, lon = (new[c].to_numpy("float64") for c in ("amount", "lat", "lon"))
+        bits = new["bits"].to_numpy("int64")
+
+        # The old rows and the new ones that do not repeat another, by time and id.
+        names = list(zip(h[0], h[1]))
+        place = {n: i for i, n in enumerate(names) if n[1]}
+        fresh = []
+        for i, n in enumerate(zip(micros.tolist(), ids)):
+            if not n[1] or n not in place:
+                fresh.append(i)
+                if n[1]:
+                    place[n] = len(names)
+                names.append(n)
+        old = len(h[0])
+        order = sorted(range(len(names)), key=names.__getitem__)
+        rank = np.empty(len(names), np.int64)
+        rank[order] = np.arange(len(names))
+        own = np.empty(len(new), np.int64)  # where each new row stands
+        own[fresh] = rank[old:]
+        taken = set(fresh)
+        for i in range(len(new)):
+            if i not in taken:
+                own[i] = rank[place[int(micros[i]), ids[i]]]
+
+        def lined(before, now):
+            return np.concatenate([np.array(before, np.float64), now[fresh]])[order]
 
+        every = (np.array([names[i][0] for i in order], np.int64), [names[i][1] for i in order],
+                 lined(h[2], amount), lined(h[3], lat), lined(h[4], lon))
         n = self.cfg.history_rows
-        mean, sd = _look_back(every["amount"].to_numpy(dtype="float64"), n)
-        out = every.assign(
-            _mean=mean, _sd=sd,
-            _prev_lat=every["lat"].shift(1), _prev_lon=every["lon"].shift(1),
-            _prev_us=every["micros"].shift(1).astype("Int64"),
-        )
-        reach = np.arange(len(every)) >= n
-        out, reach = out[out["_new"]], reach[every["_new"].to_numpy(dtype=bool)]
-        out = self._velocities(out)
-        # Without a cut the state holds everything; with one, 50 rows must lie before the row.
-        out["history_complete"] = reach | (not cut)
-        self._store_tail(every, cut)
-        yield out[self._columns()]
-
-    def _velocities(self, out):
-        secs, rows = self.counts.get() if self.counts.exists() else ((), ())
-        known = pd.Series(list(rows), index=list(secs), dtype="int64")
-        horizon = known.index.max() - self.late if len(known) else None
-        sec = out["micros"].to_numpy() // 1_000_000
-        fresh = pd.Series(sec).value_counts()
-        total = known.add(fresh, fill_value=0).astype("int64").sort_index()
-        at = total.index.to_numpy()
-        upto = np.concatenate([[0], np.cumsum(total.to_numpy())])
-        last = upto[np.searchsorted(at, sec, side="right")]
+        mean, sd = _look_back(every[2], n)
+        prev_lat, prev_lon = (np.concatenate([[np.nan], a[:-1]])[own] for a in every[3:])
+        prev = [int(every[0][i - 1]) if i else None for i in own.tolist()]
+        history_complete = (own >= n) | (not h[5])
+        horizon = None if h[6] is None else h[6] - self.late
+        velocity_complete = np.full(len(new), True) if horizon is None else secs >= horizon
+
+        far = _distance(prev_lat, prev_lon, lat, lon, self.cfg.earth_radius_km) > self.detectors.distance_km
+        ok = bits & OK > 0
+        takeover = ok & (bits & TAKEOVER > 0) & ((bits & ABROAD > 0) | (far & history_complete))
+        cents = np.where(np.isnan(amount), 0, np.rint(np.nan_to_num(amount) * 100)).astype(np.int64)
+        counted = ok & ~np.isnan(amount)
+        measures = np.stack([
+            np.ones(len(new), np.int64), counted, np.where(counted, cents, 0), takeover,
+            ok & (bits & SMALL > 0), ok & (bits & SMALL_DECLINED > 0), ok & (bits & LARGE > 0)],
+            axis=1).astype(np.int64)
+        line.add(secs[fresh], measures[fresh])
+        merchants = new["merchant_id"].tolist()
+        recent.add([(int(micros[i]), ids[i], merchants[i], None if np.isnan(amount[i]) else int(cents[i]),
+                     bool(bits[i] & RISKY)) for i in fresh if ok[i]])
+        seen = [x for x in (h[7], int(secs[ok].min()) if ok.any() else None) if x is not None]
+        first = min(seen) if seen else None
+
+        at, back = np.unique(secs, return_inverse=True)
+        out = {c: new[c] for c in self.carried}
         for name, span in zip(features.velocity_names(self.cfg), self.spans):
-            out[name] = last - upto[np.searchsorted(at, sec - span, side="left")] - 1
-        out["velocity_complete"] = True if horizon is None else sec >= horizon
-        kept = total[at >= at.max() - max(self.spans) - self.late]
-        self.counts.update((kept.index.tolist(), kept.tolist()))
-        return out
+            out[name] = (line.trailing(at, span)[:, patterns.ALL] - 1)[back]
+        out |= {"_mean": mean[own], "_sd": sd[own], "_prev_lat": prev_lat, "_prev_lon": prev_lon,
+                "_prev_us": pd.Series(prev, dtype="Int64"), "velocity_complete": velocity_complete,
+                "history_complete": history_complete,
+                "stream_patterns": self._patterns(line, recent, at, back, bits, ok, takeover, micros, ids, first)}
+        latest = max(x for x in (h[6], int(secs.max())) if x is not None)
+        self._store(h, every, latest, first, line, recent)
+        yield pd.DataFrame(out)[self.names]
 
-    def _store_tail(self, every, cut):
+    def _patterns(self, line, recent, at, back, bits, ok, takeover, micros, ids, first):
+        d, found = self.detectors, [[] for _ in bits]
+        if not ok.any():
+            return found
+        full = patterns.additive(d, line, at, first)
+        trait = {"account_takeover": takeover, "card_testing": bits & SMALL > 0,
+                 "synthetic_identity": bits & LARGE > 0, "bust_out": ok}
+        span = self.recent_reach - self.late
+        rows = recent.between(int(at[0]) - span, int(at[-1]))
+        rising = patterns.rising(d, rows)
+        close = patterns.collusion(d, rows, at.tolist())
+        for i in np.flatnonzero(ok).tolist():
+            hits = {name for name, t in trait.items() if t[i] and full[name][back[i]]}
+            if (int(micros[i]), ids[i]) in rising:
+                hits.add("amount_probing")
+            if bits[i] & RISKY and int(at[back[i]]) in close:
+                hits.add("merchant_collusion")
+            found[i] = [p for p in HISTORY_PATTERNS if p in hits]
+        return found
+
+    def _store(self, h, every, latest, first, line, recent):
+        line.settle(latest - self.reach)
+        recent.settle(latest - self.recent_reach)
         # Everything that a row may still precede, and the look-back of the earliest such row.
-        mark = every["micros"].iloc[-1] - self.late * 1_000_000
-        first = int(every["micros"].searchsorted(mark, side="left")) - self.cfg.history_rows
-        tail = every.iloc[max(first, 0):]
-        self.tail.update((
-            tail["micros"].astype("int64").tolist(), tail["transaction_id"].tolist(),
-            _floats(tail["amount"]), _floats(tail["lat"]), _floats(tail["lon"]),
-            bool(cut or first > 0),
-        ))
+        mark = (latest - self.late) * 1_000_000
+        start = max(int(np.searchsorted(every[0], mark)) - self.cfg.history_rows, 0)
+        rows = list(zip(*recent.rows)) or [[]] * 5
+        self.head.update((
+            every[0][start:].tolist(), every[1][start:], *[_floats(a[start:]) for a in every[2:]],
+            bool(h[5] or start > 0), latest, first, line.secs.tolist(), line.sums.ravel().tolist(),
+            line.days.tolist(), line.day_sums.ravel().tolist(), sorted(recent.blocks),
+            *[list(c) for c in rows]))
 
     def _empty(self, new):
-        for name in self._columns()[1:-2]:
-            new[name] = None
-        new["velocity_complete"] = new["history_complete"] = True
-        return new[self._columns()]
-
-    def _columns(self):
-        return ["payload", *features.velocity_names(self.cfg), "_mean", "_sd", "_prev_lat",
-                "_prev_lon", "_prev_us", "velocity_complete", "history_complete"]
+        out = new.reindex(columns=self.names[:-3]).astype({"_prev_us": "Int64"})
+        out["velocity_complete"] = out["history_complete"] = True
+        out["stream_patterns"] = [[] for _ in range(len(new))]
+        return out
 
 
 def _look_back(amounts, n):
@@ -127,16 +221,84 @@ def _look_back(amounts, n):
     return mean, sd
 
 
+def _distance(lat1, lon1, lat2, lon2, radius):
+    """Great-circle kilometres; 0 where a coordinate is missing."""
+    a, b, c, d = (np.radians(x) for x in (lat1, lon1, lat2, lon2))
+    h = np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((d - b) / 2) ** 2
+    return np.nan_to_num(2 * radius * np.arcsin(np.sqrt(np.minimum(1.0, h))))
+
+
 def _floats(values):
-    return [None if pd.isna(v) else float(v) for v in values]
+    return [None if math.isnan(v) else v for v in values.tolist()]
+
+
+def _packed(df):
+    """Columns that carry a row: the text of its values, and keys and values of its maps."""
+    texts, maps = [], []
+
+    def walk(column, kind):
+        if isinstance(kind, T.StructType):
+            texts.append(F.when(column.isNotNull(), "1"))
+            for f in kind.fields:
+                walk(column[f.name], f.dataType)
+        elif isinstance(kind, T.MapType):
+            maps.extend([F.map_keys(column).cast("array<string>"), F.map_values(column).cast("array<string>")])
+        elif isinstance(kind, T.TimestampType):
+            texts.append(F.unix_micros(column).cast("string"))
+        elif isinstance(kind, (T.AtomicType, T.NullType)) and not isinstance(kind, T.BinaryType):
+            texts.append(column.cast("string"))
+        else:
+            raise TypeError(f"cannot carry a column of type {kind.simpleString()}")
+
+    for f in df.schema.fields:
+        walk(df[f"`{f.name}`"], f.dataType)
+    return [F.array(*texts).alias("packed_texts"), *[m.alias(f"packed_map{i}") for i, m in enumerate(maps)]]
+
+
+def _unpacked(row_type):
+    """The columns that ``_packed`` took in."""
+    at = {"text": -1, "map": -2}
+
+    def walk(kind):
+        if isinstance(kind, T.StructType):
+            at["text"] += 1
+            there = F.get("packed_texts", F.lit(at["text"]))
+            return F.when(there.isNotNull(), F.struct(*[walk(f.dataType).alias(f.name) for f in kind.fields]))
+        if isinstance(kind, T.MapType):
+            at["map"] += 2
+            return F.map_from_arrays(f"packed_map{at['map']}", f"packed_map{at['map'] + 1}").cast(kind)
+        at["text"] += 1
+        text = F.get("packed_texts", F.lit(at["text"]))
+        return F.timestamp_micros(text.cast("long")) if isinstance(kind, T.TimestampType) else text.cast(kind)
+
+    return [walk(f.dataType).alias(f.name) for f in row_type.fields]
+
+
+def _bits(detectors, quality):
+    """The conditions of a row that need no other row, as bits of a number."""
+    amount = F.col("amount")
+    traits = detect.row_traits(detectors)
+    conditions = {
+        OK: F.col("data_quality_score") > quality.silver_min_score,
+        SMALL: traits["_small"], SMALL_DECLINED: traits["_small_declined"], LARGE: traits["_large"],
+        RISKY: traits["_risky_category"],
+        TAKEOVER: (amount >= detectors.takeover_amount) & ~F.col("customer_present"),
+        ABROAD: F.col("is_international"),
+    }
+    out = F.lit(0)
+    for bit, condition in conditions.items():
+        out = out + F.when(condition, bit).otherwise(0)
+    return out.cast("long")
 
 
-def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
-    """The features of ``features.add_features`` on a stream.
+def add_features_stream(df, cfg=FeatureConfig(), late_hours=2, detectors=DetectorConfig(),
+                        quality=QualityConfig()):
+    """The features of ``features.add_features`` on a stream, and its patterns.
 
-    Adds ``features_complete``: false for rows too late for the stored history;
-    the features that need what is gone are NULL until ``medallion.refill``.  Rows of
-    unknown customers are spread over salts and touch no state.
+    Adds ``features_complete``: false for rows too late for the stored history; the features that need
+    what is gone are NULL until ``medallion.refill``.  Adds ``stream_patterns``, the names of the
+    patterns that need a history; they count rows that pass the quality filter.  Rows of unknown
+    customers are spread over salts and touch no state.
     """
     usable = F.col(features.CUSTOMER).isNotNull() & F.col("timestamp").isNotNull()
     customer = F.when(usable, F.col(features.CUSTOMER)).otherwise(schema.UNKNOWN_CUSTOMER)
@@ -144,6 +306,7 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
         customer == schema.UNKNOWN_CUSTOMER,
         F.pmod(F.xxhash64("transaction_id", "timestamp", "amount"), F.lit(UNKNOWN_SALTS)),
     ).otherwise(0)
+    carried = _packed(df)
     narrow = df.select(
         customer.alias("_customer"), salt.cast("int").alias("_salt"),
         F.coalesce("transaction_id", F.lit("")).alias("transaction_id"),
@@ -151,14 +314,14 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2):
         F.coalesce(F.unix_micros("timestamp"), F.lit(0)).alias("micros"),
         F.col("amount").cast("double").alias("amount"),
         F.col("location.latitude").alias("lat"), F.col("location.longitude").alias("lon"),
-        F.to_json(F.struct(*df.columns), {"timestampFormat": STAMP}).alias("payload"),
+        "merchant_id", _bits(detectors, quality).alias("bits"), *carried,
     )
+    names = [c for c in narrow.columns if c == "packed_texts" or c.startswith("packed_map")]
     looked_back = narrow.groupBy("_customer", "_salt").transformWithStateInPandas(
-        CustomerHistory(cfg, late_hours), output_schema(cfg), "Append", "None")
-    row_type = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+        CustomerHistory(cfg, late_hours, detectors, names), output_schema(cfg, names), "Append",
+        "None")
     rows = looked_back.select(
-        F.from_json("payload", row_type, {"timestampFormat": STAMP}).alias("r"), "*"
-    ).select("r.*", *looked_back.columns).drop("payload")
+        *_unpacked(df.schema), *[c for c in looked_back.columns if c not in names])
     rows = features.add_row_features(
         rows.withColumn("_prev_ts", F.timestamp_micros("_prev_us")).drop("_prev_us"))
     finished = features._finish(rows, cfg)

@@ -1,12 +1,16 @@
 import json
+import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerwatch.operators import detect
 from ledgerwatch.plans import medallion, standins
 from ledgerwatch.session import fresh_dir
 from ledgerwatch.sources import messages
-from ledgerwatch.streaming import job
+from ledgerwatch.sources.commits import Commits
+from ledgerwatch.streaming import ids, job
 
 SF = "/root/testdata/sf0.001"
 WINDOWED = ["velocity_1h", "velocity_6h", "velocity_24h", "amount_zscore",
@@ -68,7 +72,8 @@ def test_a_replayed_batch_overwrites_itself(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     enriched = medallion.enriched(
         standins.events_as_transactions(events), j.cfg, j.as_of
-    ).withColumn("features_complete", F.lit(True))
+    ).withColumns({
+        "features_complete": F.lit(True), "stream_patterns": F.array().cast("array<string>")})
     write = job.write_batch(j)
     write(enriched, 0)
     write(enriched, 1)  # a redelivery: nothing new for silver
@@ -155,7 +160,8 @@ def test_alerts_go_to_a_topic_too(spark, monkeypatch):
     events = spark.read.parquet(f"{SF}/events.parquet")
     enriched = medallion.enriched(
         standins.events_as_transactions(events), j.cfg, j.as_of
-    ).withColumn("features_complete", F.lit(True))
+    ).withColumns({
+        "features_complete": F.lit(True), "stream_patterns": F.array().cast("array<string>")})
     job.write_batch(j)(enriched, 0)
     (rows, servers, topic), = sent
     stored = job.read_table(spark, j, "alerts")
@@ -212,3 +218,202 @@ def test_unknown_customers_take_no_state(spark, value):
     else:
         assert silver == []  # a missing customer fails the quality filter
     assert job.read_table(spark, j, "bronze").count() == 1
+
+
+def test_patterns_over_batches_equal_the_batch_run(spark):
+    """Three batches in time order, thresholds under which every pattern fires."""
+    from ledgerwatch.plans import catalog
+
+    j, path = new_job(spark)
+    j = replace(j, cfg=replace(j.cfg, detectors=catalog.EVENT_DETECTORS))
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("user_id", F.col("user_id") % 9)
+    for number in range(3):
+        part = F.least(F.floor((F.dayofmonth("ts") - 1) / 11), F.lit(2))
+        events.filter(part == number).coalesce(1).write.mode("append").parquet(path)
+        run(spark, path, j)
+    silver = medallion.silver(standins.events_as_transactions(events), as_of=standins.AS_OF)
+    columns = ["alert_id", "transaction_id", "alert_type", "severity", "risk_score", "rules_triggered"]
+    want = medallion.silver_alerts(silver, j.cfg, standins.AS_OF).select(columns).collect()
+    got = job.read_table(spark, j, "alerts").select(columns).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    fired = {p for r in want for p in r["rules_triggered"]}
+    assert set(detect.PATTERNS) <= fired
+
+
+def test_a_busy_customer_in_nodes_and_blocks(spark, monkeypatch):
+    """Inline parts of eight entries: everything else comes from nodes and blocks."""
+    from ledgerwatch.streaming import state, timeline
+
+    store = {}
+
+    class Map(dict):
+        def put(self, k, v):
+            self[k] = v
+
+        def remove(self, k):
+            self.pop(k, None)
+
+    rng = random.Random(4)
+    line, rows, nodes = timeline.Timeline(2, Map()), [], Map()
+    parts = ([], [], [], [])
+    now = 10 ** 9
+    for _ in range(60):
+        line = timeline.Timeline(2, nodes, *parts, inline=8)
+        secs = [now + rng.randrange(-7000, 9000) for _ in range(rng.randrange(1, 30))]
+        values = [[1, rng.randrange(-50, 50)] for _ in secs]
+        rows += list(zip(secs, values))
+        now += rng.choice([10, 5000, 200_000])
+        line.add(secs, values)
+        for span in (0, 60, 3600, 86400, 30 * 86400):
+            got = line.trailing(secs, span).tolist()
+            want = [[sum(v[k] for s, v in rows if t - span <= s <= t) for k in (0, 1)] for t in secs]
+            assert got == want
+        line.settle(now - 31 * 86400 - 7200)
+        parts = (line.secs.tolist(), line.sums.ravel().tolist(), line.days.tolist(),
+                 line.day_sums.ravel().tolist())
+        assert len(parts[0]) <= 8 and len(parts[2]) <= 33
+    assert {k for k in nodes if k[0] == timeline.DAY} == {(timeline.DAY, d) for d in parts[2]}
+
+    held, blocks, at = [], Map(), ([], [])
+    for _ in range(60):
+        recent = timeline.Recent(blocks, *at, inline=8)
+        fresh = [((now + rng.randrange(3000)) * 1_000_000, f"i{rng.random()}", "m", 5, True) for _ in range(9)]
+        recent.add(fresh)
+        held += fresh
+        now += rng.choice([10, 700])
+        got = recent.between(now - 3600, now)
+        assert got == sorted(r for r in held if now - 3600 <= r[0] // 10 ** 6 <= now)
+        recent.settle(now - 4000)
+        at = (recent.rows, sorted(recent.blocks))
+        assert len(recent.rows) <= 8
+    assert not store and len(blocks) < 12 and state.MEASURES == 7
+
+
+def test_what_a_batch_writes_follows_its_rows():
+    """A new row of a customer with a long history writes a few nodes, not the history."""
+    from ledgerwatch.streaming import timeline
+
+    class Counting(dict):
+        written = 0
+
+        def put(self, k, v):
+            self[k] = v
+            self.written += len(v[0]) * 8
+
+        def remove(self, k):
+            self.pop(k, None)
+
+    store, parts, sizes = Counting(), ([], [], [], []), []
+    for batch in range(300):  # 200 rows an hour for 12 days
+        line = timeline.Timeline(1, store, *parts)
+        line.add(range(batch * 3600, batch * 3600 + 3600, 18), [[1]] * 200)
+        before = store.written
+        line.settle(0)
+        sizes.append(store.written - before)
+        parts = (line.secs, line.sums, line.days, line.day_sums)
+    assert max(sizes[200:]) <= 2 * max(sizes[:20])
+
+
+def test_a_fresh_checkpoint_adds_to_old_tables(spark):
+    """Ids are unique across dates, batches and checkpoints; nothing is overwritten."""
+    j, path = new_job(spark)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    add(events, path, 0, 500)
+    run(spark, path, j)
+    later = replace(j, checkpoint=f"{j.checkpoint}-2")
+    # The first rows once more, 20 days later, and new ones.
+    moved = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 20 DAYS"))
+    second = f"{path}-2"
+    add(moved, second, 0, 100)
+    add(events, second, 500, 1000)
+    before = by_id(job.read_table(spark, j, "silver"), WINDOWED)
+    run(spark, second, later)
+    silver = job.read_table(spark, j, "silver")
+    assert silver.count() == 964 == silver.select("transaction_id").distinct().count()
+    after = by_id(silver, WINDOWED)
+    assert before.items() <= after.items() and len(before) < len(after)
+    assert job.read_table(spark, j, "bronze").count() == 1100
+    assert job.read_table(spark, j, "quality").count() == 2
+
+
+def test_a_batch_that_dies_before_its_commit_shows_nowhere(spark, monkeypatch):
+    from ledgerwatch.operators import monitor
+
+    j, _ = new_job(spark)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    enriched = medallion.enriched(standins.events_as_transactions(events), j.cfg, j.as_of).withColumns(
+        {"features_complete": F.lit(True), "stream_patterns": F.array().cast("array<string>")})
+    write = job.write_batch(j)
+    write(enriched.filter("kafka_offset < 100"), 0)
+
+    def broken(*_, **__):
+        raise RuntimeError("killed")
+
+    shown = {t: job.read_table(spark, j, t).count() for t in job.TABLES}
+    with monkeypatch.context() as m:
+        m.setattr(monitor, "batch_summary", broken)
+        with pytest.raises(RuntimeError):
+            write(enriched, 1)
+    assert {t: job.read_table(spark, j, t).count() for t in job.TABLES} == shown
+    write(enriched, 1)
+    assert job.read_table(spark, j, "silver").count() == 964
+
+
+def test_compaction_bounds_files_and_keeps_rows(spark):
+    j, _ = new_job(spark)
+    j = replace(j, compact_every=2, most_folders=1)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    enriched = medallion.enriched(standins.events_as_transactions(events), j.cfg, j.as_of).withColumns(
+        {"features_complete": F.lit(True), "stream_patterns": F.array("merchant_id")}).persist()
+    write = job.write_batch(j)
+    for b, own in enumerate(["kafka_offset < 400", "kafka_offset > 300", "kafka_offset BETWEEN 300 AND 420"]):
+        write(enriched.filter(own), b)
+    commits = Commits(spark, j.root)
+    folders = commits.state().folders
+    assert all(len(f) <= 1 + 2 for f in folders.values()) and "ids_packed" in folders
+    silver = job.read_table(spark, j, "silver")
+    assert silver.count() == 964 == silver.select("transaction_id").distinct().count()
+    job.maintain(spark, replace(j, most_folders=1), keep_versions=0)
+    assert job.read_table(spark, j, "silver").count() == 964
+    live = {f for t, fs in commits.state().folders.items() for f in (f"{t}/{x}" for x in fs)}
+    there = {f"{t}/{run_}/{b}" for t in commits.state().folders for run_, _ in commits.files.names(t)
+             for b, _ in commits.files.names(t, run_)}
+    assert there == live
+
+
+def test_untouched_buckets_of_ids_are_not_read(spark):
+    j, _ = new_job(spark)
+    commits = Commits(spark, j.root)
+
+    def put(batch):
+        def write(df, table):
+            df.write.parquet(f"{j.root}/{table}/run=r/batch_id={batch}")
+            commits.commit({"add": {table: [f"run=r/batch_id={batch}"]}})
+        return write
+
+    for b in range(3):
+        ids.write(put(b), spark.range(b * 500, b * 500 + 500).selectExpr("concat('t', id) AS transaction_id"))
+    assert ids.compact(commits, most_folders=1)
+    state = commits.state()
+    new = spark.range(5000, 5400).selectExpr("concat('t', id) AS transaction_id")
+    assert ids.repeated(commits, state, new).count() == 0
+    some = spark.createDataFrame([("t7",), ("t1499",), ("u1",), (None,)], "transaction_id string")
+    found = ids.repeated(commits, state, some)
+    assert {r[0] for r in found.collect()} == {"t7", "t1499"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    want = sorted(r.bucket for r in ids.with_bucket(some.filter("transaction_id LIKE 't%'")).collect())
+    filters = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+    assert any(all(str(b) in f for b in want) and "bucket" in f for f in filters)
+
+
+def test_the_log_folds_and_refuses_taken_numbers(spark):
+    j, _ = new_job(spark)
+    commits = Commits(spark, j.root, fold_every=4)
+    for i in range(11):
+        commits.commit({"run": "a", "batch": i, "add": {"t": [f"f{i}"]}})
+    commits.commit({"remove": {"t": ["f0", "f1"]}, "add": {"t": ["g"]}})
+    state = commits.state()
+    assert state.folders["t"] == [*[f"f{i}" for i in range(2, 11)], "g"] and state.batches == {"a": 10}
+    assert len(commits.files.names(commits.LOG)) <= 6
+    assert commits.files.create("x", commits.LOG, f"{state.version:012d}.json") is False
+    assert commits.commit(lambda s: None).version == state.version
