@@ -6,22 +6,26 @@ share is above its cap.  The level is found by a few combined aggregates over th
 sources; the documents are not read for it again.
 
 A source whose target is r times its size gives every document floor(r) whole times, and one more
-time to a seeded fraction: documents in the order of the md5 of id and seed, up to the one at which
-the running size is nearest to what is still missing.  Only the 1/4096 of the source in whose md5
-bucket that point lies is ordered; all others are decided by their bucket.  So a source with a
-third of all rows never meets in one task, and its taken words miss the target by at most half a
-document.
-
-Null texts have no words, and a null source is a source of its own.  Null ids share one place in
-the order; repeated rows of one id are decided together.  Sources without words get target 0.  An
-empty table gives no rows.  Columns beside id, text and source are ignored.
+time to a seeded fraction: documents in the order of their place, up to the one at which the running
+size is nearest to what is still missing.  A place is the md5 of id and seed, then a hash of the text.
+Nothing is sorted: the sizes are summed by a few digits of the place, the bucket in which that point
+lies is summed by more digits, and so on, until one place is left.  Rows of that place (equal id and
+text) are counted, and as many of them are taken as fit.  So a source, or an id, with any share of the
+rows never meets in one task, and a source's taken words miss the target by at most half a document.
+
+Null texts have no words, and a null source is a source of its own.  Very long texts count whole.
+Rows of null or repeated ids are told apart by their texts; of equal rows any may be the ones taken.
+Sources without words get target 0.  An empty table gives no rows.  Columns beside id, text and
+source are ignored.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.ranking import numbered, ranked
 from ledgerwatch.llm.staging import stage
 
 
@@ -31,7 +35,7 @@ class MixConfig:
     share: float = 1.5
     max_epochs: int = 2
     seed: int = 20240101
-    bucket_digits: int = 3  # 16 ** 3 buckets of the order
+    digits: int = 3  # of a place, looked at together: 16 ** 3 sums a source and step
 
 
 def word_count(text):
@@ -43,19 +47,24 @@ def _key(source):
     return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
 
 
-def _place(id_col, seed):
-    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}"))
-                 .cast("binary"))
+PLACE_DIGITS = 32 + 16 + 12
 
 
-def cyclic_weights(sources, weights):
-    """Weights dealt in turn to the sources in code-point order, null last.
+def _place(id_col, text_col, seed):
+    """Where a row stands in the order: digits of the md5 of its id, then of its text."""
+    name = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.concat(F.md5(name.cast("binary")), F.lpad(F.lower(F.hex(F.xxhash64(text))), 16, "0"),
+                    F.lpad(F.lower(F.hex(F.octet_length(text))), 12, "0"))
 
-    The one window runs over a row per source, not per document.
-    """
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
-    return sources.withColumn(
-        "weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn + 1))
+
+def cyclic_weights(sources, weights):
+    """Weights dealt in turn to the sources in code-point order, null last."""
+    sources = stage(sources.withColumn("nameless", F.col("source").isNull()), "mix-named")
+    turn = ((F.col("rank") - 1) % len(weights) + 1).cast("int")
+    return ranked(sources, ["nameless", "source"], sources.count()).select(
+        *[c for c in sources.columns if c != "nameless"],
+        F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn).alias("weight"))
 
 
 def water_fill(sources, total, max_epochs):
@@ -85,7 +94,7 @@ def plan(docs, config=MixConfig(), weights=None, id_col="doc_id", text_col="text
     """
     sizes = stage(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), _key(source_col).alias("skey"),
-        word_count(F.col(text_col)).alias("size"), _place(id_col, config.seed).alias("place"),
+        word_count(F.col(text_col)).alias("size"), _place(id_col, text_col, config.seed).alias("place"),
     ), "mix-sizes")
     sources = sizes.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
     if weights is None:
@@ -100,52 +109,84 @@ def plan(docs, config=MixConfig(), weights=None, id_col="doc_id", text_col="text
     filled = filled.withColumn("whole", F.coalesce(whole, F.lit(0))).withColumn(
         "quota", F.col("target") - F.col("whole") * F.col("source_size"))
 
-    bucket = F.substring("place", 1, config.bucket_digits).alias("bucket")
-    ordered = Window.partitionBy("skey").orderBy("bucket")
-    buckets = sizes.groupBy("skey", bucket).agg(F.sum("size").alias("n")).withColumn(
-        "before", F.sum("n").over(ordered) - F.col("n"))
-    # The bucket in which the running size passes the quota; all documents before it are taken.
-    edge = buckets.join(filled, "skey").filter("before + n > quota").groupBy("skey").agg(
-        F.min(F.struct("bucket", "before")).alias("edge"))
-    edge = edge.select("skey", "edge.bucket", "edge.before")
-    inside = Window.partitionBy("skey").orderBy("place", "id", "size").rowsBetween(
-        Window.unboundedPreceding, 0)
-    upto = F.col("before") + F.sum("size").over(inside)
-    cut = (sizes.withColumn("bucket", bucket).join(edge, ["skey", "bucket"])
-           .join(filled.select("skey", "quota"), "skey")
-           .withColumn("upto", upto).filter("2 * upto - size <= 2 * quota")
-           .groupBy("skey").agg(F.max("place").alias("cut")))
-    # Without an edge every document is within the quota.
-    return sizes, stage(filled.join(edge.select("skey", "bucket"), "skey", "left")
-                        .join(cut, "skey", "left").select(
-        "skey", "source_size", "target", "whole",
-        F.coalesce("cut", "bucket", F.lit("g")).alias("cut")), "mix-cuts")
-
-
-def _copies():
-    """Whole repetitions and one more for the places up to the cut."""
-    return (F.col("whole") + F.when(F.col("place") <= F.col("cut"), 1).otherwise(0)).cast("long")
+    return sizes, stage(_cuts(sizes, stage(filled, "mix-filled"), config), "mix-cuts")
+
+
+def _cuts(sizes, filled, config):
+    """``filled`` with the end of the quota: all places up to ``cut``, and ``some`` rows of ``edge``.
+
+    ``cut`` and ``edge`` may be null: then no place, or every place, is within the quota.
+    """
+    # What is not decided: rows of the bucket that passes the quota, and the size before it.
+    left = sizes.filter("size > 0").join(filled.select("skey", "quota"), "skey").withColumn(
+        "before", F.lit(0).cast("long"))
+    found, digits = [], 0
+    while True:
+        digits = min(digits + config.digits, PLACE_DIGITS)
+        order = Window.partitionBy("skey").orderBy("bucket")
+        buckets = left.groupBy("skey", F.substring("place", 1, digits).alias("bucket")).agg(
+            F.sum("size").alias("n"), F.count("*").alias("rows"), F.max("size").alias("size"),
+            F.min("place").alias("low"), F.max("place").alias("high"),
+            F.first("before").alias("before"), F.first("quota").alias("quota"))
+        buckets = buckets.withColumn("before", F.col("before") + F.sum("n").over(order) - F.col("n"))
+        edge = stage(buckets.filter("before + n > quota").groupBy("skey").agg(
+            F.min(F.struct("bucket", "before", "rows", "size", "low", "high", "quota")).alias("e"))
+            .select("skey", "e.*"), "mix-edge")
+        found.append(edge.filter("low = high"))
+        open_ = edge.filter("low < high").select("skey", "bucket", "before", "quota")
+        if open_.isEmpty():
+            break
+        left = stage(left.drop("before", "quota").join(open_, "skey").filter(
+            F.col("place").startswith(F.col("bucket"))).drop("bucket"), "mix-left")
+    # Of ``rows`` equal rows at the edge, the j-th is taken if the middle of it is within the quota.
+    fit = F.floor((2 * (F.col("quota") - F.col("before")) + F.col("size")) / (2 * F.col("size")))
+    edges = reduce(DataFrame.unionAll, found).select(
+        "skey", F.col("low").alias("edge"), F.least(F.greatest(fit, F.lit(0)), "rows").alias("some"), "rows")
+    return filled.join(edges, "skey", "left").select(
+        "skey", "source_size", "target", "whole", "edge", "some",
+        (F.col("some").isNotNull() & (F.col("some") > 0) & (F.col("some") < F.col("rows"))).alias("split"))
+
+
+def _with_copies(rows, sources):
+    """``rows`` (place, whole, edge, some, split) with ``copies``: whole ones, and one more within the quota."""
+    place, edge = F.col("_mix_place"), F.col("_mix_edge")
+
+    def copies(more):
+        return (F.col("_mix_whole") + F.when(more, 1).otherwise(0)).cast("long")
+
+    within = edge.isNull() | (place < edge) | ((place == edge) & (F.col("_mix_some") > 0))
+    if sources.filter("split").isEmpty():
+        return rows.withColumn("_mix_copies", copies(within))
+    cut = F.coalesce(F.col("_mix_split") & (place == edge), F.lit(False))
+    some = numbered(rows.filter(cut), "_mix_skey")
+    return rows.filter(~cut).withColumn("_mix_copies", copies(within)).unionByName(some.withColumn(
+        "_mix_copies", copies(F.col("number") <= F.col("_mix_some"))).drop("number"))
+
+
+def _renamed(sources):
+    return sources.select(*[F.col(c).alias(f"_mix_{c}") for c in sources.columns])
 
 
 def allocate(docs, config=MixConfig(), weights=None, id_col="doc_id", text_col="text",
              source_col="source"):
     """(id, size, source_size, target, taken, copies) of every row."""
     sizes, sources = plan(docs, config, weights, id_col, text_col, source_col)
-    return sizes.join(sources, "skey").select(
-        F.col("id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * _copies()).alias("taken"), _copies().alias("copies"))
+    rows = sizes.join(_renamed(sources), F.col("skey") == F.col("_mix_skey")).withColumnRenamed(
+        "place", "_mix_place")
+    return _with_copies(rows, sources).select(
+        F.col("id").alias(id_col), "size", F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"), (F.col("size") * F.col("_mix_copies")).alias("taken"),
+        F.col("_mix_copies").alias("copies"))
 
 
 def mix(docs, config=MixConfig(), weights=None, id_col="doc_id", text_col="text",
         source_col="source"):
     """The rows of ``docs``, each as often as the mix takes it, with their own columns."""
     _, sources = plan(docs, config, weights, id_col, text_col, source_col)
-    cuts = sources.select("skey", "whole", "cut").withColumnsRenamed(
-        {"skey": "_mix_skey", "whole": "_mix_whole", "cut": "_mix_cut"})
-    copies = (F.col("_mix_whole") + F.when(_place(id_col, config.seed) <= F.col("_mix_cut"), 1)
-              .otherwise(0)).cast("int")
-    repeated = docs.join(cuts, _key(source_col) == F.col("_mix_skey")).withColumn(
-        "_mix_copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1))))).filter(copies > 0)
+    rows = docs.withColumn("_mix_place", _place(id_col, text_col, config.seed)).join(
+        _renamed(sources), _key(source_col) == F.col("_mix_skey"))
+    repeated = _with_copies(rows, sources).filter("_mix_copies > 0").withColumn(
+        "_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
     return repeated.select(*[repeated[f"`{c}`"] for c in docs.columns])
 
 

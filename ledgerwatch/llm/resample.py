@@ -30,11 +30,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import words
 from ledgerwatch.llm.batches import map_texts
+from ledgerwatch.llm.ranking import ranked
 from ledgerwatch.llm.staging import stage
 
 #: A word in UTF-8, after A-Z are lower-cased: digits, a-z and everything that is not ASCII.
@@ -160,22 +160,6 @@ def kth_key(keys, k, config):
         keys, k, left = stage(keys, "interval"), k - passed, upto - passed
 
 
-def ranked(rows, count, config):
-    """``rows`` with their rank by the composite key."""
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                math.ceil(count / config.range_rows))
-    ranges = stage(rows.repartitionByRange(parts, *KEYS).withColumn("range", F.spark_partition_id()),
-                   "ranges")
-    before, starts = 0, []
-    for r in ranges.groupBy("range").count().orderBy("range").collect():  # one row per range
-        starts.append((r["range"], before))
-        before += r["count"]
-    starts = rows.sparkSession.createDataFrame(starts, "range int, before long")
-    order = Window.partitionBy("range").orderBy(*KEYS)
-    return ranges.join(F.broadcast(starts), "range").withColumn(
-        "rank", F.row_number().over(order) + F.col("before"))
-
-
 def resample(docs, target, config=ResampleConfig(), id_col="doc_id", text_col="text",
              target_text_col="text"):
     """(id, n_features, weight, score, rank) of every row; rank is null for those not drawn."""
@@ -194,7 +178,8 @@ def resample(docs, target, config=ResampleConfig(), id_col="doc_id", text_col="t
         return out(rows, F.lit(None))
     last = kth_key(rows.filter(able).select(*KEYS), k, config)
     won = able & (F.struct(*KEYS) <= last)
-    return out(rows.filter(~won), F.lit(None)).unionAll(out(ranked(rows.filter(won), k, config), F.col("rank")))
+    return out(rows.filter(~won), F.lit(None)).unionAll(
+        out(ranked(rows.filter(won), KEYS, k, config.range_rows), F.col("rank")))
 
 
 #: The same in DuckDB's SQL for one-word features: CRC-32 over bytes with a table made from its rule.

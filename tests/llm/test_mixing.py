@@ -67,3 +67,32 @@ def test_given_weights_and_infeasible_total(docs, spark):
 def test_empty_tables(docs):
     assert m.allocate(docs([])).count() == 0 and m.mix(docs([])).count() == 0
     assert m.allocate(docs([(1, None, "a")])).first().taken == 0
+
+
+@pytest.mark.parametrize("share, name", [
+    (0.6, lambda i: None if i % 2 else i), (0.9, lambda i: None if i % 2 else i), (0.3, lambda i: i // 50)])
+def test_null_and_repeated_ids_meet_the_target(docs, share, name):
+    rows = [(name(i), f"{'w ' * (1 + i * 7 % 13)}x{i if i % 3 else 0}", "abc"[i % 3]) for i in range(600)]
+    got = m.allocate(docs(rows), m.MixConfig(share=share)).collect()
+    taken, want = {}, {}
+    for r in got:  # one source each has its own size and target
+        taken[r.source_size, r.target] = taken.get((r.source_size, r.target), 0) + r.taken
+        want[r.source_size, r.target] = r.target
+    assert len(want) == 3 and all(abs(taken[s] - want[s]) <= 14 / 2 for s in want)
+    mixed = m.mix(docs(rows), m.MixConfig(share=share))
+    assert mixed.count() == sum(r.copies for r in got)
+
+
+def test_equal_rows_are_split_by_number(docs):
+    rows = [(None, "a b c", "s")] * 1000 + [(5, "d e", "s")] * 500 + [(6, "", "s")] * 3
+    for share in (0.25, 1.25):
+        got = m.allocate(docs(rows), m.MixConfig(share=share)).collect()
+        assert abs(sum(r.taken for r in got) - share * 4000) <= 1.5
+        assert m.mix(docs(rows), m.MixConfig(share=share)).count() == sum(r.copies for r in got)
+
+
+def test_sources_are_dealt_in_code_point_order(docs):
+    rows = [(i, "w", s) for i, s in enumerate(["é", None, "Z", "a", "", "b"])]
+    got = {r.source: r.weight for r in m.cyclic_weights(
+        docs(rows).select("source").distinct(), (3, 1, 2)).collect()}
+    assert got == {"": 3, "Z": 1, "a": 2, "b": 3, "é": 1, None: 2}
