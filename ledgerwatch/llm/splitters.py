@@ -22,6 +22,7 @@ from math import ceil, isqrt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.ranking import numbered
 from ledgerwatch.llm.staging import stage
 
 LOWEST = -(2 ** 63)
@@ -138,7 +139,29 @@ def assign(docs, config=ShardConfig(), id_col="doc_id", text_col="text"):
         (F.col("row") - F.col("first")).cast("long").alias("slot"))
 
 
+PLACED = ["size", "text_crc32", "shard", "slot"]
+
+
+def with_shards(docs, config=ShardConfig(), id_col="doc_id", text_col="text"):
+    """The rows of ``docs`` with all their columns, and ``size``, ``text_crc32``, ``shard`` and ``slot``.
+
+    Rows meet their places by a hash of id and text and their number among the rows that share it, so
+    repeated rows each get one place, and a group of any size is joined number by number.  Columns of
+    ``docs`` with one of the four names give way.
+    """
+    name = F.xxhash64(F.col(id_col), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    places = assign(docs, config, id_col, text_col).select(
+        F.xxhash64(F.col(id_col), "text_crc32").alias("_of"), *PLACED)
+    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in PLACED], name.alias("_of"))
+    rows, places = (numbered(side, "_of").withColumnRenamed("number", "_number") for side in (own, places))
+    return rows.join(places, ["_of", "_number"]).drop("_of", "_number")
+
+
 def write_shards(docs, path, config=ShardConfig(), id_col="doc_id", text_col="text"):
-    """Write ``docs`` partitioned by their shard below ``path``; ids must be unique."""
-    where = assign(docs, config, id_col, text_col).select(id_col, "shard")
-    docs.join(where, id_col).write.partitionBy("shard").parquet(path)
+    """Write ``with_shards`` as a folder for each shard below ``path``, in order of the slots.
+
+    Large shards are written by several tasks.  Returns the written table.
+    """
+    rows = with_shards(docs, config, id_col, text_col)
+    rows.hint("rebalance", "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)

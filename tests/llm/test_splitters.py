@@ -66,3 +66,14 @@ def test_written_shards(docs, real, spark, tmp_path):
 def test_native_plan(docs, real):
     plan = s.assign(docs(real))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_shards_hold_the_texts_of_repeated_rows(docs, spark, tmp_path):
+    rows = [(1, "a b"), (1, "a b"), (1, "other"), (None, "x"), (None, "x"), (None, None), (2, ""), (2, None)] * 5
+    out = s.write_shards(docs(rows, extra=True), str(tmp_path / "out"))
+    got = out.collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows, key=str)
+    slots = sorted((r.shard, r.slot) for r in got)
+    firsts = {shard: [b for a, b in slots if a == shard] for shard, _ in slots}
+    assert all(v == list(range(len(v))) for v in firsts.values())
+    assert s.write_shards(docs([]), str(tmp_path / "none")).collect() == []
