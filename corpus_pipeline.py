@@ -6,6 +6,7 @@ shared folder and read back, so a stage never recomputes its predecessors.
 
 from ledgerwatch.llm import decontam, mixing, probminhash, quality, splitters
 from ledgerwatch.llm.staging import stage, table
+from ledgerwatch.session import fresh_dir
 
 
 def quality_filter(spark, docs, sf_dir):
@@ -29,8 +30,8 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def shard(spark, docs, sf_dir):
-    """Every remaining row gets its shard and its place in it."""
-    return splitters.assign(docs)
+    """Every remaining row is written, with its columns, to the folder of its shard."""
+    return splitters.write_shards(docs, fresh_dir(spark, "shards"))
 
 
 STAGES = [
