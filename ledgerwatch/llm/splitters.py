@@ -22,7 +22,6 @@ from math import ceil, isqrt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.ranking import numbered
 from ledgerwatch.llm.staging import stage
 
 LOWEST = -(2 ** 63)
@@ -76,21 +75,24 @@ def _quantiles(sample, by, step, of=()):
             .select(*by))
 
 
-def assign(docs, config=ShardConfig(), id_col="doc_id", text_col="text"):
-    """(id, size, text_crc32, shard, slot) of every record; slots of a shard count up from 0."""
+def assign(docs, config=ShardConfig(), id_col="doc_id", text_col="text", carry=()):
+    """(id, size, text_crc32, shard, slot) of every record; slots of a shard count up from 0.
+
+    ``carry`` names narrow columns of ``docs`` that come along.
+    """
     body = F.coalesce(F.col(text_col), F.lit(""))
     number = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
     tie = F.col(id_col).cast("long") if number else F.xxhash64(id_col)
     rows = stage(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("key"),
-        F.when(F.col(id_col).isNull(), F.lit(LOWEST)).otherwise(tie).alias("tie"),
+        F.when(F.col(id_col).isNull(), F.lit(LOWEST)).otherwise(tie).alias("tie"), *carry,
     ), "shard-rows")
     count, total = rows.agg(F.count("*"), F.sum("size")).first()
     n = config.shards
     if not count:
         return rows.select(F.col("id").alias(id_col), "size", F.col("key").alias("text_crc32"),
-                           F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+                           F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), *carry)
     ranges = max(n * config.ranges_per_shard, ceil(count / config.range_rows))
     step = total / ranges
     first = _quantiles(_sample(rows, ranges * config.samples, total, config.seed), ["key"], step)
@@ -132,36 +134,36 @@ def assign(docs, config=ShardConfig(), id_col="doc_id", text_col="text"):
     held = F.col("group_size") <= config.hold * total / n
     at = F.col("bytes_before") + F.when(held, F.col("group_start")).otherwise(F.col("start"))
     shard = F.least(F.floor(at.cast("decimal(38,0)") * n / F.lit(total)).cast("int"), F.lit(n - 1))
-    placed = stage(placed.select("id", "size", "key", shard.alias("shard"), "row"), "shard-placed")
+    placed = stage(placed.select("id", "size", "key", shard.alias("shard"), "row", *carry), "shard-placed")
     firsts = placed.groupBy("shard").agg(F.min("row").alias("first"))  # one row per shard
     return placed.join(F.broadcast(firsts), "shard").select(
         F.col("id").alias(id_col), "size", F.col("key").alias("text_crc32"), "shard",
-        (F.col("row") - F.col("first")).cast("long").alias("slot"))
+        (F.col("row") - F.col("first")).cast("long").alias("slot"), *carry)
 
 
 PLACED = ["size", "text_crc32", "shard", "slot"]
 
 
-def with_shards(docs, config=ShardConfig(), id_col="doc_id", text_col="text"):
+def with_shards(docs, config=ShardConfig(), id_col="doc_id", text_col="text", stored=False):
     """The rows of ``docs`` with all their columns, and ``size``, ``text_crc32``, ``shard`` and ``slot``.
 
-    Rows meet their places by a hash of id and text and their number among the rows that share it, so
-    repeated rows each get one place, and a group of any size is joined number by number.  Columns of
-    ``docs`` with one of the four names give way.
+    Rows meet their places by their file and their number in it, so repeated rows each get one place.
+    ``stored`` says that ``docs`` is a table as it was read from Parquet files; else it is stored first.
+    Columns of ``docs`` with one of the four names give way.
     """
-    name = F.xxhash64(F.col(id_col), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    places = assign(docs, config, id_col, text_col).select(
-        F.xxhash64(F.col(id_col), "text_crc32").alias("_of"), *PLACED)
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in PLACED], name.alias("_of"))
-    rows, places = (numbered(side, "_of").withColumnRenamed("number", "_number") for side in (own, places))
-    return rows.join(places, ["_of", "_number"]).drop("_of", "_number")
+    table = docs if stored else stage(docs, "shard-docs")
+    own = table.select(*[F.col(f"`{c}`") for c in docs.columns if c not in PLACED],
+                       F.xxhash64("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+    places = assign(own, config, id_col, text_col, ["_file", "_row"])
+    return own.join(places.select("_file", "_row", *PLACED), ["_file", "_row"]).drop("_file", "_row")
 
 
-def write_shards(docs, path, config=ShardConfig(), id_col="doc_id", text_col="text"):
+def write_shards(docs, path, config=ShardConfig(), id_col="doc_id", text_col="text", stored=False):
     """Write ``with_shards`` as a folder for each shard below ``path``, in order of the slots.
 
     Large shards are written by several tasks.  Returns the written table.
     """
-    rows = with_shards(docs, config, id_col, text_col)
+    rows = with_shards(docs, config, id_col, text_col, stored)
     rows.hint("rebalance", "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
