@@ -31,7 +31,7 @@ def mix_sources(spark, docs, sf_dir):
 
 def shard(spark, docs, sf_dir):
     """Every remaining row is written, with its columns, to the folder of its shard."""
-    return splitters.write_shards(docs, fresh_dir(spark, "shards"))
+    return splitters.write_shards(docs, fresh_dir(spark, "shards"), stored=True)
 
 
 STAGES = [
