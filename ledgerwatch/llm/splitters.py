@@ -164,6 +164,10 @@ def write_shards(docs, path, config=ShardConfig(), id_col="doc_id", text_col="te
 
     Large shards are written by several tasks.  Returns the written table.
     """
-    rows = with_shards(docs, config, id_col, text_col, stored)
+    return write_placed(with_shards(docs, config, id_col, text_col, stored), path)
+
+
+def write_placed(rows, path):
+    """Write rows that have their ``shard`` and ``slot`` as ``write_shards`` does."""
     rows.hint("rebalance", "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
