@@ -30,8 +30,8 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def shard(spark, docs, sf_dir):
-    """Every remaining row is written, with its columns, to the folder of its shard."""
-    return splitters.write_shards(docs, fresh_dir(spark, "shards"), stored=True)
+    """Every remaining row, with its columns, gets its shard and its place in it."""
+    return splitters.with_shards(docs, stored=True)
 
 
 STAGES = [
@@ -47,7 +47,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """All stages; the last one's rows are written as a folder for each shard."""
     docs = table(spark, sf_dir, "documents")
-    for name, apply in STAGES:
+    for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return splitters.write_placed(STAGES[-1][1](spark, docs, sf_dir), fresh_dir(spark, "pipeline-shards"))
