@@ -103,6 +103,30 @@ def parse_messages(spark, d):
     )
 
 
+@query(o.with_ctes(o.BASE_EVENTS, select="""
+SELECT e AS kafka_offset, transaction_id, epoch_us(ts) AS timestamp_us, customer_id, amount, currency,
+  card_type, merchant_name, country, latitude, longitude, channel, status, is_international, m_risk, m_email,
+  epoch_us(date_trunc('milliseconds', created_at)) AS created_us
+FROM txn WHERE e % 151 <> 0"""))
+def avro_messages(spark, d):
+    good, _ = messages.split_malformed(
+        messages.decode_avro(standins.avro_log(spark, d), standins.avro_contract()))
+    return messages.flatten(good).select(
+        "kafka_offset", "transaction_id", us("timestamp", "timestamp_us"), "customer_id", "amount", "currency",
+        "card_type", "merchant_name", "location.country", "location.latitude", "location.longitude", "channel",
+        "status", "is_international", F.col("metadata.merchant_risk_score").alias("m_risk"),
+        F.col("metadata.contact_email").alias("m_email"), us("created_at", "created_us"),
+    )
+
+
+@query("""SELECT event_id AS kafka_offset, CAST(event_id % 6 AS INTEGER) AS kafka_partition
+FROM events WHERE event_id % 151 = 0""")
+def avro_quarantine(spark, d):
+    _, bad = messages.split_malformed(
+        messages.decode_avro(standins.avro_log(spark, d), standins.avro_contract()))
+    return bad.filter(F.col("raw").isNotNull()).select("kafka_offset", "kafka_partition")
+
+
 @query("""SELECT 'broken ' || event_id AS raw, 'transactions' AS kafka_topic,
   CAST(event_id % 6 AS INTEGER) AS kafka_partition, event_id AS kafka_offset
 FROM events WHERE event_id % 151 = 0""")

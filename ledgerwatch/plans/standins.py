@@ -6,10 +6,13 @@ merchants and customers suit the gold tables.  Both are deterministic, so the
 same rows can be written in SQL.
 """
 
+import json
+
 from pyspark.sql import functions as F
 
 from ledgerwatch import schema
 from ledgerwatch.session import fresh_dir
+from ledgerwatch.sources import avro
 
 AS_OF = "2024-01-30 22:00:00"
 
@@ -229,6 +232,45 @@ def event_messages(spark, sf_dir):
     )
 
 
+def avro_contract():
+    """The Avro schema of the stand-in messages, as JSON text."""
+    texts = ["transaction_id", "customer_id", "card_number_last4", "currency", "merchant_id", "merchant_name",
+             "merchant_category_code", "status", "authorization_code", "processor_response_code"]
+    enums = {"card_type": schema.CARD_TYPES, "merchant_category": schema.MERCHANT_CATEGORIES,
+             "channel": schema.CHANNELS, "entry_method": schema.ENTRY_METHODS}
+    place = [{"name": name, "type": ["null", "string"]} for name in ("country", "state", "city", "zip_code")]
+    place += [{"name": name, "type": ["null", "double"]} for name in ("latitude", "longitude")]
+    fields = [{"name": name, "type": ["null", "string"]} for name in texts]
+    fields += [{"name": name, "type": ["null", {"type": "enum", "name": name, "symbols": symbols}]}
+               for name, symbols in enums.items()]
+    fields += [
+        {"name": "amount", "type": ["null", {
+            "type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}]},
+        {"name": "timestamp", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+        {"name": "created_at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+        {"name": "location", "type": ["null", {"type": "record", "name": "Place", "fields": place}]},
+        {"name": "risk_score", "type": ["null", "double"]},
+        {"name": "is_international", "type": ["null", "boolean"]},
+        {"name": "customer_present", "type": ["null", "boolean"]},
+        {"name": "metadata", "type": ["null", {"type": "map", "values": ["null", "string"]}]},
+        {"name": "version", "type": "string"},
+    ]
+    return json.dumps({"type": "record", "name": "Transaction", "fields": fields})
+
+
+def avro_log(spark, sf_dir):
+    """The event transactions as framed Avro messages, some cut short, some without the frame's first byte."""
+    e, contract = F.col("kafka_offset"), avro_contract()
+    t = txn_events(spark, sf_dir).withColumns({
+        "timestamp": F.unix_micros("timestamp"), "created_at": F.unix_millis("created_at")})
+    body = F.struct(*[F.col(f["name"]) for f in json.loads(contract)["fields"]])
+    sound = t.select(avro.to_avro(body, contract).alias("value"),
+                     "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp")
+    return sound.withColumn(
+        "value", F.when(e % 302 == 0, F.expr("substring(value, 2)"))
+        .when(e % 151 == 0, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value")))
+
+
 def event_alerts(spark, sf_dir):
     """Alert-shaped rows from the events, some out of contract."""
     e = F.col("event_id")

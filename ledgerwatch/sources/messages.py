@@ -1,8 +1,8 @@
 """Message topics: read, decode, parse, publish.
 
-The broker connector and the Avro module are separate Spark packages
-(``spark-sql-kafka-0-10``, ``spark-avro``); pass them to ``spark-submit``.  The
-JSON path also reads plain files of messages, as stream or batch.
+The broker connector is a separate Spark package (``spark-sql-kafka-0-10``);
+pass it to ``spark-submit``.  The JSON path also reads plain files of messages,
+as stream or batch; Avro is decoded by this library (``avro``).
 """
 
 from pyspark.sql import functions as F
@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 from ledgerwatch import schema
 from ledgerwatch.functions.times import as_instant, event_time
+from ledgerwatch.sources import avro
 
 ORIGIN = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"]
 CORRUPT = "_corrupt_record"
-REGISTRY_HEADER_BYTES = 5
 
 
 def read_topic_stream(spark, servers, topic, starting="latest", per_trigger=10000,
@@ -76,13 +76,31 @@ def read_message_files(spark, path, stream=False, files_per_trigger=None, **opti
 
 
 def decode_avro(df, avro_schema):
-    """Avro messages behind the registry's 5-byte header, as the wire struct ``t``."""
-    from pyspark.sql.avro.functions import from_avro
+    """Avro messages behind the registry's 5-byte header, as the wire struct ``t``.
 
-    body = F.expr(f"substring(value, {REGISTRY_HEADER_BYTES + 1})")
-    record = from_avro(body, avro_schema, {"mode": "PERMISSIVE"})
-    as_json = F.to_json(record)
-    return parse_messages(df.withColumn("value", as_json))
+    Names are those of the wire struct, types are brought to its types; a broken message has no ``t`` and
+    its bytes in base64 as ``_corrupt_record``.  Message columns stay.
+    """
+    found = df.withColumn("t", avro.from_avro(F.col("value"), avro_schema))
+    have = found.schema["t"].dataType
+    return found.withColumns({
+        "t": _as_wire(F.col("t"), have, schema.WIRE),
+        CORRUPT: F.when(F.col("t").isNull(), F.base64("value")),
+    })
+
+
+def _as_wire(value, have, want):
+    """``value`` of type ``have`` as ``want``; times as ISO text in UTC, unknown fields left out."""
+    if isinstance(want, T.StructType):
+        parts = [
+            (_as_wire(value[f.name], have[f.name].dataType, f.dataType) if f.name in have.names
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(have, T.TimestampType) and isinstance(want, T.StringType):
+        return F.date_format(F.to_utc_timestamp(value, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return value.cast(want)
 
 
 def parse_messages(df):
@@ -110,7 +128,7 @@ def split_malformed(parsed):
     """(parsed rows, quarantine rows with the raw text and its origin)."""
     good = parsed.filter(~is_malformed())
     bad = parsed.filter(is_malformed()).select(
-        F.col("value").cast("string").alias("raw"), *[c for c in ORIGIN if c in parsed.columns]
+        F.coalesce(CORRUPT, F.col("value").cast("string")).alias("raw"), *[c for c in ORIGIN if c in parsed.columns]
     )
     return good, bad
 
