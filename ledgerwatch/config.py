@@ -51,6 +51,8 @@ class FeatureConfig:
     earth_radius_km: float = 6371.0
     # Rows per window group (see operators.features).
     chunk_rows: int = 50_000
+    # Customers of up to so many rows (and chunk_rows) are one window group.
+    whole_rows: int = 1_000
 
 
 @dataclass(frozen=True)
@@ -85,6 +87,8 @@ class DetectorConfig:
     night_hours: tuple = (2, 4)
     risky_countries: tuple = ()
     severity_cuts: tuple = (0.3, 0.6, 0.85)
+    # Customers of up to so many rows are one window group (see operators.detect).
+    whole_rows: int = 1_000
 
 
 @dataclass(frozen=True)

@@ -1,9 +1,11 @@
 """The eight fraud patterns as boolean columns.
 
-One path for all customers: every trailing window is a running sum of
+Customers of at most ``whole_rows`` rows are one window group each: their rows
+are shuffled once.  For larger ones every trailing window is a running sum of
 per-second counts (``skew.sliding_sums``), joined back on (customer, second),
-so no group is a whole customer and no frame is swept row by row.  Only the
-measures of the patterns asked for are computed.
+so no group is a whole large customer and none of their frames is swept row by
+row.  Only the measures of the patterns asked for are computed; patterns of a
+row's own features alone need no shuffle.
 """
 
 from pyspark.sql import Window
@@ -18,6 +20,7 @@ PATTERNS = [
     "account_takeover", "card_testing", "velocity_attack", "impossible_travel",
     "amount_probing", "merchant_collusion", "synthetic_identity", "bust_out",
 ]
+ROW_PATTERNS = {"velocity_attack", "impossible_travel"}  # they read the row's own features only
 DAY = 86400
 
 
@@ -112,7 +115,7 @@ def _pattern_columns(cfg):
 
 
 def _rising_run(group, cfg):
-    """True where the row ends a run of rising amounts within the allowed gaps.
+    """(whether a row rises, whether it ends a run of rising amounts within the allowed gaps).
 
     The run is a fixed look-back of ``probing_rows`` rows, so no running counter
     over the whole group is needed.
@@ -195,13 +198,39 @@ def _rising_runs(rows, cfg):
     )
 
 
-def _windowed(df, cfg, patterns):
-    """The window columns that ``patterns`` read."""
+def _measures_of(cfg, patterns):
+    wanted = {m for p in patterns for m in MEASURES_OF.get(p, [])}
+    return {n: m for n, m in _window_measures(cfg).items() if n in wanted}
+
+
+def _whole(df, cfg, patterns):
+    """The window columns that ``patterns`` read, with a customer as one group."""
+    by_second = Window.partitionBy(CUSTOMER).orderBy("_sec")
+    frame = lambda span: by_second.rangeBetween(-span, 0)
+    columns = {name: F.sum(value).over(frame(span)) for name, (value, span) in _measures_of(cfg, patterns).items()}
+    if "merchant_collusion" in patterns:
+        hour = frame(cfg.collusion_minutes * 60)
+        risky = lambda c: F.when(F.col("_risky_category"), F.col(c))
+        columns |= {
+            "_merchants": F.size(F.collect_set(risky("merchant_id")).over(hour)),
+            "_max_amount": F.max(risky("amount")).over(hour), "_min_amount": F.min(risky("amount")).over(hour)}
+    if "synthetic_identity" in patterns:
+        columns["_first_sec"] = F.min("_sec").over(by_second.rangeBetween(Window.unboundedPreceding, 0))
+    out = df.withColumns(columns) if columns else df
+    if "amount_probing" in patterns:
+        # a window over customers comes first: its shuffle serves the one over customers and merchants, too
+        out = out if columns else out.repartition(CUSTOMER)
+        rises, run = _rising_run([CUSTOMER, "merchant_id"], cfg)
+        out = out.withColumn("_rises", rises).withColumn("_rising_run", run)
+    return out
+
+
+def _split(df, cfg, patterns):
+    """The window columns that ``patterns`` read, in groups smaller than a customer."""
     out = df
     if "amount_probing" in patterns:
         out = _rising_runs(out, cfg)
-    wanted = {m for p in patterns for m in MEASURES_OF.get(p, [])}
-    measures = {n: m for n, m in _window_measures(cfg).items() if n in wanted}
+    measures = _measures_of(cfg, patterns)
     if measures:
         out = out.join(skew.sliding_sums(df, [CUSTOMER], "_sec", measures), [CUSTOMER, "_sec"])
     if "merchant_collusion" in patterns:
@@ -216,7 +245,7 @@ def add_row_patterns(df, cfg=DetectorConfig()):
     """The two patterns that follow from the row's own features, for use on streams."""
     columns = _pattern_columns(cfg)
     return df.withColumns(
-        {name: _holds(columns[name]) for name in ("velocity_attack", "impossible_travel")})
+        {name: _holds(columns[name]) for name in sorted(ROW_PATTERNS)})
 
 
 def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS):
@@ -233,6 +262,12 @@ def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS):
     wanted = [*df.columns, *[_holds(columns[name]).alias(name) for name in patterns]]
     unknown = df.filter(~known | known.isNull()).withColumns(
         {name: F.lit(False) for name in patterns})
-    return (
-        _windowed(rows.filter(known), cfg, patterns).select(wanted).unionByName(unknown)
-    )
+    windowed = rows.filter(known)
+    if set(patterns) - ROW_PATTERNS:
+        windowed = skew.by_size(
+            windowed, CUSTOMER, cfg.whole_rows,
+            lambda some: _whole(some, cfg, patterns).select(wanted),
+            lambda some: _split(some, cfg, patterns).select(wanted))
+    else:
+        windowed = windowed.select(wanted)
+    return windowed.unionByName(unknown)

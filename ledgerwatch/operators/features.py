@@ -1,10 +1,11 @@
 """Per-customer features: velocity, amount z-score, distance and time since the last row.
 
-One path for all customers, whatever their size.  Velocities are running sums
+Customers of at most ``whole_rows`` rows are one window group each: their rows
+are shuffled and sorted once.  For larger ones velocities are running sums
 over (customer, day) groups of per-second counts, so a frame costs the same
 whatever its width; the same sums give every row its rank, and ROWS frames run
 over (customer, rank / chunk_rows) groups, each preceded by the 50 rows it
-looks back on.  No window holds a whole customer.
+looks back on.  No window holds a whole large customer.
 
 Rows without a usable customer id keep the row-level features; their window
 features are NULL and they take part in no shuffle.
@@ -86,8 +87,18 @@ def _finish(df, cfg):
     }).drop(*HELPERS)
 
 
-def _windowed(df, cfg):
-    rows = df.withColumn("_sec", F.unix_seconds("timestamp"))
+def _whole(rows, cfg):
+    """Window features with a customer as one group."""
+    ordered = Window.partitionBy(CUSTOMER).orderBy("_sec", "timestamp", "transaction_id")
+    by_second = Window.partitionBy(CUSTOMER).orderBy("_sec")
+    looked_back = rows.withColumns(_history_columns(ordered, cfg))
+    return _finish(looked_back.withColumns({
+        f"velocity_{h}h": F.count(F.lit(1)).over(by_second.rangeBetween(-3600 * h, 0)) - 1
+        for h in cfg.velocity_hours}), cfg)
+
+
+def _split(rows, cfg):
+    """Window features in groups smaller than a customer."""
     one = F.lit(1).cast("long")
     measures = {f"velocity_{h}h": (one, 3600 * h) for h in cfg.velocity_hours}
     measures["_n"] = (one, None)
@@ -125,19 +136,22 @@ def _without_customer(df, cfg):
 def add_features(df, cfg=FeatureConfig(), keep_statistics=False):
     """All features for rows with timestamp, amount, location, metadata and a hashed customer.
 
-    The input is read three times, once for two columns only: give it a table
-    or a projection of one, and store a costly join first (``session.store``).
+    The input is read three times, once at this call for two columns only (and three times more if it
+    holds large customers): give it a table or a projection of one, and store a costly join first
+    (``session.store``).
     """
     known = F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) \
         & F.col("timestamp").isNotNull()
-    rows = add_row_features(df)
+    windowed = skew.by_size(
+        df.filter(known).withColumn("_sec", F.unix_seconds("timestamp")), CUSTOMER,
+        min(cfg.whole_rows, cfg.chunk_rows), lambda rows: _whole(rows, cfg), lambda rows: _split(rows, cfg))
+    windowed = add_row_features(windowed)
     columns = [
-        *rows.columns, *velocity_names(cfg), "amount_zscore", "distance_from_last_km",
-        "time_since_last_minutes", "customer_avg_amount", "customer_stddev_amount",
+        *df.columns, "hour_of_day", "day_of_week", "is_weekend", "merchant_risk_score", *velocity_names(cfg),
+        "amount_zscore", "distance_from_last_km", "time_since_last_minutes", "customer_avg_amount",
+        "customer_stddev_amount",
     ]
     if not keep_statistics:
         columns = [c for c in columns if c not in ("customer_avg_amount", "customer_stddev_amount")]
-    return (
-        _windowed(rows.filter(known), cfg).select(columns)
-        .unionByName(_without_customer(rows.filter(~known | known.isNull()), cfg).select(columns))
-    )
+    unknown = add_row_features(df.filter(~known | known.isNull()))
+    return windowed.select(columns).unionByName(_without_customer(unknown, cfg).select(columns))

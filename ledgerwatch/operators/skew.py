@@ -4,6 +4,7 @@ A plain ``Window.partitionBy(customer)`` puts a whole customer into one task,
 and a sliding RANGE frame costs (rows in frame) per row.  The helpers here work
 in groups that are bounded whatever the distribution:
 
+* ``by_size`` gives keys of few rows to plain windows and the others to the helpers below,
 * ``running_sums`` is a cumulative sum split over (key, block) groups,
 * ``sliding_sums`` turns a sliding frame into +/- events and a running sum,
 * ``exact_median`` ranks pre-counted values with the same running sum.
@@ -12,6 +13,21 @@ in groups that are bounded whatever the distribution:
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerwatch.session import store
+
+
+def by_size(rows, key, most, whole, split):
+    """``whole`` over the rows of keys with at most ``most`` rows, ``split`` over those of the others.
+
+    Both keep a row per row and their columns are the same.  At most one key in ``most`` rows is a large
+    one; they are stored, so that the join with them is planned by their measured size.
+    """
+    large = store(rows.groupBy(key).agg(F.count("*").alias("_size")).filter(F.col("_size") > most).select(key),
+                  "large-keys")
+    if large.isEmpty():
+        return whole(rows)
+    return whole(rows.join(large, key, "left_anti")).unionByName(split(rows.join(large, key, "left_semi")))
+
 
 def running_sums(df, keys, at, columns, block_width):
     """Add ``<column>`` cumulative sums over ``at`` per key, current row included.

@@ -115,9 +115,9 @@ def txn_orders(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     k = F.col("l_suppkey")
+    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))  # before the many lines come in
     return (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        line.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -164,7 +164,7 @@ def stored(spark, sf_dir, name, build):
     if key not in _STORED:
         df = build(spark, sf_dir)
         path = fresh_dir(spark, name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")
         _STORED[key] = (path, df.schema)
     path, struct = _STORED[key]
     return spark.read.schema(struct).parquet(path)

@@ -52,5 +52,5 @@ def fresh_dir(spark, name):
 def store(df, name):
     """``df`` written below the shared folder and read back: short lineage, one computation."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -71,6 +71,40 @@ def test_chunk_size_does_not_matter(transactions):
         features.add_features(df), CHECKED)
 
 
+def row_shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_rows_of_small_customers_are_shuffled_once(transactions):
+    df = session.store(transactions(skewed_rows()), "transactions")
+    featured = features.add_features(df)
+    assert row_shuffles(featured) == 1
+    featured = session.store(featured, "features")
+    assert row_shuffles(detect.add_patterns(featured)) == 1
+    assert row_shuffles(detect.add_patterns(featured, patterns=["velocity_attack", "impossible_travel"])) == 0
+    assert row_shuffles(detect.add_patterns(featured, patterns=["amount_probing"])) == 1
+
+
+def test_customers_of_every_size(transactions):
+    """The same rows with all customers, the largest and none of them in smaller groups."""
+    df = transactions(skewed_rows())
+    sizes = [r["count"] for r in df.groupBy("customer_id_hash").count().collect()]
+    assert min(sizes) <= 200 < max(sizes)
+    want, patterns = frame(features.add_features(df, FeatureConfig(whole_rows=0)), CHECKED), {}
+    for most in (200, 1000):
+        assert frame(features.add_features(df, FeatureConfig(whole_rows=most)), CHECKED) == want
+    featured = session.store(features.add_features(df), "features")
+    cfg = dict(takeover_rows=2, testing_rows=2, attack_rows=4, probing_rows=3, collusion_merchants=2,
+               collusion_spread=5000.0, bustout_earlier_rows=2, bustout_recent_rows=1, bustout_factor=1.5,
+               identity_rows=2)
+    for most in (0, 200, 1000):
+        patterns[most] = frame(
+            detect.add_patterns(featured, DetectorConfig(**cfg, whole_rows=most)), detect.PATTERNS)
+    assert patterns[0] == patterns[200] == patterns[1000]
+    assert all(any(row[i] for row in patterns[0].values()) for i in range(len(detect.PATTERNS)))
+
+
 def test_one_customer_with_many_rows_takes_linear_time(spark):
     import time
 
