@@ -17,6 +17,8 @@ from ledgerwatch.sources import avro
 AS_OF = "2024-01-30 22:00:00"
 
 # Fixed values of the stand-ins.
+TOPIC_PARTITIONS = 6
+SEGMENT_OFFSETS = 10_000
 COUNTRIES = ["US", "CA", "GB", "JP", "DE"]
 PATTERNS = [
     "account_takeover", "card_testing", "velocity_attack", "geographic_impossible",
@@ -33,7 +35,14 @@ def pick(values, index):
 
 
 def txn_events(spark, sf_dir):
-    return events_as_transactions(table(spark, sf_dir, "events"))
+    """The event transactions, dealt over the segments of the topic.
+
+    The events are narrow and what is done with them is not: without it the tasks follow the file's
+    row groups, and a file of one is worked on by one task.
+    """
+    e = F.col("event_id")
+    return events_as_transactions(
+        table(spark, sf_dir, "events").repartition(e % TOPIC_PARTITIONS, F.floor(e / SEGMENT_OFFSETS)))
 
 
 def events_as_transactions(events):
@@ -96,7 +105,7 @@ def events_as_transactions(events):
         (ts + F.expr("INTERVAL 1 SECOND")).alias("created_at"),
         F.lit("1.0").alias("version"),
         F.lit("transactions").alias("kafka_topic"),
-        (e % 6).cast("int").alias("kafka_partition"),
+        (e % TOPIC_PARTITIONS).cast("int").alias("kafka_partition"),
         e.alias("kafka_offset"),
         ts.alias("kafka_timestamp"),
         ts.alias("ingested_at"),
@@ -171,10 +180,8 @@ def stored(spark, sf_dir, name, build):
 
 
 def message_log(spark, sf_dir):
-    """``event_messages`` as a stored log, spread like the partitions of a topic."""
-    return stored(
-        spark, sf_dir, "message-log",
-        lambda s, p: event_messages(s, p).repartition("kafka_partition"))
+    """``event_messages`` as a stored log, spread like the segments of a topic's partitions."""
+    return stored(spark, sf_dir, "message-log", event_messages)
 
 
 def event_messages(spark, sf_dir):

@@ -22,6 +22,25 @@ def test_query_equals_its_sql(spark, name):
     assert compare.difference(left, right) is None and left[1]
 
 
+def test_events_of_one_row_group_are_worked_on_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from ledgerwatch.plans import standins
+
+    spark.range(60_000).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id) AS ts", "id % 50 AS user_id", "'view' AS event_type",
+        "CAST(id % 90 AS DOUBLE) AS value", "'{\"k\": 3}' AS props").coalesce(1).write.parquet(
+            str(tmp_path / "events.parquet"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        rows = standins.txn_events(spark, str(tmp_path)).withColumn("task", F.spark_partition_id())
+        assert rows.select("task").distinct().count() > 1
+        log = standins.message_log(spark, str(tmp_path)).withColumn("file", F.col("_metadata.file_name"))
+        assert log.select("file").distinct().count() > 1 and log.count() == 60_000
+    finally:
+        spark.conf.set(merge, "true")
+
+
 def test_every_query_has_a_twin():
     assert set(catalog.QUERIES) == set(catalog.SQL)
 
