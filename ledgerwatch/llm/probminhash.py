@@ -20,10 +20,10 @@ arrival comes after the latest of the text's slots (early termination).
    it is of another class, and the pairs are verified like all others.  A bucket whose members were
    linked and that is still open goes on with new keys, for ``finer_rounds`` rounds at most; one without
    a new link stops.  A round costs each open member a row per key, whatever the size of the bucket.
-5. With ``exact`` all members of buckets that are still open are joined by their rarest shingles: any
-   two of different classes that may reach the similarity are verified.  Then similar texts of one
-   bucket always end in one class, but the candidates grow with the square of a group of texts that
-   lie just below the similarity, so it is not the default.
+5. All members of buckets that are still open are joined by their rarest shingles: any two of different
+   classes that may reach the similarity are verified.  So similar texts of one bucket always end in
+   one class.  The candidates grow with the square of a group of texts that lie just below the
+   similarity; ``exact=False`` leaves this step, and with it links, out.
 
 Nulls and empty texts have no words: they are copies of each other and near to nothing else.  A
 text of fewer than five words has one shingle of all its words.  Rows with a null id are passed
@@ -61,7 +61,7 @@ class NearConfig:
     finer_rows: tuple = (6, 9, 12)  # slots of the second signature in a key of a sub-bucket
     finer_keys: int = 4  # keys of each length, in each round
     finer_rounds: int = 2
-    exact: bool = False  # join the open buckets exactly
+    exact: bool = True  # join the open buckets exactly
 
 
 def _lowered(texts):

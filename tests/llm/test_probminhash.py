@@ -183,6 +183,27 @@ def test_recall_on_near_misses(docs):
     assert near >= 10 and met >= 0.9 * near
 
 
+def test_no_link_of_a_bucket_is_lost(docs):
+    # Few bands and a family of near misses: the partners meet in buckets whose centres are other texts.
+    rng, rows = random.Random(9), []
+    base = [f"c{k}" for k in range(200)]
+    for pair in range(60):
+        own = list(base)
+        for k in rng.sample(range(200), 5):
+            own[k] = f"p{pair}x{k}"
+        partner = list(own)
+        for k in rng.sample(range(200), 3):
+            partner[k] = f"q{pair}x{k}"
+        rows += [(2 * pair, " ".join(own)), (2 * pair + 1, " ".join(partner))]
+    c = p.NearConfig(bands=4, finer_rounds=0)
+    got = {r.doc_id: r.class_id for r in p.classes(docs(rows), c).collect()}
+    keys = {r.id: set(r.bands) for r in p.sketch(docs(rows), c, "doc_id", "text").collect()}
+    bags = {i: shingles(t) for i, t in rows}
+    near = [(i, j) for i in bags for j in bags if i < j and keys[i] & keys[j]
+            and similarity(bags[i], bags[j]) >= 0.8]
+    assert len(near) > 20 and [(i, j) for i, j in near if got[i] != got[j]] == []
+
+
 def test_verification_in_slices_equals_the_definition(docs, monkeypatch):
     monkeypatch.setattr(p.words, "SLICE_BYTES", 300)
     rng = random.Random(4)
