@@ -203,7 +203,7 @@ def _measures_of(cfg, patterns):
     return {n: m for n, m in _window_measures(cfg).items() if n in wanted}
 
 
-def _whole(df, cfg, patterns):
+def _whole(df, cfg, patterns, clustered=False):
     """The window columns that ``patterns`` read, with a customer as one group."""
     by_second = Window.partitionBy(CUSTOMER).orderBy("_sec")
     frame = lambda span: by_second.rangeBetween(-span, 0)
@@ -219,7 +219,7 @@ def _whole(df, cfg, patterns):
     out = df.withColumns(columns) if columns else df
     if "amount_probing" in patterns:
         # a window over customers comes first: its shuffle serves the one over customers and merchants, too
-        out = out if columns else out.repartition(CUSTOMER)
+        out = out if columns or clustered else out.repartition(CUSTOMER)
         rises, run = _rising_run([CUSTOMER, "merchant_id"], cfg)
         out = out.withColumn("_rises", rises).withColumn("_rising_run", run)
     return out
@@ -248,12 +248,15 @@ def add_row_patterns(df, cfg=DetectorConfig()):
         {name: _holds(columns[name]) for name in sorted(ROW_PATTERNS)})
 
 
-def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS):
+def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS, clustered=False):
     """Add pattern columns (all eight, or those named) to rows that carry the features.
 
     "First seen" (synthetic identity) means first in ``df``: pass the whole
     history.  Patterns of rows without a known customer are false.  The input
     is read several times: pass a stored table.
+
+    ``clustered``: ``df`` is a table in buckets of customers of few rows each (``features.feature_tables``),
+    which are neither counted nor shuffled.
     """
     known = F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) \
         & F.col("timestamp").isNotNull()
@@ -263,7 +266,9 @@ def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS):
     unknown = df.filter(~known | known.isNull()).withColumns(
         {name: F.lit(False) for name in patterns})
     windowed = rows.filter(known)
-    if set(patterns) - ROW_PATTERNS:
+    if clustered:
+        windowed = _whole(windowed, cfg, patterns, clustered).select(wanted)
+    elif set(patterns) - ROW_PATTERNS:
         windowed = skew.by_size(
             windowed, CUSTOMER, cfg.whole_rows,
             lambda some: _whole(some, cfg, patterns).select(wanted),

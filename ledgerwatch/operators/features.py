@@ -18,6 +18,7 @@ from ledgerwatch.config import FeatureConfig
 from ledgerwatch.functions.geo import distance_km
 from ledgerwatch.operators import skew
 from ledgerwatch.schema import UNKNOWN_CUSTOMER
+from ledgerwatch.session import store_clustered
 
 CUSTOMER = "customer_id_hash"
 
@@ -133,6 +134,34 @@ def _without_customer(df, cfg):
     return df.withColumns(empty)
 
 
+def _known():
+    return F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) & F.col("timestamp").isNotNull()
+
+
+def _columns(df, cfg):
+    return [*df.columns, "hour_of_day", "day_of_week", "is_weekend", "merchant_risk_score", *velocity_names(cfg),
+            "amount_zscore", "distance_from_last_km", "time_since_last_minutes"]
+
+
+def feature_tables(df, name, cfg=FeatureConfig()):
+    """The features of ``add_features`` in two parts: (name of a stored table, rows).
+
+    The table holds the customers of few rows, in buckets of customers, so that windows and groups over
+    it need no shuffle; the rows are all others.  ``df`` is read several times, as by ``add_features``.
+    """
+    known = _known()
+    small, large = skew.apart(
+        df.filter(known).withColumn("_sec", F.unix_seconds("timestamp")), CUSTOMER,
+        min(cfg.whole_rows, cfg.chunk_rows))
+    rows = skew.clustered(small, CUSTOMER, f"{name}-rows")
+    columns = _columns(df, cfg)
+    first = add_row_features(_whole(rows, cfg)).select(columns)
+    rest = _without_customer(add_row_features(df.filter(~known | known.isNull())), cfg).select(columns)
+    if large is not None:
+        rest = add_row_features(_split(large, cfg)).select(columns).unionByName(rest)
+    return store_clustered(first, name, CUSTOMER, skew.buckets_for(rows)), rest
+
+
 def add_features(df, cfg=FeatureConfig(), keep_statistics=False):
     """All features for rows with timestamp, amount, location, metadata and a hashed customer.
 
@@ -140,18 +169,13 @@ def add_features(df, cfg=FeatureConfig(), keep_statistics=False):
     holds large customers): give it a table or a projection of one, and store a costly join first
     (``session.store``).
     """
-    known = F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) \
-        & F.col("timestamp").isNotNull()
+    known = _known()
     windowed = skew.by_size(
         df.filter(known).withColumn("_sec", F.unix_seconds("timestamp")), CUSTOMER,
         min(cfg.whole_rows, cfg.chunk_rows), lambda rows: _whole(rows, cfg), lambda rows: _split(rows, cfg))
     windowed = add_row_features(windowed)
-    columns = [
-        *df.columns, "hour_of_day", "day_of_week", "is_weekend", "merchant_risk_score", *velocity_names(cfg),
-        "amount_zscore", "distance_from_last_km", "time_since_last_minutes", "customer_avg_amount",
-        "customer_stddev_amount",
-    ]
-    if not keep_statistics:
-        columns = [c for c in columns if c not in ("customer_avg_amount", "customer_stddev_amount")]
+    columns = _columns(df, cfg)
+    if keep_statistics:
+        columns += ["customer_avg_amount", "customer_stddev_amount"]
     unknown = add_row_features(df.filter(~known | known.isNull()))
     return windowed.select(columns).unionByName(_without_customer(unknown, cfg).select(columns))

@@ -5,6 +5,7 @@ and a sliding RANGE frame costs (rows in frame) per row.  The helpers here work
 in groups that are bounded whatever the distribution:
 
 * ``by_size`` gives keys of few rows to plain windows and the others to the helpers below,
+* ``clustered`` stores keys of few rows by bucket, for several steps without a shuffle,
 * ``running_sums`` is a cumulative sum split over (key, block) groups,
 * ``sliding_sums`` turns a sliding frame into +/- events and a running sum,
 * ``exact_median`` ranks pre-counted values with the same running sum.
@@ -13,20 +14,43 @@ in groups that are bounded whatever the distribution:
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.session import store
+from ledgerwatch.session import store, store_clustered
 
+# Rows of a bucket, as long as there are no more buckets than shuffle partitions.
+BUCKET_ROWS = 50_000
 
-def by_size(rows, key, most, whole, split):
-    """``whole`` over the rows of keys with at most ``most`` rows, ``split`` over those of the others.
 
-    Both keep a row per row and their columns are the same.  At most one key in ``most`` rows is a large
-    one; they are stored, so that the join with them is planned by their measured size.
+def apart(rows, key, most):
+    """(the rows of keys with at most ``most`` rows, those of the others or None if there are none).
+
+    At most one key in ``most`` rows is a large one; they are stored, so that the join with them is
+    planned by their measured size.
     """
     large = store(rows.groupBy(key).agg(F.count("*").alias("_size")).filter(F.col("_size") > most).select(key),
                   "large-keys")
     if large.isEmpty():
-        return whole(rows)
-    return whole(rows.join(large, key, "left_anti")).unionByName(split(rows.join(large, key, "left_semi")))
+        return rows, None
+    return rows.join(large, key, "left_anti"), rows.join(large, key, "left_semi")
+
+
+def by_size(rows, key, most, whole, split):
+    """``whole`` over the rows of keys with at most ``most`` rows, ``split`` over those of the others.
+
+    Both keep a row per row and their columns are the same.
+    """
+    small, large = apart(rows, key, most)
+    return whole(small) if large is None else whole(small).unionByName(split(large))
+
+
+def buckets_for(rows):
+    """The number of buckets for ``rows``, which are counted."""
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, -(-rows.count() // BUCKET_ROWS)))
+
+
+def clustered(rows, key, name):
+    """``rows`` in a stored table of buckets of ``key``; its keys have few rows each, so buckets are alike."""
+    return rows.sparkSession.table(store_clustered(rows, name, key, buckets_for(rows)))
 
 
 def running_sums(df, keys, at, columns, block_width):

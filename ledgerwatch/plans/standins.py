@@ -11,6 +11,7 @@ import json
 from pyspark.sql import functions as F
 
 from ledgerwatch import schema
+from ledgerwatch.operators import features
 from ledgerwatch.session import fresh_dir
 from ledgerwatch.sources import avro
 
@@ -179,6 +180,18 @@ def stored(spark, sf_dir, name, build):
     return spark.read.schema(struct).parquet(path)
 
 
+def stored_features(spark, sf_dir, name, build):
+    """(the clustered, the other rows) of ``features.feature_tables`` over ``build``, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        table, rest = features.feature_tables(build(spark, sf_dir), name)
+        path = fresh_dir(spark, f"{name}-rest")
+        rest.write.parquet(path, compression="zstd")
+        _STORED[key] = (table, path, rest.schema)
+    table, path, struct = _STORED[key]
+    return spark.table(table), spark.read.schema(struct).parquet(path)
+
+
 def message_log(spark, sf_dir):
     """``event_messages`` as a stored log, spread like the segments of a topic's partitions."""
     return stored(spark, sf_dir, "message-log", event_messages)

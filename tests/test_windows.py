@@ -253,6 +253,23 @@ def test_alerts_are_idempotent_and_scored(transactions):
     assert validate.validate_alerts(found).filter("not is_valid").count() == 0
 
 
+def test_stored_features_need_no_shuffle_and_equal_the_others(transactions, spark):
+    rows = skewed_rows() + [{"timestamp": at(5), "customer_id_hash": c} for c in ("UNKNOWN", None, "b")]
+    df, cfg, low = transactions(rows), FeatureConfig(whole_rows=200), DetectorConfig(takeover_rows=2, probing_rows=2)
+    want = features.add_features(df, cfg)
+    name, rest = features.feature_tables(df, "some-features", cfg)
+    first = spark.table(name)
+    assert {r[0] for r in first.select("customer_id_hash").distinct().collect()} == {"a", "b"}
+    assert first.columns == rest.columns == want.columns
+    assert frame(first.unionByName(rest), CHECKED) == frame(want, CHECKED)
+    found = detect.add_patterns(first, low, clustered=True)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    rising = detect.add_patterns(first, low, ["amount_probing"], clustered=True)
+    assert "Exchange" not in rising._jdf.queryExecution().executedPlan().toString()
+    every = found.unionByName(detect.add_patterns(rest, low))
+    assert frame(every, detect.PATTERNS) == frame(detect.add_patterns(want, low), detect.PATTERNS)
+
+
 def test_median_and_running_sums(spark):
     rng = random.Random(1)
     data = [(rng.choice("ab"), rng.randint(0, 5000)) for _ in range(501)] + [("c", 7)]
