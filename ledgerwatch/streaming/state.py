@@ -11,8 +11,7 @@ state in the RocksDB store.  A customer has
 
 A batch writes the head, which is bounded by parameters, and the nodes and blocks its rows moved into.
 Nodes and blocks that have left every window are removed when the customer comes again.  (Timers and
-times to live need the processing-time mode, in which a query of all available data never ends.)  Rows pass through Python as an array of their values' text and arrays of
-their maps' keys and values.
+times to live need the processing-time mode, in which a query of all available data never ends.)  Rows pass through Python as one text each.
 
 A row that repeats one of the head (same time and id) is not counted again.
 """
@@ -51,7 +50,7 @@ OK, SMALL, SMALL_DECLINED, LARGE, RISKY, TAKEOVER, ABROAD = (1 << i for i in ran
 
 def output_schema(cfg, carried):
     velocities = ", ".join(f"{v} bigint" for v in features.velocity_names(cfg))
-    packed = ", ".join(f"{c} array<string>" for c in carried)
+    packed = ", ".join(f"{c} string" for c in carried)
     return (f"{packed}, {velocities}, _mean double, _sd double, _prev_lat double, _prev_lon double, "
             "_prev_us bigint, velocity_complete boolean, history_complete boolean, "
             "stream_patterns array<string>")
@@ -232,9 +231,25 @@ def _floats(values):
     return [None if math.isnan(v) else v for v in values.tolist()]
 
 
+# Between the values of a packed row; inside them both characters are written as two.
+SEPARATOR, ESCAPE = "\x02", "\x01"
+
+
+def _coded(text):
+    """A text without separators, also for NULL."""
+    plain = F.replace(F.replace(text, F.lit(ESCAPE), F.lit(f"{ESCAPE}a")), F.lit(SEPARATOR), F.lit(f"{ESCAPE}b"))
+    return F.coalesce(F.concat(F.lit("v"), plain), F.lit("n"))
+
+
+def _decoded(text):
+    plain = F.substring(text, F.lit(2), F.length(text))
+    plain = F.replace(F.replace(plain, F.lit(f"{ESCAPE}b"), F.lit(SEPARATOR)), F.lit(f"{ESCAPE}a"), F.lit(ESCAPE))
+    return F.when(text.startswith("v"), plain)
+
+
 def _packed(df):
-    """Columns that carry a row: the text of its values, and keys and values of its maps."""
-    texts, maps = [], []
+    """One text that carries a row: the texts of its values, maps as the texts of their keys and values."""
+    texts = []
 
     def walk(column, kind):
         if isinstance(kind, T.StructType):
@@ -242,7 +257,8 @@ def _packed(df):
             for f in kind.fields:
                 walk(column[f.name], f.dataType)
         elif isinstance(kind, T.MapType):
-            maps.extend([F.map_keys(column).cast("array<string>"), F.map_values(column).cast("array<string>")])
+            texts.append(F.array_join(F.flatten(F.transform(F.map_entries(column), lambda e: F.array(
+                _coded(e["key"].cast("string")), _coded(e["value"].cast("string"))))), SEPARATOR))
         elif isinstance(kind, T.TimestampType):
             texts.append(F.unix_micros(column).cast("string"))
         elif isinstance(kind, (T.AtomicType, T.NullType)) and not isinstance(kind, T.BinaryType):
@@ -252,23 +268,24 @@ def _packed(df):
 
     for f in df.schema.fields:
         walk(df[f"`{f.name}`"], f.dataType)
-    return [F.array(*texts).alias("packed_texts"), *[m.alias(f"packed_map{i}") for i, m in enumerate(maps)]]
+    return F.concat_ws(SEPARATOR, *[_coded(t) for t in texts])
 
 
 def _unpacked(row_type):
-    """The columns that ``_packed`` took in."""
-    at = {"text": -1, "map": -2}
+    """The columns that ``_packed`` took in, from the array ``_texts`` of the packed values."""
+    at = -1
 
     def walk(kind):
+        nonlocal at
+        at += 1
+        text = _decoded(F.get("_texts", F.lit(at)))
         if isinstance(kind, T.StructType):
-            at["text"] += 1
-            there = F.get("packed_texts", F.lit(at["text"]))
-            return F.when(there.isNotNull(), F.struct(*[walk(f.dataType).alias(f.name) for f in kind.fields]))
+            return F.when(text.isNotNull(), F.struct(*[walk(f.dataType).alias(f.name) for f in kind.fields]))
         if isinstance(kind, T.MapType):
-            at["map"] += 2
-            return F.map_from_arrays(f"packed_map{at['map']}", f"packed_map{at['map'] + 1}").cast(kind)
-        at["text"] += 1
-        text = F.get("packed_texts", F.lit(at["text"]))
+            both = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, SEPARATOR))
+            every = lambda part: F.transform(
+                F.filter(both, lambda _, i: i % 2 == part), _decoded)
+            return F.map_from_arrays(every(0), every(1)).cast(kind)
         return F.timestamp_micros(text.cast("long")) if isinstance(kind, T.TimestampType) else text.cast(kind)
 
     return [walk(f.dataType).alias(f.name) for f in row_type.fields]
@@ -306,7 +323,6 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2, detectors=Detecto
         customer == schema.UNKNOWN_CUSTOMER,
         F.pmod(F.xxhash64("transaction_id", "timestamp", "amount"), F.lit(UNKNOWN_SALTS)),
     ).otherwise(0)
-    carried = _packed(df)
     narrow = df.select(
         customer.alias("_customer"), salt.cast("int").alias("_salt"),
         F.coalesce("transaction_id", F.lit("")).alias("transaction_id"),
@@ -314,13 +330,13 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2, detectors=Detecto
         F.coalesce(F.unix_micros("timestamp"), F.lit(0)).alias("micros"),
         F.col("amount").cast("double").alias("amount"),
         F.col("location.latitude").alias("lat"), F.col("location.longitude").alias("lon"),
-        "merchant_id", _bits(detectors, quality).alias("bits"), *carried,
+        "merchant_id", _bits(detectors, quality).alias("bits"), _packed(df).alias("packed_row"),
     )
-    names = [c for c in narrow.columns if c == "packed_texts" or c.startswith("packed_map")]
+    names = ["packed_row"]
     looked_back = narrow.groupBy("_customer", "_salt").transformWithStateInPandas(
         CustomerHistory(cfg, late_hours, detectors, names), output_schema(cfg, names), "Append",
         "None")
-    rows = looked_back.select(
+    rows = looked_back.withColumn("_texts", F.split("packed_row", SEPARATOR)).select(
         *_unpacked(df.schema), *[c for c in looked_back.columns if c not in names])
     rows = features.add_row_features(
         rows.withColumn("_prev_ts", F.timestamp_micros("_prev_us")).drop("_prev_us"))
