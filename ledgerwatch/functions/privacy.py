@@ -130,17 +130,21 @@ def stamp_metadata(m, as_of=None):
     return F.map_concat(kept, stamp)
 
 
-def protect_customer(df, cfg):
-    """Hashed customer id; the clear id survives only outside production."""
+def protect_customer(df, cfg, hashed=False):
+    """Hashed customer id; the clear id survives only outside production.
+
+    ``hashed``: the rows carry the hash of ``cfg`` already, as stored ones do.
+    """
     if not cfg.masking_enabled:
         return df.withColumns({
             "customer_id_hash": F.col("customer_id"),
             "customer_id_original": F.col("customer_id"),
         })
-    hashed = df.withColumn("customer_id_hash", hash_identifier(F.col("customer_id"), cfg))
+    if not hashed:
+        df = df.withColumn("customer_id_hash", hash_identifier(F.col("customer_id"), cfg))
     if cfg.production:
-        return hashed.drop("customer_id", "customer_id_original")
-    return hashed.withColumn("customer_id_original", F.col("customer_id"))
+        return df.drop("customer_id", "customer_id_original")
+    return df.withColumn("customer_id_original", F.col("customer_id"))
 
 
 def mask_record(df, cfg, as_of=None):

@@ -255,20 +255,20 @@ def add_patterns(df, cfg=DetectorConfig(), patterns=PATTERNS, clustered=False):
     history.  Patterns of rows without a known customer are false.  The input
     is read several times: pass a stored table.
 
-    ``clustered``: ``df`` is a table in buckets of customers of few rows each (``features.feature_tables``),
-    which are neither counted nor shuffled.
+    ``clustered``: ``df`` holds known customers of few rows each, in buckets of customers
+    (``features.feature_tables``, ``features.clustered_rows``); they are neither counted nor shuffled.
     """
     known = F.col(CUSTOMER).isNotNull() & (F.col(CUSTOMER) != UNKNOWN_CUSTOMER) \
         & F.col("timestamp").isNotNull()
     rows = df.withColumns({"_sec": F.unix_seconds("timestamp"), **_traits(cfg)})
     columns = _pattern_columns(cfg)
     wanted = [*df.columns, *[_holds(columns[name]).alias(name) for name in patterns]]
+    if clustered:
+        return _whole(rows, cfg, patterns, clustered).select(wanted)
     unknown = df.filter(~known | known.isNull()).withColumns(
         {name: F.lit(False) for name in patterns})
     windowed = rows.filter(known)
-    if clustered:
-        windowed = _whole(windowed, cfg, patterns, clustered).select(wanted)
-    elif set(patterns) - ROW_PATTERNS:
+    if set(patterns) - ROW_PATTERNS:
         windowed = skew.by_size(
             windowed, CUSTOMER, cfg.whole_rows,
             lambda some: _whole(some, cfg, patterns).select(wanted),

@@ -143,23 +143,38 @@ def _columns(df, cfg):
             "amount_zscore", "distance_from_last_km", "time_since_last_minutes"]
 
 
-def feature_tables(df, name, cfg=FeatureConfig()):
-    """The features of ``add_features`` in two parts: (name of a stored table, rows).
+def clustered_rows(df, name, kept, cfg=FeatureConfig()):
+    """``df`` for ``add_features`` in two parts: (name of a stored table, features of the other rows).
 
-    The table holds the customers of few rows, in buckets of customers, so that windows and groups over
-    it need no shuffle; the rows are all others.  ``df`` is read several times, as by ``add_features``.
+    The table holds the columns ``kept`` of the customers of few rows, in buckets of customers, so that
+    windows and groups over it need no shuffle; what follows from ``kept`` need not be stored.
+    ``clustered_features`` adds the features as they are read.  ``df`` is read several times, as by
+    ``add_features``.
     """
     known = _known()
-    small, large = skew.apart(
-        df.filter(known).withColumn("_sec", F.unix_seconds("timestamp")), CUSTOMER,
-        min(cfg.whole_rows, cfg.chunk_rows))
-    rows = skew.clustered(small, CUSTOMER, f"{name}-rows")
+    few, large = skew.apart(df.filter(known), CUSTOMER, min(cfg.whole_rows, cfg.chunk_rows))
     columns = _columns(df, cfg)
-    first = add_row_features(_whole(rows, cfg)).select(columns)
     rest = _without_customer(add_row_features(df.filter(~known | known.isNull())), cfg).select(columns)
     if large is not None:
-        rest = add_row_features(_split(large, cfg)).select(columns).unionByName(rest)
-    return store_clustered(first, name, CUSTOMER, skew.buckets_for(rows)), rest
+        split = _split(large.withColumn("_sec", F.unix_seconds("timestamp")), cfg)
+        rest = add_row_features(split).select(columns).unionByName(rest)
+    return store_clustered(few.select(kept), name, CUSTOMER, skew.buckets_for(few)), rest
+
+
+def clustered_features(rows, cfg=FeatureConfig()):
+    """The features of rows in buckets of known customers of few rows each, without a shuffle."""
+    windowed = _whole(rows.withColumn("_sec", F.unix_seconds("timestamp")), cfg)
+    return add_row_features(windowed).select(_columns(rows, cfg))
+
+
+def feature_tables(df, name, cfg=FeatureConfig()):
+    """The features of ``add_features`` in two parts: (name of a stored table, rows).
+
+    As ``clustered_rows``, with the features of the customers of few rows stored, too.
+    """
+    table, rest = clustered_rows(df, f"{name}-rows", df.columns, cfg)
+    rows = df.sparkSession.table(table)
+    return store_clustered(clustered_features(rows, cfg), name, CUSTOMER, skew.buckets_for(rows)), rest
 
 
 def add_features(df, cfg=FeatureConfig(), keep_statistics=False):

@@ -5,7 +5,7 @@ and a sliding RANGE frame costs (rows in frame) per row.  The helpers here work
 in groups that are bounded whatever the distribution:
 
 * ``by_size`` gives keys of few rows to plain windows and the others to the helpers below,
-* ``clustered`` stores keys of few rows by bucket, for several steps without a shuffle,
+* ``buckets_for`` is the number of buckets in which keys of few rows are stored, for steps without a shuffle,
 * ``running_sums`` is a cumulative sum split over (key, block) groups,
 * ``sliding_sums`` turns a sliding frame into +/- events and a running sum,
 * ``exact_median`` ranks pre-counted values with the same running sum.
@@ -14,7 +14,7 @@ in groups that are bounded whatever the distribution:
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.session import store, store_clustered
+from ledgerwatch.session import store
 
 # Rows of a bucket, as long as there are no more buckets than shuffle partitions.
 BUCKET_ROWS = 50_000
@@ -48,11 +48,6 @@ def buckets_for(rows):
     return max(1, min(most, -(-rows.count() // BUCKET_ROWS)))
 
 
-def clustered(rows, key, name):
-    """``rows`` in a stored table of buckets of ``key``; its keys have few rows each, so buckets are alike."""
-    return rows.sparkSession.table(store_clustered(rows, name, key, buckets_for(rows)))
-
-
 def running_sums(df, keys, at, columns, block_width):
     """Add ``<column>`` cumulative sums over ``at`` per key, current row included.
 

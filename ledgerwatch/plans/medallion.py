@@ -9,10 +9,10 @@ from ledgerwatch.operators import dedup, detect, features, gold, quality
 from ledgerwatch.sources import tables
 
 
-def secured(transactions, cfg=PipelineConfig(), as_of=None):
+def secured(transactions, cfg=PipelineConfig(), as_of=None, hashed=False):
     """Quality flags and hashed customer: projections only."""
     return protect_customer(
-        quality.add_quality_flags(transactions, cfg.quality, as_of), cfg.privacy)
+        quality.add_quality_flags(transactions, cfg.quality, as_of), cfg.privacy, hashed)
 
 
 def enriched(transactions, cfg=PipelineConfig(), as_of=None):

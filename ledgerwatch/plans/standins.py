@@ -115,49 +115,62 @@ def events_as_transactions(events):
 
 def txn_orders(spark, sf_dir):
     """Order lines as transactions: customer = buyer, merchant = supplier."""
+    return lines_as_transactions(order_lines(spark, sf_dir))
+
+
+def order_lines(spark, sf_dir):
+    """The order lines with their order, buyer and part: the few columns that the transactions follow from."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity",
         "l_returnflag", "l_linestatus",
     )
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    k = F.col("l_suppkey")
+    part = table(spark, sf_dir, "part").select("p_partkey")
     buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))  # before the many lines come in
     return (
         line.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                        F.col("l_quantity").cast("int")).alias("transaction_id"),
-            (F.col("o_orderdate").cast("timestamp")
-             + F.make_dt_interval(F.lit(0), F.lit(9), F.col("l_linenumber") * 8)
-             ).alias("timestamp"),
-            F.concat(F.lit("cust_"), F.col("o_custkey").cast("string")).alias("customer_id"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("amount"),
-            F.lit("USD").alias("currency"),
-            F.concat(F.lit("merch_"), k.cast("string")).alias("merchant_id"),
-            F.concat(F.lit("Store "), k.cast("string")).alias("merchant_name"),
-            pick(schema.MERCHANT_CATEGORIES, F.col("l_partkey") % 15).alias("merchant_category"),
-            F.struct(
-                F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
-                F.col("c_mktsegment").alias("state"),
-                F.concat(F.lit("City"), (k % 20).cast("string")).alias("city"),
-                F.lit(None).cast("string").alias("zip_code"),
-                (((k * 7) % 120) - 60).cast("double").alias("latitude"),
-                (((k * 13) % 360) - 180).cast("double").alias("longitude"),
-            ).alias("location"),
-            pick(schema.CHANNELS, F.col("l_linenumber") % 5).alias("channel"),
-            F.when(F.col("l_returnflag") == "R", F.lit("REFUNDED"))
-            .when(F.col("l_returnflag") == "A", F.lit("APPROVED"))
-            .when(F.col("l_linestatus") == "O", F.lit("DECLINED"))
-            .otherwise(F.lit("PENDING")).alias("status"),
-            (F.col("l_partkey") % 4 == 0).alias("is_international"),
-            (k % 3 == 0).alias("customer_present"),
-            F.lit(None).cast("map<string,string>").alias("metadata"),
-        )
+        .drop("o_orderkey", "c_custkey", "p_partkey")
+    )
+
+
+def buyer():
+    return F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"))
+
+
+def lines_as_transactions(lines, *more):
+    """The transactions of ``order_lines``; columns ``more`` of the lines come along."""
+    k = F.col("l_suppkey")
+    return lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.col("l_quantity").cast("int")).alias("transaction_id"),
+        (F.col("o_orderdate").cast("timestamp")
+         + F.make_dt_interval(F.lit(0), F.lit(9), F.col("l_linenumber") * 8)
+         ).alias("timestamp"),
+        buyer().alias("customer_id"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.concat(F.lit("merch_"), k.cast("string")).alias("merchant_id"),
+        F.concat(F.lit("Store "), k.cast("string")).alias("merchant_name"),
+        pick(schema.MERCHANT_CATEGORIES, F.col("l_partkey") % 15).alias("merchant_category"),
+        F.struct(
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("country"),
+            F.col("c_mktsegment").alias("state"),
+            F.concat(F.lit("City"), (k % 20).cast("string")).alias("city"),
+            F.lit(None).cast("string").alias("zip_code"),
+            (((k * 7) % 120) - 60).cast("double").alias("latitude"),
+            (((k * 13) % 360) - 180).cast("double").alias("longitude"),
+        ).alias("location"),
+        pick(schema.CHANNELS, F.col("l_linenumber") % 5).alias("channel"),
+        F.when(F.col("l_returnflag") == "R", F.lit("REFUNDED"))
+        .when(F.col("l_returnflag") == "A", F.lit("APPROVED"))
+        .when(F.col("l_linestatus") == "O", F.lit("DECLINED"))
+        .otherwise(F.lit("PENDING")).alias("status"),
+        (F.col("l_partkey") % 4 == 0).alias("is_international"),
+        (k % 3 == 0).alias("customer_present"),
+        F.lit(None).cast("map<string,string>").alias("metadata"),
+        *more,
     )
 
 
@@ -180,16 +193,16 @@ def stored(spark, sf_dir, name, build):
     return spark.read.schema(struct).parquet(path)
 
 
-def stored_features(spark, sf_dir, name, build):
-    """(the clustered, the other rows) of ``features.feature_tables`` over ``build``, once per session."""
+def stored_rows(spark, sf_dir, name, build):
+    """(the clustered rows, the others) of ``build``, which gives them as ``features.clustered_rows``; once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        table, rest = features.feature_tables(build(spark, sf_dir), name)
+        clustered, rest = build(spark, sf_dir)
         path = fresh_dir(spark, f"{name}-rest")
         rest.write.parquet(path, compression="zstd")
-        _STORED[key] = (table, path, rest.schema)
-    table, path, struct = _STORED[key]
-    return spark.table(table), spark.read.schema(struct).parquet(path)
+        _STORED[key] = (clustered, path, rest.schema)
+    clustered, path, struct = _STORED[key]
+    return spark.table(clustered), spark.read.schema(struct).parquet(path)
 
 
 def message_log(spark, sf_dir):
