@@ -2,9 +2,13 @@
 
 Every measure is a map-side-combined aggregate or works on pre-counted values;
 alerts meet transactions on narrow projections, and only where needed.
+Customer and merchant gold take silver as one frame or as parts that share no
+customer; a part in buckets of customers is not shuffled to group by them.
 """
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators import skew
@@ -74,22 +78,14 @@ def _most_frequent(silver, key, place):
 def _top_values(silver, kinds):
     """The TOP most frequent values per customer for each of ``kinds``, as sorted arrays.
 
-    One pass: grouping sets count every kind, a group-limited row_number keeps
-    three per (customer, kind), one small aggregation turns them into columns.
+    One pass: every row gives a value of each kind, a group-limited row_number keeps three per
+    (customer, kind), one small aggregation turns them into columns.  Rows in buckets of customers
+    are not shuffled.
     """
     names = list(kinds)
-    base = silver.select(CUSTOMER, *[c.cast("string").alias(n) for n, c in kinds.items()])
-    sets = [[F.col(CUSTOMER), F.col(n)] for n in names]
-    counted = base.groupingSets(sets, CUSTOMER, *names).agg(
-        F.count("*").alias("_n"),
-        *[F.grouping(n).alias(f"_g_{n}") for n in names],
-    )
-    kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for n in names:
-        kind = F.when(F.col(f"_g_{n}") == 0, n).otherwise(kind)
-        value = F.when(F.col(f"_g_{n}") == 0, F.col(n)).otherwise(value)
-    ranked = counted.select(CUSTOMER, kind.alias("_kind"), value.alias("_value"), "_n").filter(
-        F.col("_value").isNotNull())
+    pairs = F.array(*[F.struct(F.lit(n).alias("_kind"), c.cast("string").alias("_value")) for n, c in kinds.items()])
+    ranked = silver.select(CUSTOMER, F.explode(pairs).alias("_p")).select(CUSTOMER, "_p.*").filter(
+        F.col("_value").isNotNull()).groupBy(CUSTOMER, "_kind", "_value").agg(F.count("*").alias("_n"))
     order = Window.partitionBy(CUSTOMER, "_kind").orderBy(F.desc("_n"), "_value")
     kept = ranked.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= TOP)
     return kept.groupBy(CUSTOMER).agg(*[
@@ -102,8 +98,17 @@ def _top_values(silver, kinds):
     ])
 
 
+def parts_of(silver):
+    return silver if isinstance(silver, list) else [silver]
+
+
 def customer_patterns(silver, alerts, analysis_date):
     """Spending pattern per customer: totals, top lists, home, shares, risk."""
+    return reduce(DataFrame.unionByName, [
+        _patterns_of_part(part, alerts, analysis_date) for part in parts_of(silver)])
+
+
+def _patterns_of_part(silver, alerts, analysis_date):
     rows = silver.filter(F.col(CUSTOMER).isNotNull())
     n = F.count("*")
     totals = rows.groupBy(CUSTOMER).agg(
@@ -140,12 +145,15 @@ def customer_patterns(silver, alerts, analysis_date):
 
 def merchant_analytics(silver, alerts, analysis_date):
     """Volume, decline and fraud rate, risk and place per merchant."""
-    rows = silver.filter(F.col("merchant_id").isNotNull())
+    parts = [part.filter(F.col("merchant_id").isNotNull()) for part in parts_of(silver)]
+    rows = reduce(DataFrame.unionByName, parts)
+    # a merchant's customers: pairs first, which need no shuffle where customers lie together
+    customers = reduce(DataFrame.unionByName, [part.select(CUSTOMER, "merchant_id").distinct() for part in parts])
+    customers = customers.groupBy("merchant_id").agg(F.count(CUSTOMER).alias("unique_customers"))
     n = F.count("*")
     totals = rows.groupBy("merchant_id").agg(
         n.alias("total_transactions"),
         F.sum("amount").cast(MONEY).alias("total_amount"),
-        F.count_distinct(CUSTOMER).alias("unique_customers"),
         (F.sum("amount").cast("double") / F.count("amount")).alias("avg_transaction_amount"),
         (F.count_if(F.col("status") == "DECLINED") * 100.0 / n).alias("decline_rate"),
         F.max("merchant_risk_score").alias("risk_score"),
@@ -159,7 +167,8 @@ def merchant_analytics(silver, alerts, analysis_date):
         .groupBy("merchant_id").agg(F.count("*").alias("_alerted"))
     )
     return (
-        totals.join(place, "merchant_id", "left").join(fraud, "merchant_id", "left")
+        totals.join(customers, "merchant_id").join(place, "merchant_id", "left")
+        .join(fraud, "merchant_id", "left")
         .withColumns({
             "fraud_rate": F.coalesce("_alerted", F.lit(0)) * 100.0 / F.col("total_transactions"),
             "analysis_date": F.lit(analysis_date).cast("date"),

@@ -13,12 +13,13 @@ alone.  The results are those of ``gold.customer_patterns`` and ``gold.merchant_
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.features import CUSTOMER
-from ledgerwatch.operators.gold import MONEY, TOP
+from ledgerwatch.operators.gold import MONEY, TOP, parts_of
 from ledgerwatch.sources.commits import Commits
 
 BUCKETS = 64
@@ -68,11 +69,11 @@ def _bucketed(rows):
     return rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
 
 
-def _totals(r, rows, alerts, alerted):
-    """Partials of a batch, one row per key and source."""
+def _totals(r, parts, alerts, alerted):
+    """Partials of a batch, one row per key, part and source."""
     kind = TOTALS[r.kind]
     if r.kind == "customer":
-        own = rows.groupBy("key").agg(
+        own = lambda rows: rows.groupBy("key").agg(
             F.count("*").alias("n"), F.sum("amount").alias("money"), F.count("amount").alias("n_money"),
             F.count_if("is_international").alias("n_abroad"), F.count_if("is_weekend").alias("n_weekend"),
             F.max("transaction_date").alias("last"))
@@ -80,19 +81,19 @@ def _totals(r, rows, alerts, alerted):
             F.max("risk_score").alias("risk"))
     else:
         sketch = [F.hll_sketch_agg(CUSTOMER).alias("sketch")] if r.distinct == "sketch" else []
-        own = rows.groupBy("key").agg(
+        own = lambda rows: rows.groupBy("key").agg(
             F.count("*").alias("n"), F.sum("amount").alias("money"), F.count("amount").alias("n_money"),
             F.count_if(F.col("status") == "DECLINED").alias("n_declined"),
             F.max("merchant_risk_score").alias("risk"), F.min("merchant_name").alias("name"), *sketch)
         more = alerted.filter(F.col("merchant_id").isNotNull()).groupBy(F.col("merchant_id").alias("key")).agg(
             F.count("*").alias("n_alerted"))
-    every = own.unionByName(more, allowMissingColumns=True)
+    every = reduce(DataFrame.unionByName, map(own, parts)).unionByName(more, allowMissingColumns=True)
     return every.select("key", *[
         (F.col(n) if n in every.columns else F.lit(None)).cast(t).alias(n) for n, (t, _) in kind.items()])
 
 
 def _values(r, rows):
-    """(key, kind, value, n) of a batch: every counted value, in one pass over its rows."""
+    """(key, kind, value, n) of a part of a batch: every counted value, in one pass over its rows."""
     text = F.array  # values are arrays of text: one entry, or the parts of a place
     if r.kind == "customer":
         kinds = {
@@ -158,7 +159,8 @@ def _gold(r, totals, values, analysis_date):
 def refresh(spark, r, run, batch, rows, alerts, alerted, analysis_date):
     """Take a batch into the gold table of ``r``; False if it was taken before.
 
-    ``rows`` are its new silver rows, ``alerts`` its new alerts, ``alerted`` the transactions
+    ``rows`` are its new silver rows, in one frame or in parts (partials of parts add up like those of
+    batches, so a part in buckets of customers needs no shuffle for its customers); ``alerts`` its new alerts, ``alerted`` the transactions
     (transaction_id, merchant_id), new or old, that have an alert since this batch.
     """
     commits = Commits(spark, r.root)
@@ -166,9 +168,11 @@ def refresh(spark, r, run, batch, rows, alerts, alerted, analysis_date):
     if state.batches.get(run, -1) >= batch:
         return False
     folder = f"run={run}/batch_id={batch}"
-    keyed = rows.withColumn("key", F.col(KEY[r.kind]).cast("string")).filter("key IS NOT NULL")
+    keyed = [part.withColumn("key", F.col(KEY[r.kind]).cast("string")).filter("key IS NOT NULL")
+             for part in parts_of(rows)]
     schemas = {"totals": r.totals_schema(), "values": r.values_schema()}
-    made = {"totals": _totals(r, keyed, alerts, alerted), "values": _values(r, keyed)}
+    made = {"totals": _totals(r, keyed, alerts, alerted), "values": reduce(
+        DataFrame.unionByName, [_values(r, part) for part in keyed])}
     added = {}
     for table, part in made.items():
         _bucketed(part).sortWithinPartitions("bucket", "key").write.mode("overwrite").parquet(

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import FeatureConfig
-from ledgerwatch.operators import features
+from ledgerwatch.operators import features, gold, increments
 from ledgerwatch.plans import catalog, medallion, standins
 
 CHECKED = ["velocity_1h", "velocity_6h", "velocity_24h", "amount_zscore", "distance_from_last_km",
@@ -51,3 +51,35 @@ def test_features_of_stored_order_lines_are_made_as_they_are_read(spark, tmp_pat
     columns = ["transaction_id", "customer_id_hash", "customer_id_original", "amount", *CHECKED]
     rounded = [F.round(c, 6) if dict(want.dtypes)[c] == "double" else F.col(c) for c in columns]
     assert rows_of(first.unionByName(rest).select(rounded)) == rows_of(want.select(rounded))
+
+
+def test_gold_of_parts_is_that_of_all_rows_and_shuffles_no_clustered_rows(spark, tmp_path, monkeypatch):
+    d = order_tables(spark, tmp_path)
+    cut = features.clustered_rows
+    monkeypatch.setattr(features, "clustered_rows", lambda *of: cut(*of, FeatureConfig(whole_rows=60)))
+    # order 3 has no time, so rows of its customer, of many rows, lie in the second part only
+    parts, found = catalog._order_silver_parts(spark, d), catalog._order_alerts(spark, d)
+    whole, day = catalog._order_silver(spark, d), "2024-01-31"
+    assert not set(catalog._order_tables(spark, d)[0].select("customer_id").distinct().collect()) & set(
+        catalog._order_tables(spark, d)[1].filter("timestamp IS NOT NULL").select("customer_id").distinct().collect())
+    for make in (gold.customer_patterns, gold.merchant_analytics):
+        assert rows_of(make(parts, found, day)) == rows_of(make(whole, found, day))
+    first = catalog._as_silver(catalog._order_tables(spark, d)[0])
+    plan = gold.customer_patterns([first], found, day)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1, plan  # the scores of the alerts, nothing of the rows
+    made = {}
+    for n, rows in enumerate([whole, [first, catalog._as_silver(catalog._order_tables(spark, d)[1])]]):
+        for kind in ("customer", "merchant"):
+            r = increments.Refresh(f"{tmp_path}/gold-{n}-{kind}", kind)
+            ids = whole.select("transaction_id", "merchant_id").join(found, "transaction_id", "left_semi")
+            increments.refresh(spark, r, "some", 0, rows, found, ids, day)
+            made[n, kind] = rows_of(increments.read(spark, r))
+    assert made[0, "customer"] == made[1, "customer"] and made[0, "merchant"] == made[1, "merchant"]
+
+
+def test_rows_without_a_time_keep_gold_of_their_customer_whole(spark, tmp_path):
+    d = order_tables(spark, tmp_path)
+    parts = catalog._order_silver_parts(spark, d)
+    assert len(parts) == 1  # customer 1 has rows without a time beside clustered ones
+    got = gold.customer_patterns(parts, catalog._order_alerts(spark, d), "2024-01-31")
+    assert got.count() == got.select("customer_id_hash").distinct().count()
