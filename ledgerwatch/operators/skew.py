@@ -42,10 +42,10 @@ def by_size(rows, key, most, whole, split):
     return whole(small) if large is None else whole(small).unionByName(split(large))
 
 
-def buckets_for(rows):
-    """The number of buckets for ``rows``, which are counted."""
+def buckets_for(rows, of=BUCKET_ROWS):
+    """The number of buckets of ``of`` rows for ``rows``, which are counted."""
     most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(most, -(-rows.count() // BUCKET_ROWS)))
+    return max(1, min(most, -(-rows.count() // of)))
 
 
 def running_sums(df, keys, at, columns, block_width):

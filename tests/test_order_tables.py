@@ -83,3 +83,29 @@ def test_rows_without_a_time_keep_gold_of_their_customer_whole(spark, tmp_path):
     assert len(parts) == 1  # customer 1 has rows without a time beside clustered ones
     got = gold.customer_patterns(parts, catalog._order_alerts(spark, d), "2024-01-31")
     assert got.count() == got.select("customer_id_hash").distinct().count()
+
+
+def test_order_lines_are_joined_in_buckets_without_a_shuffle(spark, tmp_path, monkeypatch):
+    d = order_tables(spark, tmp_path)
+    # part 5 is missing, part 6 there twice, one part and one line without a key
+    spark.createDataFrame([(p, "t", 1) for p in [None, 0, 1, 2, 3, 4, 6, 6, 7, 8, 9, 10]],
+                          "p_partkey long, p_type string, p_size int").write.mode("overwrite").parquet(
+        f"{d}/part.parquet")
+    monkeypatch.setattr(standins, "LINE_BUCKET_ROWS", 50)
+    names = []
+    plain = catalog.store
+    monkeypatch.setattr(catalog, "store", lambda df, name: names.append(name) or plain(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = standins.order_lines_in_buckets(spark, d, lambda rows: rows)
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+        want = standins.order_lines(spark, d)
+        assert sorted(lines.columns) == sorted(want.columns)
+        got = rows_of(lines.select(want.columns))
+        assert got == rows_of(want) and len(got) > len(set(got))
+        catalog._order_rows(spark, d)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "orders-joined" not in names  # the joined rows are stored once, in buckets of customers
