@@ -62,6 +62,7 @@ class NearConfig:
     finer_keys: int = 4  # keys of each length, in each round
     finer_rounds: int = 2
     exact: bool = True  # join the open buckets exactly
+    parity_words: int = 16  # 64-bit words of a text's parities, by which the exact join drops pairs
 
 
 def _lowered(texts):
@@ -266,16 +267,33 @@ def _finer_pairs(nodes, marks, turn, config):
         F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
 
 
+def _parities(grams, config):
+    """(node, held, weight, parity): number of shingles, their weight, and parities of their numbers by bin."""
+    place = F.pmod(F.xxhash64("gram"), F.lit(64 * config.parity_words)).cast("int")
+    bit = F.expr("shiftleft(1L, _place % 64)")
+    rows = grams.withColumn("_place", place).withColumn("_word", F.floor(F.col("_place") / 64)).withColumn("_bit", bit)
+    return rows.groupBy("node").agg(
+        F.count("*").alias("held"), F.max("total").alias("weight"),
+        F.array(*[F.bit_xor(F.when(F.col("_word") == i, F.col("_bit")).otherwise(F.lit(0).cast("long")))
+                  for i in range(config.parity_words)]).alias("parity"))
+
+
 def prefix_pairs(nodes, texts, config):
     """(a, b) of ``nodes`` (node, class): every pair of two classes that can reach the similarity.
 
     J_P is the collision of a coupling, so it is at most the overlap of the weights divided by their
-    sums, the sum of minima.  Shingles are ordered by their number of texts, rarest first.  A text's
-    prefix is its shortest beginning after which less than ``similarity`` is left: two texts whose
-    prefixes share nothing overlap by less.  Shingles of one text alone match nothing, so a text with
-    enough of them has no prefix.  What the prefixes share, and the larger rest after them, bounds the
-    overlap of a pair once more.  The classes of a shingle meet across, not within the largest one, and
-    a shingle of many texts is dealt over salts.
+    sums, the sum of minima.  It is also at most 1 / (1/p + 1/q - 1), p and q being the parts of the two
+    texts' weights that lie on shingles of both: a shared shingle's term is concave in the ratio of its
+    two weights, so equal ratios give the most.  Shingles are ordered by their number of texts, rarest
+    first; what a text holds from the first shared one on bounds its part.  A text's prefix is its
+    shortest beginning after which less than ``similarity`` is left: two texts whose prefixes share
+    nothing share less.  Shingles of one text alone match nothing, so a text with enough of them has no
+    prefix.  Prefixes meet only at shingles from which on both texts hold enough together.  A text's
+    shingles fall into bins, of which it keeps the parities of their numbers: bins of two texts that differ
+    hold a shingle of one text alone, of weight 1 at least (a bitmap filter).  What the prefixes share,
+    and the rests after it, bound a pair once more.  The classes of a shingle meet across, not within the
+    largest one, and a shingle of many texts is dealt over salts.  Comparing parities is still quadratic in
+    groups just below the similarity; few of these pairs are made.
     """
     least = config.similarity - 1e-9
     kind = nodes.schema["node"].dataType.simpleString()
@@ -288,37 +306,54 @@ def prefix_pairs(nodes, texts, config):
                 owner = np.repeat(np.arange(len(raws)), held)
                 total = np.bincount(owner, weights=weights, minlength=len(raws))
                 yield pd.DataFrame({"node": np.repeat(b["id"].to_numpy()[first:first + len(raws)], held),
-                                    "gram": grams.view(np.int64), "mass": weights / total[owner]})
+                                    "gram": grams.view(np.int64), "mass": weights / total[owner],
+                                    "total": total[owner]})
 
     own = texts.join(nodes.select(F.col("node").alias("id")), "id", "left_semi").select("id", "text")
-    grams = stage(own.mapInPandas(run, f"node {kind}, gram long, mass double"), "grams")
+    grams = stage(own.mapInPandas(run, f"node {kind}, gram long, mass double, total double"), "grams")
     df = grams.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = stage(grams.join(df, "gram"), "shared-grams")
+    shared = stage(grams.drop("total").join(df, "gram"), "shared-grams")
     enough = shared.groupBy("node").agg(F.sum("mass").alias("held")).filter(F.col("held") >= least)
     order = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("gram"))
     # From the most common shingle on: what is left after a shingle, and with it.
     after = F.sum("mass").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     prefix = (shared.join(enough.select("node"), "node").withColumn("upto", after)
               .filter(F.col("upto") >= least)
-              .withColumn("rest", F.min(F.col("upto") - F.col("mass")).over(Window.partitionBy("node")))
-              .join(nodes, "node").select("gram", "node", "class", "mass", "rest"))
+              .join(nodes, "node").select("gram", "node", "class", "mass", "upto"))
     prefix = stage(prefix, "prefix")
-    size = prefix.groupBy("gram", "class").agg(F.count("*").alias("n"))
-    main = size.groupBy("gram").agg(F.max(F.struct("n", "class")).alias("m"), F.sum("n").alias("all"))
+    most = 1 + 1 / least  # of 1/p + 1/q
+    size = prefix.groupBy("gram", "class").agg(F.count("*").alias("n"), F.max("upto").alias("top"))
+    main = size.groupBy("gram").agg(
+        F.max(F.struct("n", "class")).alias("m"), F.sum("n").alias("all"), F.max("top").alias("top"))
     several = stage(main.filter("all > m.n").select(
-        "gram", F.col("m.class").alias("main"), F.ceil(F.col("all") / 512).cast("int").alias("salts")),
+        "gram", "top", F.col("m.class").alias("main"), F.ceil(F.col("all") / 512).cast("int").alias("salts")),
         "several")
-    dealt = stage(prefix.join(several, "gram"), "dealt")
+    able = prefix.join(several, "gram").filter(1 / F.col("upto") + 1 / F.col("top") <= most).drop("top")
+    dealt = stage(able.join(_parities(grams, config), "node"), "dealt")
     left = dealt.filter("class <> main").select(
         "gram", F.col("node").alias("x"), F.col("class").alias("xc"), F.col("mass").alias("xm"),
-        F.col("rest").alias("xr"),
-        F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"))
+        F.col("upto").alias("xu"), F.col("held").alias("xh"), F.col("weight").alias("xw"),
+        F.col("parity").alias("xp"), F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"))
     right = dealt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.get("xp", F.lit(i)).bitwiseXOR(F.get("parity", F.lit(i))))
+                                         for i in range(config.parity_words)])
+    # the shingles of one text alone: at least ``differ`` in all, and their difference is that of all shingles
+    x_alone, alone = (differ + F.col("xh") - F.col("held")) / 2, (differ + F.col("held") - F.col("xh")) / 2
+    p, q = 1 - F.greatest(x_alone, F.lit(0)) / F.col("xw"), 1 - F.greatest(alone, F.lit(0)) / F.col("weight")
     met = left.join(right, ["gram", "salt"]).filter(
-        "xc <> class AND (class = main OR x < node)")
+        "xc <> class AND (class = main OR x < node)").filter(
+        (1 / F.col("xu") + 1 / F.col("upto") <= most) & (p > 0.5) & (q > 0.5) & (p + q <= most * p * q))
+    # of the shared shingles, in their order, those up to some place have met: the others lie in the rests
+    x_rest, rest, ahead = F.col("xu") - F.col("xm"), F.col("upto") - F.col("mass"), F.col("x") < F.col("node")
     met = met.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(
-        F.sum(F.least("xm", "mass")).alias("common"), F.max(F.greatest("xr", "rest")).alias("rest"))
-    return met.filter(F.col("common") + F.col("rest") >= least).select("a", "b")
+        F.sum(F.least("xm", "mass")).alias("common"),
+        F.sum(F.when(ahead, F.col("xm")).otherwise(F.col("mass"))).alias("am"),
+        F.sum(F.when(ahead, F.col("mass")).otherwise(F.col("xm"))).alias("bm"),
+        F.min(F.when(ahead, x_rest).otherwise(rest)).alias("ar"),
+        F.min(F.when(ahead, rest).otherwise(x_rest)).alias("br"))
+    return met.filter(
+        (F.col("common") + F.least("ar", "br") >= least)
+        & (1 / (F.col("am") + F.col("ar")) + 1 / (F.col("bm") + F.col("br")) <= most)).select("a", "b")
 
 
 def links(sketches, docs, config, id_col="doc_id", text_col="text"):

@@ -216,3 +216,34 @@ def test_verification_in_slices_equals_the_definition(docs, monkeypatch):
     want = {(i, j): similarity(bags[i], bags[j]) for i in bags for j in bags if i < j}
     assert got.keys() == {k for k, v in want.items() if v >= 0.8}
     assert all(abs(v - want[k]) < 1e-9 for k, v in got.items())
+
+
+def test_similarity_is_bounded_by_the_shared_parts():
+    rng = random.Random(4)
+    for _ in range(300):
+        x, y = (Counter({k: 1 + rng.random() * rng.choice([0, 1, 5])
+                         for k in rng.sample(range(14), rng.randrange(1, 14))}) for _ in range(2))
+        both = set(x) & set(y)
+        if both:
+            part, other = sum(x[k] for k in both) / sum(x.values()), sum(y[k] for k in both) / sum(y.values())
+            assert similarity(x, y) <= 1 / (1 / part + 1 / other - 1) + 1e-12
+
+
+def test_exact_join_makes_few_pairs_just_below_the_similarity_and_loses_none(spark, docs):
+    # One family just below and around 0.8, of texts of several lengths, some with repeated lines.
+    rng, rows = random.Random(3), []
+    base = [f"c{k}" for k in range(220)]
+    for n in range(160):
+        own = base[:rng.choice([180, 200, 220])] + base[:30] * (n % 3)
+        for k in rng.sample(range(30, 170), rng.choice([1, 3, 3, 4, 4])):
+            own[k] = f"e{n}x{k}"
+        rows.append((n, " ".join(own)))
+    grams, weights, at, *_ = p.weighted([t.encode() for _, t in rows], 5)
+    bags = [(grams[i:j], weights[i:j]) for i, j in zip(at, at[1:])]
+    near = {(i, j) for j in range(160) for i in range(j) if p.probability_jaccard(*bags[i], *bags[j]) >= 0.8}
+    texts = spark.createDataFrame(rows, "id long, text string")
+    nodes = spark.createDataFrame([(i, i) for i, _ in rows], "node long, class long")
+    for words in (1, 16):  # few bins drop few pairs, but none that is similar
+        found = {(r.a, r.b) for r in p.prefix_pairs(nodes, texts, p.NearConfig(parity_words=words)).collect()}
+        assert near <= found
+    assert 100 < len(near) and len(found) < 2 * len(near) < 160 * 159 / 2 / 3, (len(near), len(found))
