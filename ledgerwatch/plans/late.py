@@ -11,12 +11,13 @@ from math import ceil
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerwatch import session
 from ledgerwatch.config import FeatureConfig, PipelineConfig
 from ledgerwatch.operators import features
 from ledgerwatch.operators.features import CUSTOMER
 from ledgerwatch.plans import medallion
 from ledgerwatch.schema import UNKNOWN_CUSTOMER
-from ledgerwatch.session import store
+from ledgerwatch.session import beside, store
 
 PLACE = [CUSTOMER, "_day"]
 
@@ -64,22 +65,23 @@ def refill_late(silver_rows, transactions, late, cfg=PipelineConfig(), as_of=Non
             "_day", F.to_date("timestamp"))
 
     narrow = placed(transactions).select("transaction_id", "timestamp", *order, *PLACE)
-    late_ids = late.select("transaction_id").filter("transaction_id IS NOT NULL").distinct()
+    late_ids = store(late.select("transaction_id").filter("transaction_id IS NOT NULL").distinct(), "late-ids")
     late_days = store(placed(late).select(PLACE).unionByName(
-        narrow.join(late_ids, "transaction_id", "left_semi").select(PLACE)).distinct(), "late-days")
-    customers = late_days.select(CUSTOMER).distinct()
+        narrow.join(beside(late_ids), "transaction_id", "left_semi").select(PLACE)).distinct(), "late-days")
+    customers = beside(store(late_days.select(CUSTOMER).distinct(), "late-customers"))
 
-    theirs = narrow.join(customers, CUSTOMER, "left_semi")
-    deliveries = narrow.join(theirs.select("transaction_id").distinct(), "transaction_id", "left_semi")
+    theirs = store(narrow.join(customers, CUSTOMER, "left_semi"), "late-theirs")
+    deliveries = narrow.join(beside(theirs.select("transaction_id")), "transaction_id", "left_semi")
     once = store(medallion.first_of_each(
         deliveries.unionByName(theirs.filter("transaction_id IS NULL"))).join(
             customers, CUSTOMER, "left_semi"), "late-once")
-    plan = store(affected_days(once.groupBy(PLACE).agg(F.count("*").alias("_rows")), late_days, cfg.features),
-                 "late-plan")
+    plan = beside(store(
+        affected_days(once.groupBy(PLACE).agg(F.count("*").alias("_rows")), late_days, cfg.features), "late-plan"))
 
-    ids = once.join(plan, PLACE, "left_semi").select("transaction_id").distinct()
-    again = transactions.join(ids, "transaction_id", "left_semi").unionByName(
+    ids = store(once.join(plan, PLACE, "left_semi").select("transaction_id").distinct(), "late-again")
+    again = transactions.join(beside(ids), "transaction_id", "left_semi").unionByName(
         transactions.filter("transaction_id IS NULL"))
     rows = store(placed(medallion.first_of_each(again)).join(plan, PLACE), "late-rows")
     fresh = features.add_features(rows, cfg.features).filter("updated")
-    return medallion.with_fresh_features(silver_rows, fresh, cfg)
+    few = rows.filter("updated").count() <= session.BROADCAST_ROWS
+    return medallion.with_fresh_features(silver_rows, fresh, cfg, few)

@@ -45,11 +45,15 @@ def refill(silver_rows, transactions, cfg=PipelineConfig(), as_of=None):
     return with_fresh_features(silver_rows, enriched(first_of_each(transactions), cfg, as_of), cfg)
 
 
-def with_fresh_features(silver_rows, enriched_rows, cfg=PipelineConfig()):
-    """Silver rows with the window features of the enriched rows of the same id; others stay."""
+def with_fresh_features(silver_rows, enriched_rows, cfg=PipelineConfig(), few=False):
+    """Silver rows with the window features of the enriched rows of the same id; others stay.
+
+    Only ``few`` enriched rows may be broadcast: what they take in the driver is many times what a shuffle measures.
+    """
     windowed = ["amount_zscore", "distance_from_last_km", "time_since_last_minutes",
                 *features.velocity_names(cfg.features)]
     fresh = enriched_rows.select("transaction_id", *[F.col(c).alias(f"_{c}") for c in windowed])
+    fresh = fresh if few else fresh.hint("merge")
     found = silver_rows.join(fresh.withColumn("_found", F.lit(True)), "transaction_id", "left")
     return found.withColumns({
         **{c: F.when(F.col("_found"), F.col(f"_{c}")).otherwise(F.col(c)) for c in windowed},

@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Rows that a join may send through the driver to every task.
+BROADCAST_ROWS = 100_000
+
 
 def build_session(app_name="ledgerwatch", master=None, shuffle_partitions=None, **conf):
     """A session with UTC time and AQE.
@@ -56,6 +59,16 @@ def store(df, name):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def beside(df, most=None):
+    """The stored ``df`` as the side of a join that the planner may broadcast only if it holds few rows.
+
+    Files and shuffles are measured packed: ten megabytes of hashes, days or ids that resemble each other are
+    gigabytes of rows in the driver.
+    """
+    few = df.count() <= (BROADCAST_ROWS if most is None else most)
+    return df if few else df.hint("merge")
+
+
 def store_clustered(df, name, key, buckets):
     """The name of a table that holds ``df`` in buckets of ``key``: what groups by it is not shuffled.
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ledgerwatch import schema
+from ledgerwatch import schema, session
 from ledgerwatch.config import FeatureConfig, PipelineConfig
 from ledgerwatch.operators.features import CUSTOMER
 from ledgerwatch.plans import late, medallion
@@ -104,3 +104,28 @@ def test_no_late_rows(spark):
     table = medallion.silver(rows).withColumn("features_complete", F.lit(True))
     same = late.refill_late(table, rows, rows.limit(0))
     assert same.drop("processed_at").collect() == table.drop("processed_at").collect()
+
+
+def test_many_rows_are_not_broadcast(spark, monkeypatch):
+    """What is too much for the driver is merged, however small it is on disk; the rows are the same."""
+    rows = typed(spark, [{"transaction_id": f"t{i}", "customer_id": f"c{i % 40}", "amount": 5 + i % 7,
+                          "timestamp": datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=i)} for i in range(400)])
+    came = rows.filter(F.substring("transaction_id", -1, 1) == "3")
+    table = medallion.silver(rows).withColumn("features_complete", F.lit(True))
+    few = sorted(map(tuple, late.refill_late(table, rows, came).drop("processed_at").collect()))
+    kept, plans = late.store, []
+
+    def ran(df):
+        found = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    def store(df, name):
+        ran(df)
+        return kept(df, name)
+
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 3, raising=False)
+    monkeypatch.setattr(late, "store", store)
+    many = sorted(map(tuple, ran(late.refill_late(table, rows, came).drop("processed_at"))))
+    assert many == few and len(many) == 400
+    assert len(plans) > 4 and not [p for p in plans if "BroadcastHashJoin" in p]
