@@ -13,38 +13,58 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.operators import skew
 from ledgerwatch.operators.features import CUSTOMER
+from ledgerwatch.session import store
 
 TOP = 3
 MONEY = "decimal(18,2)"
 
 
-def _when_sum(condition, column):
-    return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)).cast(MONEY)
+def _values_by_date(silver):
+    """(date, kind, amount, name) with the counts of its rows, in one pass: amounts, customers and merchants.
+
+    Sums, the median and the numbers of distinct names all follow from it.
+    """
+    nothing = {"amount": F.lit(None).cast(silver.schema["amount"].dataType), "name": F.lit(None).cast("string")}
+    kinds = {"amount": {"amount": F.col("amount")}, "customer": {"name": F.col(CUSTOMER)},
+             "merchant": {"name": F.col("merchant_id")}}
+    values = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), *[c.alias(n) for n, c in {**nothing, **given}.items()])
+        for kind, given in kinds.items()])
+    return silver.select("transaction_date", "status", "is_international", F.explode(values).alias("_v")).select(
+        "transaction_date", "status", "is_international", "_v.*").groupBy(
+        "transaction_date", "kind", "amount", "name").agg(
+        F.count("*").alias("_n"), F.count_if(F.col("status") == "APPROVED").alias("_approved"),
+        F.count_if(F.col("status") == "DECLINED").alias("_declined"), F.count_if("is_international").alias("_abroad"))
 
 
 def daily_summary(silver, alerts, high_risk=0.7):
     """Fifteen measures per transaction date.
 
     ``fraud_alerts`` counts alerts, ``high_risk_transactions`` the transactions
-    with an alert scored above ``high_risk``.
+    with an alert scored above ``high_risk``.  Silver is read twice: once for its values, which are counted
+    and stored, once for the ids that meet the alerts.
     """
-    approved, declined = F.col("status") == "APPROVED", F.col("status") == "DECLINED"
-    abroad = F.col("is_international")
-    totals = silver.groupBy("transaction_date").agg(
-        F.count("*").alias("total_transactions"),
-        F.sum("amount").cast(MONEY).alias("total_amount"),
-        F.count_if(approved).alias("approved_transactions"),
-        _when_sum(approved, "amount").alias("approved_amount"),
-        F.count_if(declined).alias("declined_transactions"),
-        _when_sum(declined, "amount").alias("declined_amount"),
-        F.count_distinct(CUSTOMER).alias("unique_customers"),
-        F.count_distinct("merchant_id").alias("unique_merchants"),
-        F.count_if(abroad).alias("international_transactions"),
-        _when_sum(abroad, "amount").alias("international_amount"),
-        (F.sum("amount").cast("double") / F.count("amount")).alias("avg_transaction_amount"),
+    values = store(_values_by_date(silver), "daily-values")
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
+    money = lambda n: F.sum(F.col("amount") * F.col(n))
+    rows = lambda n: F.sum(of("amount", n))
+    known = F.sum(F.when(F.col("amount").isNotNull(), F.col("_n")))
+    totals = values.groupBy("transaction_date").agg(
+        rows("_n").alias("total_transactions"),
+        money("_n").cast(MONEY).alias("total_amount"),
+        rows("_approved").alias("approved_transactions"),
+        F.coalesce(money("_approved"), F.lit(0)).cast(MONEY).alias("approved_amount"),
+        rows("_declined").alias("declined_transactions"),
+        F.coalesce(money("_declined"), F.lit(0)).cast(MONEY).alias("declined_amount"),
+        F.count(of("customer", "name")).alias("unique_customers"),
+        F.count(of("merchant", "name")).alias("unique_merchants"),
+        rows("_abroad").alias("international_transactions"),
+        F.coalesce(money("_abroad"), F.lit(0)).cast(MONEY).alias("international_amount"),
+        (money("_n").cast("double") / known).alias("avg_transaction_amount"),
         F.max("amount").alias("max_transaction_amount"),
     )
-    median = skew.exact_median(silver, "transaction_date", "amount").select(
+    amounts = values.filter("kind = 'amount' AND amount IS NOT NULL").select("transaction_date", "amount", "_n")
+    median = skew.counted_median(amounts, "transaction_date", "amount").select(
         "transaction_date",
         F.col("median_amount").cast("double").alias("median_transaction_amount"),
     )

@@ -68,7 +68,8 @@ def running_sums(df, keys, at, columns, block_width):
     )
     summed = blocked.withColumns({c: F.sum(c).over(inside) for c in columns})
     return (
-        summed.join(prefix, [*keys, "_block"])
+        # the rows lie by block already; the prefixes grow with them, so they do not go through the driver
+        summed.join(prefix.hint("merge"), [*keys, "_block"])
         .withColumns({c: F.col(c) + F.col(f"_p_{c}") for c in columns})
         .drop("_block", *[f"_p_{c}" for c in columns])
     )
@@ -122,6 +123,11 @@ def exact_median(df, group, value, block_width=100):
     counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(
         F.count("*").alias("_n")
     )
+    return counted_median(counted, group, value, block_width)
+
+
+def counted_median(counted, group, value, block_width=100):
+    """``exact_median`` of values that are counted: ``_n`` of each (group, value).  They are read three times."""
     ranked = running_sums(counted.withColumn("_upto", F.col("_n")), [group], value, ["_upto"],
                           block_width)
     total = counted.groupBy(group).agg(F.sum("_n").alias("_total"))

@@ -6,6 +6,7 @@ from ledgerwatch.config import PipelineConfig
 from ledgerwatch.functions.privacy import protect_customer
 from ledgerwatch.operators import alerts as alert_ops
 from ledgerwatch.operators import dedup, detect, features, gold, quality
+from ledgerwatch.session import store
 from ledgerwatch.sources import tables
 
 
@@ -71,7 +72,7 @@ def refresh_daily(spark, table, silver_rows, alerts, touched):
     The days are recomputed from silver and upserted by date, so a late row or
     a rerun replaces its day and never counts twice.
     """
-    days = touched.select("transaction_date").distinct()
+    days = store(touched.select("transaction_date").distinct(), "touched-days")  # read with each pass over silver
     rows = silver_rows.join(days, "transaction_date", "left_semi")
     tables.upsert(spark, table, gold.daily_summary(rows, alerts), ["transaction_date"])
 

@@ -320,3 +320,35 @@ def test_gold_ties_and_missing_alerts(transactions, spark):
     day = gold.daily_summary(df, none).first()
     assert (day["total_transactions"], day["fraud_alerts"], day["median_transaction_amount"]) == (
         4, 0, 10.0)
+
+
+def test_daily_summary_reads_silver_twice(spark, transactions):
+    """Values are counted in one pass over silver; rows without a date, an amount or names count as before."""
+    none = spark.createDataFrame([], "transaction_id string, risk_score double")
+    df = transactions([
+        {"timestamp": "2024-01-01 10:00:00", "amount": 10, "status": "APPROVED", "merchant_id": "a"},
+        {"timestamp": "2024-01-01 11:00:00", "amount": 10, "status": "DECLINED", "merchant_id": None},
+        {"timestamp": "2024-01-01 12:00:00", "amount": None, "status": None, "customer_id_hash": None},
+        {"timestamp": "2024-01-02 12:00:00", "amount": None, "status": "DECLINED", "is_international": True},
+        {"timestamp": None, "amount": 7, "status": "APPROVED"},
+    ]).withColumn("transaction_date", F.to_date("timestamp"))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    watched = df.drop("metadata").mapInPandas(seen, df.drop("metadata").schema)
+    rows = {str(r["transaction_date"]): r for r in gold.daily_summary(watched, none).collect()}
+    first, second, undated = rows["2024-01-01"], rows["2024-01-02"], rows["None"]
+    assert (first["total_transactions"], float(first["total_amount"]), first["unique_customers"],
+            first["unique_merchants"]) == (3, 20.0, 1, 2)
+    assert (float(first["approved_amount"]), float(first["declined_amount"]), first["approved_transactions"],
+            first["declined_transactions"]) == (10.0, 10.0, 1, 1)
+    assert first["avg_transaction_amount"] == first["median_transaction_amount"] == 10.0
+    assert (second["total_amount"], second["avg_transaction_amount"], second["max_transaction_amount"]) == (
+        None, None, None)
+    assert (float(second["declined_amount"]), second["international_transactions"]) == (0.0, 1)
+    assert (undated["total_transactions"], undated["median_transaction_amount"], undated["fraud_alerts"]) == (1, None, 0)
+    assert read.value <= 10
