@@ -25,6 +25,7 @@ from ledgerwatch.streaming.state import HISTORY_PATTERNS, add_features_stream
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ADAPTIVE = "spark.sql.adaptive.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -101,6 +102,9 @@ def write_batch(job):
             added[table] = [folder]
 
         batch.persist()
+        # a stream's session has it off for its state; what is made of a batch has as many tasks and files as its rows want
+        before = spark.conf.get(ADAPTIVE)
+        spark.conf.set(ADAPTIVE, "true")
         try:
             rows = batch
             if "raw" in batch.columns:
@@ -134,10 +138,11 @@ def write_batch(job):
                 F.current_timestamp())
             put(metrics, "quality")
             commits.commit({"run": run, "batch": batch_id, "add": added})
+            if job.compact_every and batch_id % job.compact_every == job.compact_every - 1:
+                maintain(spark, job)
         finally:
             batch.unpersist()
-        if job.compact_every and batch_id % job.compact_every == job.compact_every - 1:
-            maintain(spark, job)
+            spark.conf.set(ADAPTIVE, before)
 
     return write
 

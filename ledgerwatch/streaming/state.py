@@ -10,6 +10,8 @@ state in the RocksDB store.  A customer has
 * blocks of recent rows, for the patterns that compare rows.
 
 A batch writes the head, which is bounded by parameters, and the nodes and blocks its rows moved into.
+The states are kept by groups of customers, whose new rows are handled in one call: with a call for each
+customer, most of the time goes into handing its few rows over.
 Nodes and blocks that have left every window are removed when the customer comes again.  (Timers and
 times to live need the processing-time mode, in which a query of all available data never ends.)  Rows pass through Python as one text each.
 
@@ -17,6 +19,8 @@ A row that repeats one of the head (same time and id) is not counted again.
 """
 
 import math
+import pickle
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,17 +34,15 @@ from ledgerwatch.operators import detect, features
 from ledgerwatch.streaming import patterns
 from ledgerwatch.streaming.timeline import Recent, Timeline
 
-HEAD = ("micros array<bigint>, ids array<string>, amounts array<double>, lats array<double>, "
-        "lons array<double>, cut boolean, latest bigint, first_sec bigint, secs array<bigint>, "
-        "sums array<bigint>, days array<bigint>, day_sums array<bigint>, blocks array<bigint>, "
-        "r_micros array<bigint>, r_ids array<string>, r_merchants array<string>, "
-        "r_cents array<bigint>, r_risky array<boolean>")
+# A head as one value: micros, ids, amounts, lats, lons, cut, latest, first_sec, secs, sums, days, day_sums,
+# blocks, and of the recent rows micros, ids, merchants, cents, risky.
+HEAD_KEY, HEAD = "customer string", "packed binary"
 EMPTY = ([], [], [], [], [], False, None, None, [], [], [], [], [], [], [], [], [], [])
-NODE_KEY, NODE = "level int, at bigint", "keys array<bigint>, sums array<bigint>"
-BLOCK_KEY = "block bigint"
+NODE_KEY, NODE = "customer string, level int, at bigint", "keys array<bigint>, sums array<bigint>"
+BLOCK_KEY = "customer string, block bigint"
 BLOCK = ("micros array<bigint>, ids array<string>, merchants array<string>, cents array<bigint>, "
          "risky array<boolean>")
-UNKNOWN_SALTS = 256
+GROUPS, UNKNOWN_SALTS = 4096, 256
 MEASURES = 7
 #: Patterns that need the history; the other two follow from a row's own features.
 HISTORY_PATTERNS = [p for p in detect.PATTERNS if p not in ("velocity_attack", "impossible_travel")]
@@ -57,23 +59,24 @@ def output_schema(cfg, carried):
 
 
 class _Store:
-    """A map state as ``timeline`` wants it."""
+    """A customer's part of a map state as ``timeline`` wants it."""
 
-    def __init__(self, state):
-        self.state = state
+    def __init__(self, state, customer):
+        self.state, self.customer = state, customer
 
     def get(self, key):
+        key = (self.customer, *key)
         return tuple(self.state.getValue(key)) if self.state.containsKey(key) else None
 
     def put(self, key, value):
-        self.state.updateValue(key, value)
+        self.state.updateValue((self.customer, *key), value)
 
     def remove(self, key):
-        self.state.removeKey(key)
+        self.state.removeKey((self.customer, *key))
 
 
 class CustomerHistory(StatefulProcessor):
-    """Look-back columns and patterns of a customer's new rows, from state plus the micro-batch."""
+    """Look-back columns and patterns of the new rows of a group's customers, from state plus the micro-batch."""
 
     def __init__(self, cfg, late_hours, detectors, carried):
         self.cfg, self.detectors, self.carried = cfg, detectors, carried
@@ -88,22 +91,37 @@ class CustomerHistory(StatefulProcessor):
                       "_prev_us", "velocity_complete", "history_complete", "stream_patterns"]
 
     def init(self, handle):
-        self.head = handle.getValueState("head", HEAD)
+        self.heads = handle.getMapState("heads", HEAD_KEY, HEAD)
         self.nodes = handle.getMapState("nodes", NODE_KEY, NODE)
         self.blocks = handle.getMapState("blocks", BLOCK_KEY, BLOCK)
 
     def handleInputRows(self, key, rows, timerValues):
         new = pd.concat(list(rows), ignore_index=True)
-        if key[0] == schema.UNKNOWN_CUSTOMER:
+        if key[0] < 0:
             yield self._empty(new)
             return
-        h = tuple(self.head.get()) if self.head.exists() else EMPTY
-        line = Timeline(MEASURES, _Store(self.nodes), *h[8:12])
-        recent = Recent(_Store(self.blocks), zip(*h[13:18]), h[12])
-        micros = new["micros"].to_numpy("int64")
-        ids, secs = new["transaction_id"].tolist(), micros // 1_000_000
-        amount, lat, lon = (new[c].to_numpy("float64") for c in ("amount", "lat", "lon"))
-        bits = new["bits"].to_numpy("int64")
+        columns = [new["micros"].to_numpy("int64"), new["transaction_id"].to_numpy(object),
+                   *[new[c].to_numpy("float64") for c in ("amount", "lat", "lon")],
+                   new["bits"].to_numpy("int64"), new["merchant_id"].to_numpy(object)]
+        codes, customers = pd.factorize(new["customer"].to_numpy(object))
+        order = np.argsort(codes, kind="stable")  # by customer, as they came
+        ends = np.cumsum(np.bincount(codes, minlength=len(customers)))
+        parts = [self._of_customer(customer, *[c[own] for c in columns])
+                 for customer, own in zip(customers, np.split(order, ends[:-1]))]
+        out = {c: new[c].to_numpy(object)[order] for c in self.carried}
+        for i, name in enumerate(self.names[len(self.carried):-1]):
+            every = [part[i] for part in parts]
+            out[name] = (pd.Series(list(chain.from_iterable(every)), dtype="Int64") if name == "_prev_us"
+                         else np.concatenate(every))
+        out[self.names[-1]] = list(chain.from_iterable(part[-1] for part in parts))
+        yield pd.DataFrame(out)
+
+    def _of_customer(self, customer, micros, ids, amount, lat, lon, bits, merchants):
+        """The new columns of a customer's new rows, in the order of ``names``."""
+        h = pickle.loads(self.heads.getValue((customer,))[0]) if self.heads.containsKey((customer,)) else EMPTY
+        line = Timeline(MEASURES, _Store(self.nodes, customer), *h[8:12])
+        recent = Recent(_Store(self.blocks, customer), zip(*h[13:18]), h[12])
+        ids, secs, merchants, new = ids.tolist(), micros // 1_000_000, merchants.tolist(), range(len(micros))
 
         # The old rows and the new ones that do not repeat another, by time and id.
         names = list(zip(h[0], h[1]))
@@ -122,7 +140,7 @@ class CustomerHistory(StatefulProcessor):
         own = np.empty(len(new), np.int64)  # where each new row stands
         own[fresh] = rank[old:]
         taken = set(fresh)
-        for i in range(len(new)):
+        for i in new:
             if i not in taken:
                 own[i] = rank[place[int(micros[i]), ids[i]]]
 
@@ -149,23 +167,17 @@ class CustomerHistory(StatefulProcessor):
             ok & (bits & SMALL > 0), ok & (bits & SMALL_DECLINED > 0), ok & (bits & LARGE > 0)],
             axis=1).astype(np.int64)
         line.add(secs[fresh], measures[fresh])
-        merchants = new["merchant_id"].tolist()
         recent.add([(int(micros[i]), ids[i], merchants[i], None if np.isnan(amount[i]) else int(cents[i]),
                      bool(bits[i] & RISKY)) for i in fresh if ok[i]])
         seen = [x for x in (h[7], int(secs[ok].min()) if ok.any() else None) if x is not None]
         first = min(seen) if seen else None
 
         at, back = np.unique(secs, return_inverse=True)
-        out = {c: new[c] for c in self.carried}
-        for name, span in zip(features.velocity_names(self.cfg), self.spans):
-            out[name] = (line.trailing(at, span)[:, patterns.ALL] - 1)[back]
-        out |= {"_mean": mean[own], "_sd": sd[own], "_prev_lat": prev_lat, "_prev_lon": prev_lon,
-                "_prev_us": pd.Series(prev, dtype="Int64"), "velocity_complete": velocity_complete,
-                "history_complete": history_complete,
-                "stream_patterns": self._patterns(line, recent, at, back, bits, ok, takeover, micros, ids, first)}
+        velocities = [(line.trailing(at, span)[:, patterns.ALL] - 1)[back] for span in self.spans]
+        found = self._patterns(line, recent, at, back, bits, ok, takeover, micros, ids, first)
         latest = max(x for x in (h[6], int(secs.max())) if x is not None)
-        self._store(h, every, latest, first, line, recent)
-        yield pd.DataFrame(out)[self.names]
+        self._store(customer, h, every, latest, first, line, recent)
+        return [*velocities, mean[own], sd[own], prev_lat, prev_lon, prev, velocity_complete, history_complete, found]
 
     def _patterns(self, line, recent, at, back, bits, ok, takeover, micros, ids, first):
         d, found = self.detectors, [[] for _ in bits]
@@ -187,18 +199,18 @@ class CustomerHistory(StatefulProcessor):
             found[i] = [p for p in HISTORY_PATTERNS if p in hits]
         return found
 
-    def _store(self, h, every, latest, first, line, recent):
+    def _store(self, customer, h, every, latest, first, line, recent):
         line.settle(latest - self.reach)
         recent.settle(latest - self.recent_reach)
         # Everything that a row may still precede, and the look-back of the earliest such row.
         mark = (latest - self.late) * 1_000_000
         start = max(int(np.searchsorted(every[0], mark)) - self.cfg.history_rows, 0)
         rows = list(zip(*recent.rows)) or [[]] * 5
-        self.head.update((
+        self.heads.updateValue((customer,), (pickle.dumps((
             every[0][start:].tolist(), every[1][start:], *[_floats(a[start:]) for a in every[2:]],
             bool(h[5] or start > 0), latest, first, line.secs.tolist(), line.sums.ravel().tolist(),
             line.days.tolist(), line.day_sums.ravel().tolist(), sorted(recent.blocks),
-            *[list(c) for c in rows]))
+            *[list(c) for c in rows])),))
 
     def _empty(self, new):
         out = new.reindex(columns=self.names[:-3]).astype({"_prev_us": "Int64"})
@@ -319,12 +331,12 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2, detectors=Detecto
     """
     usable = F.col(features.CUSTOMER).isNotNull() & F.col("timestamp").isNotNull()
     customer = F.when(usable, F.col(features.CUSTOMER)).otherwise(schema.UNKNOWN_CUSTOMER)
-    salt = F.when(
+    group = F.when(
         customer == schema.UNKNOWN_CUSTOMER,
-        F.pmod(F.xxhash64("transaction_id", "timestamp", "amount"), F.lit(UNKNOWN_SALTS)),
-    ).otherwise(0)
+        -1 - F.pmod(F.xxhash64("transaction_id", "timestamp", "amount"), F.lit(UNKNOWN_SALTS)),
+    ).otherwise(F.pmod(F.xxhash64(customer), F.lit(GROUPS)))
     narrow = df.select(
-        customer.alias("_customer"), salt.cast("int").alias("_salt"),
+        group.cast("int").alias("customer_group"), customer.alias("customer"),
         F.coalesce("transaction_id", F.lit("")).alias("transaction_id"),
         # never NULL: one NULL would turn the whole pandas column into floats
         F.coalesce(F.unix_micros("timestamp"), F.lit(0)).alias("micros"),
@@ -333,7 +345,7 @@ def add_features_stream(df, cfg=FeatureConfig(), late_hours=2, detectors=Detecto
         "merchant_id", _bits(detectors, quality).alias("bits"), _packed(df).alias("packed_row"),
     )
     names = ["packed_row"]
-    looked_back = narrow.groupBy("_customer", "_salt").transformWithStateInPandas(
+    looked_back = narrow.groupBy("customer_group").transformWithStateInPandas(
         CustomerHistory(cfg, late_hours, detectors, names), output_schema(cfg, names), "Append",
         "None")
     rows = looked_back.withColumn("_texts", F.split("packed_row", SEPARATOR)).select(

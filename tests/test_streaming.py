@@ -441,3 +441,39 @@ def test_a_row_is_carried_as_one_text(spark):
     back = packed.withColumn("_texts", F.split("packed_row", state.SEPARATOR)).select(*state._unpacked(df.schema))
     assert back.schema.simpleString() == df.schema.simpleString()
     assert back.collect() == df.collect()
+
+
+def test_one_call_handles_the_customers_of_a_group(spark, monkeypatch):
+    """Customers that share a group keep their own histories over batches, and a day's rows lie in few files."""
+    monkeypatch.setattr(state, "GROUPS", 1)
+    j, path = new_job(spark)
+    events = spark.read.parquet(f"{SF}/events.parquet").filter("user_id is not null")
+    for low, high in [(0, 500), (500, 1000)]:
+        add(events, path, low, high)
+        run(spark, path, j)
+    silver = job.read_table(spark, j, "silver")
+    expected = medallion.silver(standins.txn_events(spark, SF), as_of=standins.AS_OF)
+    columns = [*WINDOWED, "amount", "customer_id_hash"]
+    assert by_id(silver, columns) == by_id(expected, columns)
+    assert silver.filter("not features_complete").count() == 0
+
+
+def test_a_batch_is_written_with_adaptive_plans(spark):
+    """Its files follow its rows, not the number of shuffle partitions; the stream's setting comes back."""
+    j, _ = new_job(spark)
+    rows = medallion.enriched(
+        standins.events_as_transactions(spark.read.parquet(f"{SF}/events.parquet").filter("event_id < 40")), j.cfg,
+        j.as_of).withColumns({"features_complete": F.lit(True), "stream_patterns": F.array().cast("array<string>")})
+    own = rows.sparkSession
+    before = {c: own.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        own.conf.set("spark.sql.adaptive.enabled", "false")
+        own.conf.set("spark.sql.shuffle.partitions", "64")
+        job.write_batch(j)(rows, 0)
+        assert own.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        for c, v in before.items():
+            own.conf.set(c, v)
+    silver = job.read_table(spark, j, "silver")
+    days = silver.select("transaction_date").distinct().count()
+    assert silver.count() > 30 and len(silver.inputFiles()) < 12 * days
